@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetwatt.config import LIMITS, PlantLimits
-from fleetwatt.functions.scalars import efficiency_band, pair_correlation
+from fleetwatt.functions.scalars import count_rows, efficiency_band, pair_correlation
 from fleetwatt.operators.compliance import BY_SYSTEM, grouped
 from fleetwatt.plans.skew import exact_quantile
 
@@ -14,6 +14,7 @@ TEMP, EFF = "inverter_temp_c", "inverter_efficiency_pct"
 
 def inverter_aggregates(limits: PlantLimits = LIMITS) -> dict[str, Column]:
     return {
+        "n_readings": count_rows(),
         "mean_efficiency_pct": F.avg(EFF),
         "min_efficiency_pct": F.min(EFF),
         "max_temp_c": F.max(TEMP),
@@ -62,7 +63,7 @@ def temp_eff_corr(df: DataFrame, by=BY_SYSTEM, limits: PlantLimits = LIMITS) ->
 def thermal_summary(df: DataFrame, by=BY_SYSTEM, exact: bool = True) -> DataFrame:
     """Mean, 95th percentile and maximum temperature."""
     by = list(by)
-    simple = {"mean_temp_c": F.avg(TEMP), "max_temp_c": F.max(TEMP)}
+    simple = {"n_readings": count_rows(), "mean_temp_c": F.avg(TEMP), "max_temp_c": F.max(TEMP)}
     if not exact:
         return grouped(df, by, {**simple, "p95_temp_c": F.percentile_approx(TEMP, 0.95)})
     p95 = exact_quantile(df, by, TEMP, 0.95, "p95_temp_c")

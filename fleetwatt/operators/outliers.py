@@ -47,6 +47,8 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
             continue
         feature = int(rng.choice(usable))
         split = float(rng.uniform(low[feature], high[feature]))
+        if split >= high[feature]:  # neighbouring doubles: the draw can round up
+            split = float(low[feature])
         goes_left = part[:, feature] <= split
         nodes[here][0], nodes[here][1] = feature, split
         pending.append((part[~goes_left], depth + 1, (here, 3)))

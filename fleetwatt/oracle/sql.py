@@ -307,14 +307,17 @@ SELECT reading_id, round(v, 6) AS thd_voltage_pct, round(a, 6) AS thd_current_pc
 
 def _flex(keys: str, group: str) -> str:
     return f""", f AS (SELECT {keys} count(*) FILTER (WHERE {_FLEX}) AS flex_readings,
+    count(*) AS n_readings, sum(grid_import_kw) FILTER (WHERE NOT {_FLEX}) AS base_sum,
+    sum(grid_import_kw) FILTER (WHERE {_FLEX}) AS inside_sum,
     avg(grid_import_kw) FILTER (WHERE NOT {_FLEX}) AS base,
     avg(grid_import_kw) FILTER (WHERE {_FLEX}) AS inside FROM stg {group}),
 flex AS (SELECT *, CASE WHEN flex_readings > 0 THEN CASE WHEN base > 0
     THEN (base - inside) / base * 100e0 ELSE 0e0 END END AS reduction FROM f)"""
 
 
-_FLEX_OUT = """flex_readings, round(base, 9) AS baseline_import_kw,
-  round(inside, 9) AS flex_import_kw, round(reduction, 9) AS reduction_pct"""
+_FLEX_OUT = """n_readings, flex_readings,
+  round(base_sum, 6) / nullif(n_readings - flex_readings, 0) AS baseline_import_kw,
+  round(inside_sum, 6) / flex_readings AS flex_import_kw, round(reduction, 9) AS reduction_pct"""
 _FLEX_CLASS = "CASE WHEN reduction > 10e0 THEN 'SIGNIFICANT' ELSE 'LIMITED' END AS response_class"
 ORACLE["c06_flex_response"] = _stg(
     f"{_flex('system_id,', _BY)} SELECT system_id, {_FLEX_OUT} FROM flex WHERE flex_readings > 0"
@@ -416,7 +419,7 @@ SELECT system_id, CASE WHEN eff >= 92e0 THEN 'EXPECTED' WHEN eff >= 90e0 THEN 'L
 # --- inverter ----------------------------------------------------------------
 
 ORACLE["d10_inverter_summary"] = _stg(
-    f"""SELECT system_id, round(avg(inverter_efficiency_pct), 9) AS mean_efficiency_pct,
+    f"""SELECT system_id, count(*) AS n_readings, round(sum(inverter_efficiency_pct), 6) / count(*) AS mean_efficiency_pct,
   min(inverter_efficiency_pct) AS min_efficiency_pct, max(inverter_temp_c) AS max_temp_c,
   count(*) FILTER (WHERE inverter_efficiency_pct < 96e0) AS low_efficiency_count FROM stg {_BY}"""
 )
@@ -432,7 +435,7 @@ SELECT system_id, round(r, 6) AS temp_eff_corr, m AS max_temp_c,
   CASE WHEN r < -4e-1 AND m > 60e0 THEN 'EXPECTED_HOT' WHEN r < -4e-1 THEN 'EXPECTED' ELSE 'WEAK' END
     AS corr_class FROM d"""
 )
-_THERMAL = """round(avg(inverter_temp_c), 9) AS mean_temp_c, max(inverter_temp_c) AS max_temp_c,
+_THERMAL = """count(*) AS n_readings, round(sum(inverter_temp_c), 6) / count(*) AS mean_temp_c, max(inverter_temp_c) AS max_temp_c,
   round(quantile_cont(inverter_temp_c, 95e-2), 9) AS p95_temp_c FROM stg"""
 ORACLE["d13_thermal_summary"] = _stg(f"SELECT system_id, {_THERMAL} {_BY}")
 ORACLE["d13_thermal_summary_fleet"] = _stg(f"SELECT {_THERMAL}")
@@ -536,7 +539,7 @@ SELECT {', '.join(f'b.{k.strip()}' for k in keys.split(','))},
   round(left_cycles, 9) AS warranty_cycles_remaining,
   round(coalesce(rated.eff, 93e0), 9) AS round_trip_efficiency_pct, soh_status AS battery_status,
   '10 years or 4,000 cycles, 70% capacity retention' AS warranty_status, round(eol, 9) AS projected_eol_years,
-  round(b.eff, 9) AS mean_efficiency_pct, hot AS thermal_events,
+  round(b.eff * n, 6) / n AS mean_efficiency_pct, hot AS thermal_events,
   CASE WHEN b.eff > 96e0 THEN 'HEALTHY' ELSE 'INVESTIGATE' END AS inverter_status,
   n AS total_data_points, missing AS missing_data_points,
   round((1e0 - missing / CAST(n * {len(cells)} AS DOUBLE)) * 100e0, 9) AS data_completeness_pct

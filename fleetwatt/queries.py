@@ -9,12 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from fleetwatt.config import ENGINE, JOB, MART
-from fleetwatt.functions.scalars import in_flex_window, share_pct
-from fleetwatt.functions.wallclock import ntz
+from fleetwatt.functions.scalars import in_flex_window, ratio
 from fleetwatt.operators import (
     battery,
     compliance,
@@ -68,6 +67,16 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), DIGITS.get(c, 9)) for c in columns})
 
 
+def steady(df: DataFrame, **means: Column) -> DataFrame:
+    """Means over n complete readings, made again from the rounded sum.
+
+    The sums are exact at six places, the means of 16 readings are not at any
+    sensible number of places.
+    """
+    again = {c: ratio(F.round(F.col(c) * n, 6), n) for c, n in means.items()}
+    return df.withColumns(again)
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry_from_events(spark, sf_dir)
 
@@ -320,17 +329,20 @@ def c05_thd_check(spark, sf_dir):
     return rounded(checked, "thd_voltage_pct", "thd_current_pct")
 
 
-_FLEX = ["baseline_import_kw", "flex_import_kw", "reduction_pct"]
+def _flex(spark, sf_dir, by):
+    flex = rounded(compliance.flex_response(staged(spark, sf_dir), by), "reduction_pct")
+    inside, rows = F.col("flex_readings"), F.col("n_readings")
+    return steady(flex, flex_import_kw=inside, baseline_import_kw=rows - inside)
 
 
 @query
 def c06_flex_response(spark, sf_dir):
-    return rounded(compliance.flex_response(staged(spark, sf_dir)), *_FLEX).drop("response_class")
+    return _flex(spark, sf_dir, ID).drop("response_class")
 
 
 @query
 def c06_flex_response_fleet(spark, sf_dir):
-    return rounded(compliance.flex_response(staged(spark, sf_dir), by=[]), *_FLEX)
+    return _flex(spark, sf_dir, [])
 
 
 @query
@@ -422,7 +434,8 @@ _MEAN_EFF = "mean_efficiency_pct"
 
 @query
 def d10_inverter_summary(spark, sf_dir):
-    return rounded(inverter.inverter_summary(staged(spark, sf_dir)), _MEAN_EFF).drop("efficiency_band")
+    means = inverter.inverter_summary(staged(spark, sf_dir)).drop("efficiency_band")
+    return steady(means, mean_efficiency_pct=F.col("n_readings"))
 
 
 @query
@@ -435,14 +448,19 @@ def d12_temp_eff_corr(spark, sf_dir):
     return rounded(inverter.temp_eff_corr(staged(spark, sf_dir)), "temp_eff_corr")
 
 
+def _thermal(spark, sf_dir, by):
+    heat = inverter.thermal_summary(staged(spark, sf_dir), by)
+    return steady(rounded(heat, "p95_temp_c"), mean_temp_c=F.col("n_readings"))
+
+
 @query
 def d13_thermal_summary(spark, sf_dir):
-    return rounded(inverter.thermal_summary(staged(spark, sf_dir)), "mean_temp_c", "p95_temp_c")
+    return _thermal(spark, sf_dir, ID)
 
 
 @query
 def d13_thermal_summary_fleet(spark, sf_dir):
-    return rounded(inverter.thermal_summary(staged(spark, sf_dir), by=[]), "mean_temp_c", "p95_temp_c")
+    return _thermal(spark, sf_dir, [])
 
 
 @query
@@ -515,7 +533,8 @@ def e08_dr_status(spark, sf_dir):
 def _report(spark, sf_dir, by):
     made = report.flat(report.monthly_report(staged(spark, sf_dir), ENGINE, by, as_of=AS_OF), by)
     doubles = [f.name for f in made.schema if f.dataType == T.DoubleType()]
-    return rounded(made, *doubles)
+    made = steady(made, mean_efficiency_pct=F.col("total_data_points"))
+    return rounded(made, *[c for c in doubles if c != _MEAN_EFF])
 
 
 @query
