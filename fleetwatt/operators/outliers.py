@@ -57,27 +57,30 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
 
 
 def _sample(df: DataFrame, features, keys, trees, seed, size) -> DataFrame:
-    """The `size` rows with the smallest hash, for each tree.
+    """At most `size` rows per tree, those with the smallest draws.
 
-    A cut on the hash, set from the row count, leaves about twice the wanted
-    rows before anything moves. It depends on the rows only, so another number
-    of partitions gives the same sample.
+    A row takes part in `slots` trees, chosen by its hash, and stays there with
+    a probability that leaves about twice the wanted rows. A large table needs
+    one slot, so that a single hash per row and a filter decide. All depends on
+    the rows only: another number of partitions gives the same sample.
     """
     buckets = 1 << 40
-    wanted = F.lit(2.0 * size * buckets) / df.agg(F.count(F.lit(1))).scalar()
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(
-            t.alias("tree"),
-            F.pmod(F.xxhash64(*keys, t, F.lit(seed)), F.lit(buckets)).alias("draw"),
-        ),
-    )
+    per_row = 2.0 * size * trees / max(df.count(), 1)
+    slots = max(1, min(trees, int(np.ceil(per_row))))
+    cut = int(min(per_row / slots, 1.0) * buckets)
+    slot = F.lit(0) if slots == 1 else F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
     drawn = (
-        df.withColumn("_cut", wanted)
-        .select(*features, *keys, F.explode(F.filter(draws, lambda d: d["draw"] < F.col("_cut"))).alias("_d"))
-        .select(*features, *keys, "_d.tree", "_d.draw")
+        df.select(*features, *keys, slot.alias("_slot"))
+        .withColumn("_draw", F.xxhash64(*keys, F.lit(seed), "_slot"))
+        .where(F.pmod("_draw", F.lit(buckets)) < cut)
+        .withColumn(
+            "tree",
+            (
+                (F.pmod(F.xxhash64(*keys, F.lit(seed + 1)), F.lit(trees)) + F.col("_slot")) % trees
+            ).cast("int"),
+        )
     )
-    smallest = Window.partitionBy("tree").orderBy("draw", *keys)
+    smallest = Window.partitionBy("tree").orderBy("_draw", *keys)
     return (
         drawn.withColumn("_place", F.row_number().over(smallest))
         .where(F.col("_place") <= size)
@@ -106,7 +109,9 @@ def fit_forest(
         return made
 
     sample = _sample(df, features, keys or KEYS, trees, seed, size)
-    return sample.groupBy("tree").applyInPandas(fit, _TREE_SCHEMA)
+    # A set number of partitions: the sample is small, and would be fitted by one task.
+    spread = sample.repartition(min(trees, 64), "tree")
+    return spread.groupBy("tree").applyInPandas(fit, _TREE_SCHEMA)
 
 
 def score_rows(df: DataFrame, features: list[str], forest: DataFrame, size: int) -> DataFrame:
@@ -155,12 +160,13 @@ def isolation_outliers(
 ) -> DataFrame:
     """Label every complete row: the given share with the highest scores is -1.
 
-    Scores are stored once, in the cluster's shared folder: the cut and the
-    labels are then plain passes over that table.
+    The complete rows and the scores are each stored once, in the cluster's
+    shared folder: count, sample, scoring, cut and labels are then plain passes
+    over narrow tables.
     """
     features = features or ["inverter_temp_c", "inverter_efficiency_pct"]
     keys = keys or KEYS
-    complete = df.select(*keys, *features).dropna(subset=features)
+    complete = stored(df.select(*keys, *features).dropna(subset=features), "features")
     forest = fit_forest(complete, features, trees, seed, size, keys)
     scored = stored(score_rows(complete, features, forest, size), "scores")
     cut = exact_quantile(scored, [], "anomaly_score", 1.0 - contamination, "cut").scalar()

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from fleetwatt.config import ENGINE, LIMITS, GridCode, PlantLimits
-from fleetwatt.functions.scalars import count_rows, total
+from fleetwatt.functions.scalars import count_rows, in_flex_window, ratio, total
 from fleetwatt.functions.wallclock import ntz, whole_days_between
 from fleetwatt.operators.battery import health_columns, round_trip_efficiency
 from fleetwatt.operators.compliance import (
@@ -26,7 +26,6 @@ from fleetwatt.operators.violations import (
     power_factor_low,
     voltage_normal,
 )
-from fleetwatt.functions.scalars import in_flex_window, ratio
 
 # Texts and defaults of the report.
 REPORT_TYPE = "California NEM 3.0 Monthly Compliance & Performance"
@@ -92,12 +91,19 @@ def _summed(daily: DataFrame, by) -> DataFrame:
     )
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, by) -> DataFrame:
-    """Attach per-group results; grouping keys may be NULL."""
-    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
+# Staging leaves no NULL in these, so joins on them keep the partitioning of the
+# aggregates. Other keys, such as the utility, may be NULL.
+_NEVER_NULL = {"system_id", "month", "date"}
+
+
+def _attach(left: DataFrame, right: DataFrame, by) -> DataFrame:
+    """Attach one row of results per group."""
     if not by:
         # Two one-row tables.
         return left.withColumns({c: right.select(c).scalar() for c in right.columns})
+    if set(by) <= _NEVER_NULL:
+        return left.join(right, by, "left")
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
     match = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
     return left.join(renamed, match, "left").drop(*[f"_r_{c}" for c in by])
 
@@ -129,16 +135,16 @@ def monthly_report(
         }
     ).withColumns({**health_columns(limits), **energy_columns(limits)})
     rte = round_trip_efficiency(rows, by, limits).select(*by, "round_trip_efficiency_pct")
-    parts = _null_safe_join(base, rte, by)
+    parts = _attach(base, rte, by)
     if "utility" in by:
         parts = parts.withColumn("utility_mode", F.col("utility"))
     else:
-        parts = _null_safe_join(parts, utility_mode(rows, by), by)
+        parts = _attach(parts, utility_mode(rows, by), by)
     if thd is None:
         none = F.lit(None).cast("double")
         parts = parts.withColumns({"thd_voltage_pct": none, "thd_current_pct": none})
     else:
-        parts = _null_safe_join(parts, thd.select(*by, "thd_voltage_pct", "thd_current_pct"), by)
+        parts = _attach(parts, thd.select(*by, "thd_voltage_pct", "thd_current_pct"), by)
 
     def known(name, key):
         return F.coalesce(F.col(name), F.lit(DEFAULTS[key]))

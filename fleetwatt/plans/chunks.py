@@ -7,6 +7,8 @@ small table with one row per series and block carries state across the cuts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetwatt.functions.wallclock import date_chunk
@@ -15,8 +17,15 @@ CHUNK = "_chunk"
 DEFAULT_CHUNK_DAYS = 7
 
 
-def with_chunk(df: DataFrame, time: str = "timestamp", days: int = DEFAULT_CHUNK_DAYS) -> DataFrame:
-    return df.withColumn(CHUNK, date_chunk(F.to_date(time), days))
+def with_chunk(df: DataFrame, keys: list[str], time: str, days: int) -> DataFrame:
+    """Number the blocks. Rows without a key or a time belong to no series.
+
+    Saying so here keeps the filters of all branches equal, and so lets Spark
+    reuse one exchange for them.
+    """
+    present = [F.col(c).isNotNull() for c in [*keys, CHUNK]]
+    numbered = df.withColumn(CHUNK, date_chunk(F.to_date(time), days))
+    return numbered.where(reduce(lambda a, b: a & b, present))
 
 
 def with_previous(
@@ -32,22 +41,24 @@ def with_previous(
     before the call: both branches below then share one exchange.
     """
     block = Window.partitionBy(*keys, CHUNK).orderBy(time)
-    values = F.struct(*columns)
-    rows = with_chunk(df, time, chunk_days).withColumns(
-        {
-            "_before": F.lag(values).over(block),
-            "_last": F.lead(F.lit(True)).over(block).isNull(),
-        }
-    )
+    rows = with_chunk(df, keys, time, chunk_days)
+    inside = {f"_before_{c}": F.lag(c).over(block) for c in columns}
+    # A constant lag is NULL only where there is no row before.
+    opens, closes = F.lag(F.lit(True)).over(block).isNull(), F.lead(F.lit(True)).over(block).isNull()
+
     series = Window.partitionBy(*keys).orderBy(CHUNK)
-    carried = (
-        rows.where("_last")
-        .select(*keys, CHUNK, values.alias("_tail"))
-        .select(*keys, CHUNK, F.lag("_tail").over(series).alias("_carried"))
+    ends = rows.withColumn("_closes", closes).where("_closes").select(*keys, CHUNK, *columns)
+    carried = ends.select(
+        *keys, CHUNK, *[F.lag(c).over(series).alias(f"_carried_{c}") for c in columns]
     )
-    joined = rows.join(carried, [*keys, CHUNK], "left")
-    before = F.coalesce("_before", "_carried")
-    return joined.select(*df.columns, *[before[c].alias(f"previous_{c}") for c in columns])
+    joined = rows.withColumns({**inside, "_opens": opens}).join(carried, [*keys, CHUNK])
+    previous = [
+        F.when(F.col("_opens"), F.col(f"_carried_{c}"))
+        .otherwise(F.col(f"_before_{c}"))
+        .alias(f"previous_{c}")
+        for c in columns
+    ]
+    return joined.select(*df.columns, *previous)
 
 
 def runs(
@@ -63,7 +74,7 @@ def runs(
     """
     block = Window.partitionBy(*keys, CHUNK).orderBy(time)
     flagged = with_chunk(
-        df.select(*keys, time, F.coalesce(holds, F.lit(False)).alias("_on")), time, chunk_days
+        df.select(*keys, time, F.coalesce(holds, F.lit(False)).alias("_on")), keys, time, chunk_days
     )
     starts = flagged.withColumn(
         "_starts", F.col("_on") & ~F.lag("_on", 1, False).over(block)

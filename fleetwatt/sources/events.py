@@ -6,99 +6,70 @@ engine can derive the same rows bit for bit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from fleetwatt.schema import RAW_SCHEMA
-
-
-def _spread(factor: int) -> Column:
-    """A double in [-1, 1] that depends on the event id only."""
-    return ((F.col("event_id") * factor) % 601 - 300).cast("double") / F.lit(300.0)
-
-
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
-def _cut_to_hour(ts: Column) -> Column:
-    # date_trunc would return a zoned timestamp here.
-    return ts - F.make_dt_interval(
-        F.lit(0), F.lit(0), F.extract(F.lit("MINUTE"), ts), F.extract(F.lit("SECOND"), ts)
-    )
+from pyspark.sql import DataFrame, SparkSession
+
+# A timestamp without a zone, cut to the hour (date_trunc would add a zone), and
+# moved by up to eleven months per user; or the event's own time, for a stream.
+_EVENT_TIME = {
+    "spread": """ts - make_dt_interval(0, 0, extract(MINUTE FROM ts), extract(SECOND FROM ts))
+        + make_dt_interval(CAST((user_id % 12) * 30 - 10 AS INT))""",
+    "arrival": "ts",
+}
+
+# Each stage may use the columns of the one before.
+_INPUTS = [
+    "event_id AS id",
+    "ts",
+    "user_id",
+    "value",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    "CAST((event_id * 7919) % 601 - 300 AS DOUBLE) / 300D AS u",
+    "CAST((event_id * 104729) % 601 - 300 AS DOUBLE) / 300D AS w",
+]
+_POWER = [
+    "*",
+    """CASE WHEN id % 97 = 0 THEN -0.5D
+        WHEN hour(`timestamp`) BETWEEN 6 AND 18 THEN least(value, 100D) / 100D * 8.5D
+        ELSE 0D END AS solar""",
+    "0.5D + k / 40D AS used",
+]
+_HEAT = [
+    "*",
+    """30D + solar * 2.5D + CAST(id % 50 AS DOUBLE) / 5D
+        + CASE WHEN id % 67 = 0 THEN 30D ELSE 0D END AS heat""",
+]
+_READING = [
+    "id AS reading_id",
+    "CASE WHEN id % 211 <> 0 THEN concat('SYS-', lpad(CAST(user_id AS STRING), 5, '0')) END AS system_id",
+    "`timestamp`",
+    "solar AS solar_production_kw",
+    "used AS consumption_kw",
+    "greatest(0D, used - solar) AS grid_import_kw",
+    "greatest(0D, solar - used) AS grid_export_kw",
+    "15D + CAST((id * 37) % 81 AS DOUBLE) AS battery_soc_pct",
+    "CAST((id * 53) % 501 - 250 AS DOUBLE) / 100D AS battery_power_kw",
+    """CASE WHEN id % 101 = 0 THEN NULL WHEN id % 997 = 0 THEN 195D
+        ELSE 240D + 32D * u * u * u END AS voltage_v""",
+    """CASE WHEN id % 103 = 0 THEN NULL WHEN id % 499 = 0 THEN 56.5D WHEN id % 503 = 0 THEN 61.5D
+        ELSE 60D + 0.8D * w * w * w END AS frequency_hz""",
+    "heat AS inverter_temp_c",
+    """97.8D - (heat - 35D) * 0.04D + CAST((id * 31) % 13 - 6 AS DOUBLE) / 10D
+        - CASE WHEN id % 41 = 0 THEN 3D ELSE 0D END AS inverter_efficiency_pct""",
+    "0.945D + CAST((id * 11) % 56 AS DOUBLE) / 1000D AS power_factor",
+    "CASE user_id % 3 WHEN 0 THEN 'PGE' WHEN 1 THEN 'SCE' ELSE 'SDGE' END AS utility",
+    "ts AS ingestion_timestamp",
+]
 
 
 def map_events(events: DataFrame, event_time: str = "spread") -> DataFrame:
-    """Telemetry rows from events.
-
-    event_time "spread" cuts the time to the hour and moves each user by up to
-    eleven months; "arrival" keeps the event's own time, as a stream needs it.
-    """
-    ident = F.col("event_id")
-    shift_days = ((F.col("user_id") % 12) * 30 - 10).cast("int")
-    if event_time == "spread":
-        when_read = _cut_to_hour(F.col("ts")) + F.make_dt_interval(shift_days)
-    else:
-        when_read = F.col("ts")
-
-    base = events.select(
-        ident,
-        "ts",
-        "user_id",
-        "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        _spread(7919).alias("u"),
-        _spread(104729).alias("w"),
-        when_read.alias("timestamp"),
-    )
-    hour = F.hour("timestamp")
-    power = base.withColumns(
-        {
-            "solar_production_kw": F.when(_every(97), F.lit(-0.5))
-            .when(hour.between(6, 18), F.least("value", F.lit(100.0)) / F.lit(100.0) * F.lit(8.5))
-            .otherwise(F.lit(0.0)),
-            "consumption_kw": F.lit(0.5) + F.col("k") / F.lit(40.0),
-        }
-    )
-    solar, used = F.col("solar_production_kw"), F.col("consumption_kw")
-    heat = power.withColumn(
-        "inverter_temp_c",
-        F.lit(30.0)
-        + solar * F.lit(2.5)
-        + (ident % 50).cast("double") / F.lit(5.0)
-        + F.when(_every(67), F.lit(30.0)).otherwise(F.lit(0.0)),
+    """Telemetry rows from events, at the spread or the arrival time."""
+    read_at = f"{_EVENT_TIME[event_time]} AS `timestamp`"
+    return (
+        events.selectExpr(*_INPUTS, read_at)
+        .selectExpr(*_POWER)
+        .selectExpr(*_HEAT)
+        .selectExpr(*_READING)
     )
-    u, w = F.col("u"), F.col("w")
-    region = F.col("user_id") % 3
-    columns = {
-        "reading_id": ident,
-        "system_id": F.when(
-            ~_every(211),
-            F.concat(F.lit("SYS-"), F.lpad(F.col("user_id").cast("string"), 5, "0")),
-        ),
-        "timestamp": F.col("timestamp"),
-        "solar_production_kw": solar,
-        "consumption_kw": used,
-        "grid_import_kw": F.greatest(F.lit(0.0), used - solar),
-        "grid_export_kw": F.greatest(F.lit(0.0), solar - used),
-        "battery_soc_pct": F.lit(15.0) + ((ident * 37) % 81).cast("double"),
-        "battery_power_kw": ((ident * 53) % 501 - 250).cast("double") / F.lit(100.0),
-        "voltage_v": F.when(_every(101), F.lit(None).cast("double"))
-        .when(_every(997), F.lit(195.0))
-        .otherwise(F.lit(240.0) + F.lit(32.0) * u * u * u),
-        "frequency_hz": F.when(_every(103), F.lit(None).cast("double"))
-        .when(_every(499), F.lit(56.5))
-        .when(_every(503), F.lit(61.5))
-        .otherwise(F.lit(60.0) + F.lit(0.8) * w * w * w),
-        "inverter_temp_c": F.col("inverter_temp_c"),
-        "inverter_efficiency_pct": F.lit(97.8)
-        - (F.col("inverter_temp_c") - F.lit(35.0)) * F.lit(0.04)
-        + ((ident * 31) % 13 - 6).cast("double") / F.lit(10.0)
-        - F.when(_every(41), F.lit(3.0)).otherwise(F.lit(0.0)),
-        "power_factor": F.lit(0.945) + ((ident * 11) % 56).cast("double") / F.lit(1000.0),
-        "utility": F.when(region == 0, "PGE").when(region == 1, "SCE").otherwise("SDGE"),
-        "ingestion_timestamp": F.col("ts"),
-    }
-    return heat.select(*[columns[name].alias(name) for name in RAW_SCHEMA.names])
 
 
 def telemetry_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
