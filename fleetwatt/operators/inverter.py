@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fleetwatt.config import LIMITS, PlantLimits
 from fleetwatt.functions.scalars import count_rows, efficiency_band, pair_correlation
 from fleetwatt.operators.compliance import BY_SYSTEM, grouped
+from fleetwatt.plans.joins import join_groups
 from fleetwatt.plans.skew import exact_quantile
 
 TEMP, EFF = "inverter_temp_c", "inverter_efficiency_pct"
@@ -67,10 +68,7 @@ def thermal_summary(df: DataFrame, by=BY_SYSTEM, exact: bool = True) -> DataFram
     if not exact:
         return grouped(df, by, {**simple, "p95_temp_c": F.percentile_approx(TEMP, 0.95)})
     p95 = exact_quantile(df, by, TEMP, 0.95, "p95_temp_c")
-    means = grouped(df, by, simple)
-    if not by:
-        return means.withColumn("p95_temp_c", p95.scalar())
-    return means.join(p95, by, "left")
+    return join_groups(grouped(df, by, simple), p95, by)
 
 
 def overtemp(df: DataFrame, by=BY_SYSTEM, limits: PlantLimits = LIMITS) -> DataFrame:

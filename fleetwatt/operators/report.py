@@ -20,6 +20,7 @@ from fleetwatt.operators.energy import energy_columns, period_text, utility_mode
 from fleetwatt.operators.inverter import inverter_status
 from fleetwatt.operators.quality import completeness_pct, missing_cells
 from fleetwatt.operators.staging import with_month
+from fleetwatt.plans.joins import join_groups
 from fleetwatt.operators.violations import (
     breaks,
     frequency_normal,
@@ -91,23 +92,6 @@ def _summed(daily: DataFrame, by) -> DataFrame:
     )
 
 
-# Staging leaves no NULL in these, so joins on them keep the partitioning of the
-# aggregates. Other keys, such as the utility, may be NULL.
-_NEVER_NULL = {"system_id", "month", "date"}
-
-
-def _attach(left: DataFrame, right: DataFrame, by) -> DataFrame:
-    """Attach one row of results per group."""
-    if not by:
-        # Two one-row tables.
-        return left.withColumns({c: right.select(c).scalar() for c in right.columns})
-    if set(by) <= _NEVER_NULL:
-        return left.join(right, by, "left")
-    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
-    match = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
-    return left.join(renamed, match, "left").drop(*[f"_r_{c}" for c in by])
-
-
 def monthly_report(
     df: DataFrame,
     gc: GridCode = ENGINE,
@@ -135,16 +119,16 @@ def monthly_report(
         }
     ).withColumns({**health_columns(limits), **energy_columns(limits)})
     rte = round_trip_efficiency(rows, by, limits).select(*by, "round_trip_efficiency_pct")
-    parts = _attach(base, rte, by)
+    parts = join_groups(base, rte, by)
     if "utility" in by:
         parts = parts.withColumn("utility_mode", F.col("utility"))
     else:
-        parts = _attach(parts, utility_mode(rows, by), by)
+        parts = join_groups(parts, utility_mode(rows, by), by)
     if thd is None:
         none = F.lit(None).cast("double")
         parts = parts.withColumns({"thd_voltage_pct": none, "thd_current_pct": none})
     else:
-        parts = _attach(parts, thd.select(*by, "thd_voltage_pct", "thd_current_pct"), by)
+        parts = join_groups(parts, thd.select(*by, "thd_voltage_pct", "thd_current_pct"), by)
 
     def known(name, key):
         return F.coalesce(F.col(name), F.lit(DEFAULTS[key]))

@@ -1,11 +1,13 @@
-"""Joins and quantiles that do not put one hot group into one task."""
+"""A join and a quantile that do not put one hot group into one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from fleetwatt.plans.joins import join_groups
+
 SALT = "_salt"
-DEFAULT_SALTS = 16
+DEFAULT_SALTS = 32
 
 
 def salt_rows(df: DataFrame, on: list[str], salts: int = DEFAULT_SALTS) -> DataFrame:
@@ -13,9 +15,16 @@ def salt_rows(df: DataFrame, on: list[str], salts: int = DEFAULT_SALTS) -> DataF
     return df.withColumn(SALT, F.pmod(F.xxhash64(*on), F.lit(salts)).cast("int"))
 
 
-def copy_per_salt(df: DataFrame, salts: int = DEFAULT_SALTS) -> DataFrame:
-    """One copy per salt of a table with one row per group."""
-    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+def attach_group(df: DataFrame, groups: DataFrame, by: list[str], salts: int) -> DataFrame:
+    """Add the columns of a table with one row per group to salted rows.
+
+    Each group row is copied once per salt, so a hot group is joined by as many
+    tasks. A table without groups is one row: a scalar subquery, no shuffle.
+    """
+    if not by:
+        return join_groups(df, groups, [])
+    copies = groups.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return join_groups(df, copies, [*by, SALT], "inner")
 
 
 # Cut points around the wanted share: the bin that holds it is small.
@@ -47,12 +56,9 @@ def exact_quantile(
         .groupBy(*by)
         .agg(F.percentile_approx(column, points, accuracy).alias("_edges"))
     )
-    on = [*by, SALT]
     bin_of = sum(((value > F.col("_edges")[i]).cast("int") for i in range(len(points))), F.lit(0))
-    binned = (
-        salt_rows(counts, [column], salts)
-        .join(copy_per_salt(edges, salts), on)
-        .select(*on, column, "_n", bin_of.alias("_bin"))
+    binned = attach_group(salt_rows(counts, [column], salts), edges, by, salts).select(
+        *by, SALT, column, "_n", bin_of.alias("_bin")
     )
 
     # At most len(points) + 1 rows per group from here to the target.
@@ -84,8 +90,8 @@ def exact_quantile(
         )
     )
 
-    # Joined on the same keys as above, so only the target table moves.
-    chosen = binned.join(copy_per_salt(target, salts), on).where(
+    # Attached on the same keys as the edges, so only the target table moves.
+    chosen = attach_group(binned, target, by, salts).where(
         F.col("_bin").between(F.col("_first_bin"), F.col("_last_bin"))
     )
     inside = Window.partitionBy(*by).orderBy(column)
