@@ -16,17 +16,17 @@ def merge_sources(sources: dict[str, DataFrame], keys: list[str] | None = None)
     must hold a key once. One mergeable aggregate, no join between sources.
     """
     keys = keys or KEYS
-    tagged = [
-        df.withColumns({"_rank": F.lit(rank), "_source": F.lit(name)})
-        for rank, (name, df) in enumerate(sources.items())
-    ]
+    names = list(sources)
+    tagged = [df.withColumn("_rank", F.lit(rank)) for rank, df in enumerate(sources.values())]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    values = [c for c in rows.columns if c not in (*keys, "_rank", "_source")]
-    first = [
-        F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in values
-    ]
-    return rows.groupBy(*keys).agg(
-        *first,
-        F.count(F.lit(1)).alias("n_sources"),
-        F.min_by("_source", "_rank").alias("best_source"),
+    values = [c for c in rows.columns if c not in (*keys, "_rank")]
+    first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in values]
+    # The name comes from the rank afterwards: with numbers only, Spark can
+    # aggregate by hash instead of sorting all rows.
+    best = F.element_at(F.array(*map(F.lit, names)), F.col("_best") + 1)
+    return (
+        rows.groupBy(*keys)
+        .agg(*first, F.count(F.lit(1)).alias("n_sources"), F.min("_rank").alias("_best"))
+        .withColumn("best_source", best)
+        .drop("_best")
     )

@@ -27,8 +27,7 @@ def attach_group(df: DataFrame, groups: DataFrame, by: list[str], salts: int) ->
     return join_groups(df, copies, [*by, SALT], "inner")
 
 
-# Cut points around the wanted share: the bin that holds it is small.
-_MARGINS = [-1e-2, -1e-3, -2e-4, 2e-4, 1e-3, 1e-2]
+BINS = 1000
 
 
 def exact_quantile(
@@ -43,25 +42,34 @@ def exact_quantile(
     """Exact quantile per group, with linear interpolation between ranks.
 
     The built-in exact percentile holds every distinct value of a group in one
-    buffer. Here equal values are counted first; a bounded sketch then only
-    chooses bin edges, exact counts per bin find the bin with the wanted rank,
-    and just the values of that bin are sorted. A poor sketch makes the bin
-    larger but never the result wrong, because bins follow the value order.
+    buffer. Here equal values are counted first. A bounded sketch brackets the
+    wanted rank, the bracket is cut into bins of equal width, and exact counts
+    per bin find the one with the rank. Only its values are sorted: of a large
+    group about one in a million. A poor sketch makes that bin larger but never
+    the result wrong, because bins follow the order of the values.
     """
     value = F.col(column)
-    counts = df.where(value.isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
-    points = sorted({min(max(share + m, 0.0), 1.0) for m in _MARGINS})
-    edges = (
-        df.where(value.isNotNull())
-        .groupBy(*by)
-        .agg(F.percentile_approx(column, points, accuracy).alias("_edges"))
+    known = df.where(value.isNotNull())
+    counts = known.groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
+    margin = 3.0 / accuracy
+    ends = [max(share - margin, 0.0), min(share + margin, 1.0)]
+    bracket = (
+        known.groupBy(*by)
+        .agg(F.percentile_approx(column, ends, accuracy).alias("_ends"))
+        .select(*by, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
     )
-    bin_of = sum(((value > F.col("_edges")[i]).cast("int") for i in range(len(points))), F.lit(0))
-    binned = attach_group(salt_rows(counts, [column], salts), edges, by, salts).select(
+    low, high = F.col("_low"), F.col("_high")
+    place = F.floor(F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0)) * BINS)
+    bin_of = (
+        F.when(value < low, F.lit(0))
+        .when(value > high, F.lit(BINS + 1))
+        .otherwise(F.least(place, F.lit(BINS - 1)) + 1)
+    ).cast("int")
+    binned = attach_group(salt_rows(counts, [column], salts), bracket, by, salts).select(
         *by, SALT, column, "_n", bin_of.alias("_bin")
     )
 
-    # At most len(points) + 1 rows per group from here to the target.
+    # At most BINS + 2 rows per group from here to the target.
     order = Window.partitionBy(*by).orderBy("_bin")
     whole = Window.partitionBy(*by)
     rank = (F.col("_total") - 1) * F.lit(share)
@@ -90,7 +98,7 @@ def exact_quantile(
         )
     )
 
-    # Attached on the same keys as the edges, so only the target table moves.
+    # Attached on the same keys as the bracket, so only the target table moves.
     chosen = attach_group(binned, target, by, salts).where(
         F.col("_bin").between(F.col("_first_bin"), F.col("_last_bin"))
     )
@@ -103,10 +111,13 @@ def exact_quantile(
             F.when((F.col("_from") <= position) & (position < F.col("_upto")), value)
         )
 
-    low, high = at(F.floor("_rank")), at(F.ceil("_rank"))
     return (
         ranked.groupBy(*by)
-        .agg(low.alias("_low"), high.alias("_high"), F.first("_rank").alias("_rank"))
+        .agg(
+            at(F.floor("_rank")).alias("_low"),
+            at(F.ceil("_rank")).alias("_high"),
+            F.first("_rank").alias("_rank"),
+        )
         .select(
             *by,
             (
