@@ -1,4 +1,4 @@
-"""Cutting lineage, and scratch tables, in storage every executor can reach."""
+"""Tables written between the steps of a job, in storage every executor can reach."""
 
 from __future__ import annotations
 
@@ -8,13 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; a fresh local one only if none is named."""
+    """The folder the cluster names; one of our own only if none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="fleetwatt-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    if named:
+        return named
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="fleetwatt-")
+    return _OWN[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -22,7 +27,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once and read back, so that later passes do not recompute df."""
+    """Write once and read back, so that later passes do not recompute df.
+
+    The table outlives executors and cuts the lineage. It stays in the shared
+    folder, under its label, until that is cleared.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
