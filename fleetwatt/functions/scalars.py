@@ -10,7 +10,7 @@ from fleetwatt.config import LIMITS, PlantLimits
 def null_if_nan(df: DataFrame, columns: list[str]) -> DataFrame:
     """NaN sorts above every number in Spark, so it must not reach comparisons."""
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in present})
+    return df.withColumns({c: F.expr(f"nanvl(`{c}`, CAST(NULL AS DOUBLE))") for c in present})
 
 
 def ratio(num: Column, den: Column) -> Column:

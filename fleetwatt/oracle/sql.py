@@ -170,6 +170,13 @@ ORACLE["a08_ingest_stats"] = _raw(
     FROM telemetry"""
 )
 
+ORACLE["a10_named_models"] = _stg(
+    "SELECT utility, hour_of_day, count(*) AS n_readings FROM stg GROUP BY utility, hour_of_day"
+)
+ORACLE["a11_materialized_mart"] = _viol(
+    "SELECT violation_type, severity, count(*) AS violation_count FROM viol GROUP BY violation_type, severity"
+)
+
 # --- staging and flags -------------------------------------------------------
 
 ORACLE["b01_project"] = _raw(f"SELECT {_RAW_COLUMNS}, ingestion_timestamp FROM telemetry")
@@ -549,6 +556,7 @@ FROM b JOIN health ON {same('health')} JOIN rated ON {same('rated')} JOIN sums O
 
 
 ORACLE["e09_monthly_report"] = _report("system_id, month", "system_id, month")
+ORACLE["a09_report_roundtrip"] = ORACLE["e09_monthly_report"]
 ORACLE["e09_utility_report"] = _report("utility, month", "utility, month, system_id")
 ORACLE["e10_system_completeness"] = _raw(
     """, s AS (SELECT count(DISTINCT system_id) AS actual_systems FROM telemetry)

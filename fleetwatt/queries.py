@@ -150,6 +150,34 @@ def a08_ingest_stats(spark, sf_dir):
     return quality.ingest_stats(telemetry(spark, sf_dir), digits=(9, 9, 9))
 
 
+@query
+def a09_report_roundtrip(spark, sf_dir):
+    path, by = scratch_path(spark, "report"), ["system_id", "month"]
+    made = report.monthly_report(staged(spark, sf_dir), ENGINE, by, as_of=AS_OF)
+    readings.write_report(made, path)
+    return _rounded_report(report.flat(spark.read.schema(made.schema).json(path), by))
+
+
+@query
+def a10_named_models(spark, sf_dir):
+    """The staging model as a view, and a question put to it by name."""
+    readings.materialize(staged(spark, sf_dir), "stg_telemetry", "view")
+    return spark.sql(
+        "SELECT utility, hour_of_day, count(*) AS n_readings FROM stg_telemetry GROUP BY ALL"
+    )
+
+
+@query
+def a11_materialized_mart(spark, sf_dir):
+    """The mart stored as a table, and a question put to it by name."""
+    path = scratch_path(spark, "mart")
+    readings.materialize(mart(spark, sf_dir), "grid_compliance_violations", "table", path)
+    return spark.sql(
+        "SELECT violation_type, severity, count(*) AS violation_count "
+        "FROM grid_compliance_violations GROUP BY ALL"
+    )
+
+
 # --- staging and flags -------------------------------------------------------
 
 
@@ -531,7 +559,11 @@ def e08_dr_status(spark, sf_dir):
 
 
 def _report(spark, sf_dir, by):
-    made = report.flat(report.monthly_report(staged(spark, sf_dir), ENGINE, by, as_of=AS_OF), by)
+    made = report.monthly_report(staged(spark, sf_dir), ENGINE, by, as_of=AS_OF)
+    return _rounded_report(report.flat(made, by))
+
+
+def _rounded_report(made):
     doubles = [f.name for f in made.schema if f.dataType == T.DoubleType()]
     made = steady(made, mean_efficiency_pct=F.col("total_data_points"))
     return rounded(made, *[c for c in doubles if c != _MEAN_EFF])

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # A timestamp without a zone, cut to the hour (date_trunc would add a zone), and
 # moved by up to eleven months per user; or the event's own time, for a stream.
 _EVENT_TIME = {
-    "spread": """ts - make_dt_interval(0, 0, extract(MINUTE FROM ts), extract(SECOND FROM ts))
-        + make_dt_interval(CAST((user_id % 12) * 30 - 10 AS INT))""",
+    "spread": """CAST(to_date(ts) AS TIMESTAMP_NTZ)
+        + make_dt_interval(CAST((user_id % 12) * 30 - 10 AS INT), hour(ts))""",
     "arrival": "ts",
 }
 

@@ -75,12 +75,13 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def materialize(df: DataFrame, name: str, how: str = "view") -> DataFrame:
-    """Register a model as a lazy view or store it as a table."""
+def materialize(df: DataFrame, name: str, how: str = "view", path: str | None = None) -> DataFrame:
+    """Register a model as a lazy view, or store it as a table, at a path if one is given."""
     if how == "view":
         df.createOrReplaceTempView(name)
     elif how == "table":
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = df.write.mode("overwrite")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
     else:
         raise ValueError(f"unknown materialization: {how}")
     return df.sparkSession.table(name)
