@@ -10,23 +10,14 @@ from fleetwatt.config import ENGINE, LIMITS, GridCode, PlantLimits
 from fleetwatt.functions.scalars import count_rows, in_flex_window, ratio, total
 from fleetwatt.functions.wallclock import ntz, whole_days_between
 from fleetwatt.operators.battery import health_columns, round_trip_efficiency
-from fleetwatt.operators.compliance import (
-    flex_reduction,
-    frequency_rate,
-    status_of,
-    voltage_rate,
-)
+from fleetwatt.operators.compliance import flex_reduction, frequency_rate, status_of, voltage_rate
 from fleetwatt.operators.energy import energy_columns, period_text, utility_mode
 from fleetwatt.operators.inverter import inverter_status
 from fleetwatt.operators.quality import completeness_pct, missing_cells
 from fleetwatt.operators.staging import with_month
+from fleetwatt.operators.violations import breaks, frequency_normal, voltage_normal
 from fleetwatt.plans.joins import join_groups
-from fleetwatt.operators.violations import (
-    breaks,
-    frequency_normal,
-    power_factor_low,
-    voltage_normal,
-)
+from fleetwatt.schema import RAW_SCHEMA
 
 # Texts and defaults of the report.
 REPORT_TYPE = "California NEM 3.0 Monthly Compliance & Performance"
@@ -104,10 +95,11 @@ def monthly_report(
     """Seven blocks per group. Missing parts take the report's defaults.
 
     Readings are added up once, per group and date; the groups are made from
-    that. thd may give thd_voltage_pct and thd_current_pct per group.
+    that. Completeness is that of the raw columns. thd may give thd_voltage_pct
+    and thd_current_pct per group.
     """
     by = list(by)
-    columns = [c for c in df.columns if c not in ("date", "hour_of_day", "month")]
+    columns = [c for c in RAW_SCHEMA.names if c in df.columns]
     rows = with_month(df) if "month" in by and "month" not in df.columns else df
     base = _summed(_daily(rows, by, columns, gc, limits, step_hours), by)
     base = base.withColumns(

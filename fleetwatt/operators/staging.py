@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetwatt.config import DEFAULT_START
 from fleetwatt.functions.scalars import null_if_nan, ratio
 from fleetwatt.functions.wallclock import month_start, ntz
+from fleetwatt.operators.merge import merge_sources
 from fleetwatt.schema import KEYS, MEASURES, RAW_COLUMNS
 
 # Columns beside the raw ones that staging passes on when they are there.
@@ -75,8 +76,27 @@ def quality_flags(df: DataFrame) -> DataFrame:
     )
 
 
+def _derived(rows: DataFrame) -> DataFrame:
+    return quality_flags(self_consumption(with_calendar(rows)))
+
+
 def stage(df: DataFrame, start: str = DEFAULT_START) -> DataFrame:
     """The whole staging model; one shuffle, on (system, timestamp)."""
     extra = [c for c in EXTRA if c in df.columns]
-    rows = dedup_latest(clean_keys(project_raw(df, extra), start))
-    return quality_flags(self_consumption(with_calendar(rows)))
+    return _derived(dedup_latest(clean_keys(project_raw(df, extra), start)))
+
+
+def stage_sources(sources: dict[str, DataFrame], start: str = DEFAULT_START) -> DataFrame:
+    """Staging over several sources, the most trusted first.
+
+    A source may lack columns. Each is deduplicated by itself; per system and
+    time every column then comes from the first source that has a value.
+    """
+    wanted = [*RAW_COLUMNS, *EXTRA]
+    clean = {
+        name: dedup_latest(
+            clean_keys(null_if_nan(df, MEASURES).select(*[c for c in wanted if c in df.columns]), start)
+        )
+        for name, df in sources.items()
+    }
+    return _derived(merge_sources(clean))

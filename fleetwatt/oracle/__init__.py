@@ -1 +1 @@
-
+"""SQL texts that the queries are checked against."""

@@ -324,7 +324,7 @@ flex AS (SELECT *, CASE WHEN flex_readings > 0 THEN CASE WHEN base > 0
 
 _FLEX_OUT = """n_readings, flex_readings,
   round(base_sum, 6) / nullif(n_readings - flex_readings, 0) AS baseline_import_kw,
-  round(inside_sum, 6) / flex_readings AS flex_import_kw, round(reduction, 9) AS reduction_pct"""
+  round(inside_sum, 6) / flex_readings AS flex_import_kw, round(reduction, 9) + 0e0 AS reduction_pct"""
 _FLEX_CLASS = "CASE WHEN reduction > 10e0 THEN 'SIGNIFICANT' ELSE 'LIMITED' END AS response_class"
 ORACLE["c06_flex_response"] = _stg(
     f"{_flex('system_id,', _BY)} SELECT system_id, {_FLEX_OUT} FROM flex WHERE flex_readings > 0"
@@ -471,7 +471,7 @@ def _energy(keys: str, source: str = "stg", extra: str = "") -> str:
 
 _ENERGY_OUT = """round(solar, 6) AS solar_kwh, round(used, 6) AS consumption_kwh,
   round(exported, 6) AS grid_export_kwh, round(imported, 6) AS grid_import_kwh,
-  round(exported - imported, 6) AS net_energy_kwh"""
+  round(exported - imported, 6) + 0e0 AS net_energy_kwh"""
 _SELF_TOTAL = "CASE WHEN solar <> 0 THEN round((1e0 - exported / solar) * 100e0, 9) END AS self_consumption_pct"
 _CREDIT = "round(exported * 75e-3, 8) AS export_credit_usd"
 _EN = _energy("system_id")
@@ -510,21 +510,17 @@ ORACLE["e08_dr_status"] = _stg(
 def _report(keys: str, series: str) -> str:
     """The report per group; keys is a list of columns of the staged table."""
     same = lambda t: " AND ".join(f"b.{k.strip()} = {t}.{k.strip()}" for k in keys.split(","))
-    cells = _CELLS + ["voltage_missing_flag", "frequency_missing_flag", "solar_negative_flag",
-                      "self_consumption_rate_pct"]
-    missing = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cells)
     mode_keys = ", ".join(dict.fromkeys(k.strip() for k in f"{keys}, utility".split(",")))
     return _stg(
         f"""{_health(keys)}{_steps(series)}{_rte(keys, keys)}{_energy(keys)}{_flex(f'{keys},', f'GROUP BY {keys}')},
-flagged AS (SELECT *, {_FLAGS}, {_SELF} AS self_consumption_rate_pct FROM stg),
 modes AS (SELECT {mode_keys}, row_number() OVER (PARTITION BY {keys} ORDER BY count(*) DESC, utility) AS place
   FROM stg GROUP BY {mode_keys}),
 b AS (
   SELECT {keys}, count(*) AS n, {_PERIOD}, count(*) FILTER (WHERE {_V_BAD}) * 100e0 / count(*) AS v_rate,
     count(*) FILTER (WHERE {_F_BAD}) * 100e0 / count(*) AS f_rate, avg(power_factor) AS pf,
     avg(inverter_efficiency_pct) AS eff, count(*) FILTER (WHERE inverter_temp_c > 65e0) AS hot,
-    {missing} AS missing
-  FROM flagged GROUP BY {keys})
+    {_MISSING} AS missing
+  FROM stg GROUP BY {keys})
 SELECT {', '.join(f'b.{k.strip()}' for k in keys.split(','))},
   'California NEM 3.0 Monthly Compliance & Performance' AS report_type, b.reporting_period,
   modes.utility AS utility_territory, 'CPUC Rule 21' AS interconnection_standard,
@@ -536,11 +532,11 @@ SELECT {', '.join(f'b.{k.strip()}' for k in keys.split(','))},
   'CPUC Rule 21 (2023), IEEE 1547-2018' AS standards_reference,
   round(solar, 6) AS total_solar_generation_kwh, round(used, 6) AS total_consumption_kwh,
   round(exported, 6) AS total_grid_export_kwh, round(imported, 6) AS total_grid_import_kwh,
-  round(exported - imported, 6) AS net_energy_kwh,
+  round(exported - imported, 6) + 0e0 AS net_energy_kwh,
   CASE WHEN solar <> 0 THEN round((1e0 - exported / solar) * 100e0, 9) END AS self_consumption_rate_pct,
   round(exported * 75e-3, 8) AS utility_credits_estimated_usd,
   CASE WHEN coalesce(reduction, 0e0) <> 0 THEN 'Enabled' ELSE 'N/A' END AS flex_alert_participation,
-  round(coalesce(reduction, 0e0), 9) AS load_reduction_achieved_pct,
+  round(coalesce(reduction, 0e0), 9) + 0e0 AS load_reduction_achieved_pct,
   'ELRP (Emergency Load Reduction Program)' AS program,
   round(soh, 9) AS state_of_health_pct, round(equivalent_cycles, 9) AS equivalent_cycles,
   round(left_cycles, 9) AS warranty_cycles_remaining,
@@ -549,7 +545,7 @@ SELECT {', '.join(f'b.{k.strip()}' for k in keys.split(','))},
   round(b.eff * n, 6) / n AS mean_efficiency_pct, hot AS thermal_events,
   CASE WHEN b.eff > 96e0 THEN 'HEALTHY' ELSE 'INVESTIGATE' END AS inverter_status,
   n AS total_data_points, missing AS missing_data_points,
-  round((1e0 - missing / CAST(n * {len(cells)} AS DOUBLE)) * 100e0, 9) AS data_completeness_pct
+  round((1e0 - missing / CAST(n * {len(_CELLS)} AS DOUBLE)) * 100e0, 9) AS data_completeness_pct
 FROM b JOIN health ON {same('health')} JOIN rated ON {same('rated')} JOIN sums ON {same('sums')}
   JOIN flex ON {same('flex')} JOIN modes ON {same('modes')} AND modes.place = 1"""
     )
@@ -623,7 +619,7 @@ based AS (SELECT *, sum(s) OVER w / nullif(sum(c) OVER w, 0) AS base, s / c AS a
     RANGE BETWEEN 10 PRECEDING AND 1 PRECEDING))"""
 ORACLE["x07_dr_baseline"] = _stg(
     f"""{_BASELINE} SELECT system_id, date, hour_of_day, n_readings, round(base, 9) AS baseline_kw,
-  round(actual, 9) AS actual_kw, round(base - actual, 9) AS reduction_kw FROM based"""
+  round(actual, 9) AS actual_kw, round(base - actual, 9) + 0e0 AS reduction_kw FROM based"""
 )
 ORACLE["x08_dr_settlement"] = _stg(
     f"""{_BASELINE}, p AS (SELECT system_id, date,

@@ -1 +1 @@
-
+"""Building blocks that decide how work is spread over tasks."""

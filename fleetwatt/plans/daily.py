@@ -11,7 +11,7 @@ from fleetwatt.operators.energy import energy_mart
 from fleetwatt.operators.marts import compliance_extract, soh_fleet
 from fleetwatt.operators.quality import assert_gate, quality_gate
 from fleetwatt.operators.report import monthly_report
-from fleetwatt.operators.staging import stage
+from fleetwatt.operators.staging import stage, stage_sources
 from fleetwatt.operators.battery import state_of_health
 from fleetwatt.operators.violations import critical_count, violations
 from fleetwatt.schema import RAW_SCHEMA
@@ -20,7 +20,7 @@ from fleetwatt.sources.readings import read_day, write_by, write_report
 
 def run_day(
     spark: SparkSession,
-    source: str,
+    sources: str | dict[str, str],
     target: str,
     day: str,
     as_of: str | datetime,
@@ -29,12 +29,19 @@ def run_day(
 ) -> dict:
     """Read one day of raw telemetry and write every table made from it.
 
+    sources is one dated directory, or several by name, the most trusted first.
+    The gate judges the first one.
+
     The staged table is written once and read back, so each mart is a scan of
     its own columns and the deduplication runs a single time. All writes replace
     only the day's partition, so a repeated run gives the same tables.
     """
-    raw = read_day(spark, source, day, RAW_SCHEMA)
-    gate = assert_gate(quality_gate(raw, as_of, expected_systems, limits))
+    roots = {"telemetry": sources} if isinstance(sources, str) else sources
+    raw = {name: read_day(spark, root, day, RAW_SCHEMA) for name, root in roots.items()}
+    first = next(iter(raw.values()))
+    gate = assert_gate(quality_gate(first, as_of, expected_systems, limits))
+    start = f"{day} 00:00:00"
+    readings = stage(first, start) if len(raw) == 1 else stage_sources(raw, start)
 
     def dated(df: DataFrame) -> DataFrame:
         return df.withColumn("dt", F.lit(day).cast("date"))
@@ -44,7 +51,7 @@ def run_day(
         write_by(dated(df), path, "dt")
         return spark.read.parquet(path).where(F.col("dt") == F.lit(day).cast("date")).drop("dt")
 
-    staged = save(stage(raw, f"{day} 00:00:00"), "staging")
+    staged = save(readings, "staging")
     mart = save(violations(staged, MART, as_of), "violations")
     save(state_of_health(staged, ["system_id"], limits), "battery")
     save(energy_mart(staged, limits=limits), "energy")

@@ -27,10 +27,12 @@ def read_day(
     schema: T.StructType | None = None,
     column: str = "dt",
 ) -> DataFrame:
-    """One day of a dated layout; the filter prunes the other directories."""
+    """One day of a dated layout. Only that day's directory is listed and read."""
     if schema is not None:
         schema = T.StructType([*schema.fields, T.StructField(column, T.DateType())])
-    return read_telemetry(spark, root, schema).where(F.col(column) == F.lit(str(day)).cast("date"))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.option("basePath", root).parquet(f"{root.rstrip('/')}/{column}={day}")
+    return null_if_nan(rows, MEASURES)
 
 
 def with_ingestion_ts(df: DataFrame, as_of: str | datetime | None = None) -> DataFrame:

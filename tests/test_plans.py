@@ -1,7 +1,6 @@
 """The physical plans have the shape large tables need."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from fleetwatt.operators import battery, inverter, series, staging, violations
 from fleetwatt.queries import QUERIES, telemetry

@@ -29,6 +29,11 @@ def test_staging_is_idempotent(spark, staged_rows):
     assert rows_of(again) == rows_of(staged_rows.select(*again.columns))
 
 
+def test_one_source_is_plain_staging(spark, staged_rows):
+    one = staging.stage_sources({"only": telemetry(spark, SF_DIR)}).drop("n_sources", "best_source")
+    assert rows_of(one) == rows_of(staged_rows.select(*one.columns))
+
+
 def test_fleet_rate_is_the_weighted_mean(staged_rows):
     fleet = compliance.voltage_compliance(staged_rows, ENGINE, by=[]).first()
     parts = compliance.voltage_compliance(staged_rows, ENGINE).agg(
