@@ -199,13 +199,14 @@ def action_required(kind: Column) -> Column:
 def violation_rows(df: DataFrame, gc: GridCode = MART, keep: list[str] | None = None) -> DataFrame:
     """One row per violated check, in a single pass over the readings.
 
-    Readings without a violation are filtered before the generator runs.
+    Readings without a violation are filtered before the generator runs. Plain
+    array and filter, so that all of it stays in one generated stage.
     """
     checks = [_voltage_entry(gc), _frequency_entry(gc), _power_factor_entry(gc)]
     some = F.coalesce(*[kind for kind, _ in checks]).isNotNull()
-    entries = F.array_compact(F.array(*[F.when(k.isNotNull(), e) for k, e in checks]))
     kept = [*(keep or []), "system_id", "date", "timestamp"]
-    return df.where(some).select(*kept, F.explode(entries).alias("_v")).select(*kept, "_v.*")
+    entries = F.inline(F.array(*[entry for _, entry in checks]))
+    return df.where(some).select(*kept, entries).where(F.col("violation_type").isNotNull())
 
 
 def violations(

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from fleetwatt.config import ENGINE
 from fleetwatt.operators.quality import QualityGateError, conformance
 from fleetwatt.operators.report import monthly_report
-from fleetwatt.operators.violations import violations
+from fleetwatt.operators.violations import violations, wide_violations
 from fleetwatt.plans.daily import run_day
+from fleetwatt.plans.jobs import run_ingest, run_violations
 from fleetwatt.plans.lineage import scratch_path, shared_dir
 from fleetwatt.queries import telemetry
 from fleetwatt.schema import RAW_SCHEMA, TELEMETRY_SCHEMA
@@ -79,6 +80,21 @@ def test_report_document(spark, staged_rows, tmp_path):
     }
 
 
+def test_ingest_and_violations_jobs(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "violations")
+    rows = telemetry(spark, SF_DIR).where("timestamp < '2024-02-01'").drop("ingestion_timestamp")
+    with pytest.raises(QualityGateError, match="system_id"):
+        run_ingest(rows, raw)
+    keyed = rows.where("system_id IS NOT NULL")
+    text = keyed.withColumn("voltage_v", F.when(F.col("reading_id") > 0, F.col("voltage_v").cast("string")).otherwise("?"))
+    with pytest.raises(QualityGateError, match="voltage_v"):
+        run_ingest(text, raw)
+    stats = run_ingest(keyed, raw, "2024-12-16 00:00:00")
+    assert stats["total_records"] == keyed.count()
+    assert run_violations(spark, raw, out) == wide_violations(keyed).count()
+    assert readings.read_telemetry(spark, raw, None).first().ingestion_timestamp == datetime(2024, 12, 16)
+
+
 def test_pipeline_over_two_sources(spark, tmp_path):
     app, meter, target = (str(tmp_path / n) for n in ("app", "meter", "out"))
     rows = telemetry(spark, SF_DIR).withColumns(
