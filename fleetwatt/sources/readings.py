@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +32,13 @@ def read_day(
     if schema is not None:
         schema = T.StructType([*schema.fields, T.StructField(column, T.DateType())])
     reader = spark.read if schema is None else spark.read.schema(schema)
-    rows = reader.option("basePath", root).parquet(f"{root.rstrip('/')}/{column}={day}")
+    try:
+        rows = reader.option("basePath", root).parquet(f"{root.rstrip('/')}/{column}={day}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # A day without a directory has no rows; the layout gives the columns.
+        rows = reader.parquet(root).where(F.col(column) == F.lit(str(day)).cast("date"))
     return null_if_nan(rows, MEASURES)
 
 

@@ -48,6 +48,7 @@ def test_day_read_prunes_directories(spark, tmp_path):
     readings.write_by(rows.where("dt BETWEEN '2024-03-01' AND '2024-03-03'"), path, "dt")
     day = readings.read_day(spark, path, "2024-03-02", RAW_SCHEMA)
     assert len(day.inputFiles()) >= 1 and all("dt=2024-03-02" in f for f in day.inputFiles())
+    assert readings.read_day(spark, path, "2024-07-01", RAW_SCHEMA).count() == 0
     assert day.schema["dt"].dataType.simpleString() == "date"
     assert day.count() == rows.where("dt = '2024-03-02'").count()
 
