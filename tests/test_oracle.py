@@ -6,8 +6,8 @@ import __spark_entry__ as entry_points
 from tests.compare import database, difference
 from tests.conftest import SF_DIR
 
-ORACLE = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
+ORACLE = {k: v for k, v in entry_points.oracle_sql().items() if k not in entry_points.LLM_QUERIES}
+QUERIES = {k: v for k, v in entry_points.queries().items() if k not in entry_points.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
