@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.llm import bpe, packing, token_counts
+from fleetwatt.llm import bpe, packing, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,15 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.quality(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"),
+    )
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
