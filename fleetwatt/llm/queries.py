@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.llm import bpe, packing, quality, token_counts
+from fleetwatt.llm import bpe, packing, quality, token_counts, warc
+
+from fleetwatt.plans.lineage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +46,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with even ids go through version 1 archives, the others through version 2."""
+    old, new = scratch_path(spark, "arc"), scratch_path(spark, "warc")
+    pages = warc.captures(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    second = F.coalesce(F.pmod("page_id", F.lit(2)), F.lit(0)) == 1
+    warc.write_arc(pages.where(~second), f"{old}/1", version=1)
+    warc.write_arc(pages.where(second), f"{old}/2", version=2)
+    warc.write_warc(warc.arc_to_warc(spark, f"{old}/*"), new)
+    back = warc.refer_pages(warc.read_warc(spark, new, payloads=False))
+    return back.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page").alias("refers_to"), "digest_ok"
+    )
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
