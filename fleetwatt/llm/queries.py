@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.llm import bpe, embeddings, packing, quality, token_counts, warc
+from fleetwatt.llm import bpe, embeddings, jaccard, packing, quality, token_counts, warc
 
 from fleetwatt.plans.lineage import scratch_path
 
@@ -66,6 +66,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
