@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.llm import bpe, embeddings, jaccard, packing, quality, token_counts, warc
+from fleetwatt.llm import bpe, embeddings, jaccard, line_dedup, packing, quality, token_counts, warc
 
 from fleetwatt.plans.lineage import scratch_path
 
@@ -37,6 +37,12 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
