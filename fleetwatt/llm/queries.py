@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.llm import bpe, embeddings, jaccard, line_dedup, packing, quality, token_counts, warc
+from fleetwatt.llm import bpe, embeddings, jaccard, line_dedup, packing, quality, token_counts, toxicity, warc
 
 from fleetwatt.plans.lineage import scratch_path
 
@@ -77,6 +77,12 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 @query
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
