@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.llm import bpe, embeddings, jaccard, line_dedup, packing, quality, token_counts, toxicity, warc
+from fleetwatt.llm import bpe, embeddings, jaccard, line_dedup, packing, quality, suffix_dedup, token_counts, toxicity, warc
 
 from fleetwatt.plans.lineage import scratch_path
 
@@ -89,6 +89,12 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(vectors).select("vec_id", "n_links", "component_id", "kept")
 
 
+@query
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
