@@ -1,8 +1,8 @@
 """Exact Jaccard links between documents, by a token-group matrix.
 
 Each document is its set of word n-grams (64-bit hashes). Documents with equal sets are one. A
-global order puts n-grams of rarely hit counters first; two sets that link share an n-gram in
-their prefixes of that order. First every set is compared with one likely partner, the first set
+global order puts n-grams of rarely hit counters first; two sets that link share SHARED n-grams in
+their prefixes of that order, which are SHARED - 1 longer than those that share one. First every set is compared with one likely partner, the first set
 of some shared prefix n-gram; what links forms groups. Then the matrix (n-gram, group) holds the
 n-grams of each group's members, and a set meets a group of another component only if its overlap
 with the group's union allows the similarity. Only such groups are opened, and only for members
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetwatt.llm.components import components
 from fleetwatt.plans.lineage import stored
@@ -25,7 +25,9 @@ from fleetwatt.plans.lineage import stored
 WIDTH = 3
 PERCENT = 90
 #: Counters of n-grams: a fixed number, whatever the input.
-CELL_BITS = 16
+CELL_BITS = 18
+#: N-grams that the prefixes of two sets that link share, if the sets have so many.
+SHARED = 3
 CACHED_WORDS = 400_000
 #: Sets that are compared with one other set in the same task.
 MEMBERS = 1000
@@ -107,31 +109,38 @@ def _per_document(docs: DataFrame, doc_id: str, text: str, make, schema: str) ->
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those pairs (lead, q) whose sets link. A lead's set is sent once to each thousand partners."""
     sizes = pairs.groupBy("lead").count().select(F.col("lead").alias("_lead"), F.ceil(F.col("count") / MEMBERS).cast("int").alias("n"))
-    leads = sizes.join(sets, F.col("_lead") == F.col("doc_id")).select(
-        F.col("_lead").alias("lead"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"), F.lit(-1).cast("bigint").alias("q"),
-        F.lit(0).alias("role"), "grams",
+    leads = sizes.select(
+        F.col("_lead").alias("id"), F.col("_lead").alias("lead"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"), F.lit(0).alias("role")
     )
-    members = (
-        pairs.join(sizes, F.col("lead") == F.col("_lead"))
-        .join(sets, F.col("q") == F.col("doc_id"))
-        .select("lead", F.pmod(F.xxhash64("q"), F.col("n")).cast("int").alias("part"), "q", F.lit(1).alias("role"), "grams")
+    members = pairs.join(sizes, F.col("lead") == F.col("_lead")).select(
+        F.col("q").alias("id"), "lead", F.pmod(F.xxhash64("q"), F.col("n")).cast("int").alias("part"), F.lit(1).alias("role")
     )
+    # A text is turned into its set once, for all comparisons that it takes part in.
+    asked = leads.unionByName(members).groupBy("id").agg(F.collect_list(F.struct("lead", "part", "role")).alias("to"))
+    texts = docs.join(asked, F.col("doc_id") == F.col("id")).select("doc_id", "text", "to.lead", "to.part", "to.role")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text, lead, part, role in zip(*(batch.column(i) for i in range(5))):
+                grams, n = shingles(text.as_py(), width), len(lead.values)
+                yield pa.RecordBatch.from_arrays(
+                    [lead.values, part.values, role.values, pa.array([doc.as_py()] * n, pa.int64()), pa.array([grams.tobytes()] * n, pa.binary())],
+                    names=["lead", "part", "role", "q", "grams"],
+                )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, first = None, []
         for batch in batches:
             left, right = [], []
-            offsets, values = batch.column(4).offsets.to_numpy(), batch.column(4).values.to_numpy().view(np.uint64)
-            columns = zip(*(batch.column(i).to_pylist() for i in range(4)), offsets, offsets[1:])
-            for lead, part, q, role, i, j in columns:
-                grams = values[i:j]
+            for lead, part, role, q, grams in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                grams = np.frombuffer(grams, np.uint64)
                 if role == 0:
                     if key != (lead, part):
                         key, first = (lead, part), []
-                    first.append(grams.copy())
+                    first.append(grams)
                     continue
                 for other in first:
                     at = np.minimum(np.searchsorted(other, grams), len(other) - 1)
@@ -142,8 +151,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         break
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["lead", "q"])
 
-    rows = leads.unionByName(members).repartition("lead", "part").sortWithinPartitions("lead", "part", "role")
-    return rows.mapInArrow(run, "lead bigint, q bigint")
+    rows = texts.mapInArrow(sets, "lead bigint, part int, role int, q bigint, grams binary")
+    ordered = rows.repartition("lead", "part").sortWithinPartitions("lead", "part", "role")
+    return ordered.mapInArrow(compare, "lead bigint, q bigint")
 
 
 def similar_groups(
@@ -154,7 +164,7 @@ def similar_groups(
     Two documents link when 100 * |both| >= percent * |either|; component_id is the smallest
     doc_id that links reach, the document's own included. Documents without words, and NULL texts,
     have no n-gram and link with nothing. A row without an id has n_shingles and no component.
-    Repeated rows stay and are one document; of several texts of one id, any may link. Exact up to
+    Ids are taken to identify texts; repeated rows stay and are one document. Exact up to
     equal 64-bit hashes of different n-grams. Eager: intermediate tables are stored.
     """
     found = stored(_sets(docs, doc_id, text, width), "sets")
@@ -167,56 +177,58 @@ def similar_groups(
 
     def prefix(t: str | None) -> np.ndarray:
         s = shingles(t, width)
-        size = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
+        least = -(-percent * len(s) // 100)
+        size = len(s) - least + min(SHARED, least)
         return s[np.lexsort((s, counts[s >> np.uint64(64 - CELL_BITS)]))[:size]]
 
     schema = "doc_id bigint, grams array<bigint>"
-    prefixes = _per_document(docs, doc_id, text, prefix, schema).join(distinct, F.col("doc_id") == F.col("sid")).select(
-        "sid", "n", F.explode("grams").alias("gram")
+    tokens = _per_document(docs, doc_id, text, prefix, schema).join(distinct, F.col("doc_id") == F.col("sid")).select(
+        F.explode("grams").alias("gram"), "sid", F.col("n").cast("int").alias("n")
     )
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
-    tokens = prefixes.distinct().withColumn("band", band)
+    # All that follows on one n-gram happens where the n-gram is: one exchange.
+    tokens = tokens.repartition("gram")
     shared = tokens.groupBy("gram").agg(F.count("*").alias("_c")).where("_c > 1").select(F.col("gram").alias("_gram"))
-    posts = stored(tokens.join(shared, F.col("gram") == F.col("_gram")).drop("_gram"), "posts")
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
+    first = F.min_by(F.struct(F.col("sid").alias("lead"), F.col("n").alias("ln")), "sid").over(Window.partitionBy("gram", band))
+    posts = tokens.join(shared, F.col("gram") == F.col("_gram")).drop("_gram").withColumn("x", first)
+    posts = stored(posts.select("gram", "sid", "n", "x.lead", "x.ln"), "posts")
 
-    # One likely partner each: the first set of a shared n-gram in the same or the next lower band.
-    first = posts.groupBy("gram", "band").agg(F.min_by(F.struct(F.col("sid").alias("lead"), F.col("n").alias("ln")), "sid").alias("x"))
-    first = first.select(F.col("gram").alias("_gram"), F.col("band").alias("_band"), "x.lead", "x.ln")
-    asked = posts.withColumn("near", F.explode(F.array(F.col("band"), F.col("band") - 1)))
+    # One likely partner each: the first set with most of the shared n-grams. This only finds
+    # groups early; whatever it misses is met below.
     fits = (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln")) & (F.col("lead") != F.col("sid"))
-    partners = asked.join(first, (F.col("gram") == F.col("_gram")) & (F.col("near") == F.col("_band"))).where(fits)
+    least_n = lambda n: F.ceil(percent * n / 100)
     best = (
-        partners.groupBy("sid", "lead").count()
+        posts.where(fits).groupBy("sid", "n", "lead").count()
+        .where(F.col("count") >= F.least(F.lit(SHARED), least_n(F.col("n"))))
         .groupBy("sid").agg(F.max_by("lead", F.struct("count", -F.col("lead"))).alias("lead"))
         .select("lead", F.col("sid").alias("q"))
     )
-    grouped = posts.select("sid").distinct()
-    wanted = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).join(grouped, F.col("doc_id") == F.col("sid"))
-    sets = stored(_per_document(wanted, "doc_id", "text", lambda t: shingles(t, width), schema), "grams")
-    edges = stored(_linked(best, sets, percent), "edges")
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    edges = stored(_linked(stored(best, "best"), texts, width, percent), "edges")
 
     # Groups are what is linked so far. A set that is in none is a group of its own.
     group_of = components(edges, "lead", "q").select(F.col("node").alias("_node"), F.col("component").alias("grp"))
-    placed = stored(
-        posts.join(group_of, F.col("sid") == F.col("_node"), "left").select("gram", "sid", "n", "band", F.coalesce("grp", "sid").alias("grp")), "placed"
-    )
-    matrix = placed.groupBy("gram", "grp", "band").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    matrix = matrix.select(F.col("gram").alias("_gram"), F.col("grp").alias("_grp"), F.col("band").alias("_band"), "least_n", "most_n")
-    asked = placed.withColumn("near", F.explode(F.array(F.col("band"), F.col("band") - 1, F.col("band") + 1)))
+    placed = posts.join(group_of, F.col("sid") == F.col("_node"), "left").select("gram", "sid", "n", F.coalesce("grp", "sid").alias("grp"))
+    placed = stored(placed, "placed")
+    here = placed.repartition("gram")
+    matrix = here.groupBy("gram", "grp").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    matrix = matrix.select(F.col("gram").alias("_gram"), F.col("grp").alias("_grp"), "least_n", "most_n")
     reachable = (100 * F.col("n") >= percent * F.col("least_n")) & (100 * F.col("most_n") >= percent * F.col("n"))
     met = (
-        asked.join(matrix, (F.col("gram") == F.col("_gram")) & (F.col("near") == F.col("_band")))
-        .where((F.col("_grp") < F.col("grp")) & reachable)
-        .groupBy("sid", "n", F.col("_grp").alias("grp")).agg(F.min("least_n").alias("least_n"))
+        here.join(matrix, (F.col("gram") == F.col("_gram")) & (F.col("_grp") < F.col("grp")) & reachable)
+        .groupBy("sid", "n", F.col("_grp").alias("grp")).agg(F.min("least_n").alias("least_n"), F.count("*").alias("c"))
+        .where(F.col("c") >= F.least(F.lit(SHARED), least_n(F.col("n")), least_n(F.col("least_n"))))
     )
-    met = stored(met, "met")
-    opened = stored(_qualifying(met, placed, sets, percent), "opened")
+    met = stored(met.drop("c"), "met")
+    opened = stored(_qualifying(met, placed, texts, width, percent), "opened")
     ours = placed.join(opened.withColumnsRenamed({"sid": "q", "grp": "_grp"}), F.col("sid") == F.col("q")).select(
         F.col("gram").alias("_gram"), "q", F.col("n").alias("qn"), "_grp"
     )
     inside = placed.join(ours, (F.col("gram") == F.col("_gram")) & (F.col("grp") == F.col("_grp")))
-    pairs = inside.where(100 * F.least("n", "qn") >= percent * F.greatest("n", "qn")).select(F.col("sid").alias("lead"), "q").distinct()
-    every = edges.unionByName(_linked(pairs, sets, percent))
+    pairs = inside.where(100 * F.least("n", "qn") >= percent * F.greatest("n", "qn")).groupBy(F.col("sid").alias("lead"), "n", "q", "qn").count()
+    pairs = pairs.where(F.col("count") >= F.least(F.lit(SHARED), least_n(F.col("n")), least_n(F.col("qn")))).select("lead", "q")
+    pairs = stored(pairs, "pairs")
+    every = edges.unionByName(_linked(pairs, texts, width, percent))
     final = components(every, "lead", "q").select(F.col("node").alias("_node"), "component")
     known = distinct.join(final, F.col("sid") == F.col("_node"), "left").select(
         F.col("a").alias("_a"), F.col("b").alias("_b"), F.coalesce("component", "sid").alias("component")
@@ -225,15 +237,21 @@ def similar_groups(
     return labelled.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _qualifying(met: DataFrame, placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _qualifying(met: DataFrame, placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (sid, grp) whose overlap with the group's union allows a link.
 
     A member x of the group shares at most o = |q and union| n-grams with q, and |x| >= least_n, so
     the similarity is at most o / (|q| + least_n - o), or o / |q| if that is less.
     """
-    members = placed.select("sid", "grp").distinct().join(met.select(F.col("grp").alias("_grp")).distinct(), F.col("grp") == F.col("_grp"), "left_semi")
+    groups = met.select(F.col("grp").alias("_grp")).distinct()
+    members = placed.select("sid", "grp").distinct().join(groups, F.col("grp") == F.col("_grp"), "left_semi")
+    wanted = members.select("sid").unionByName(met.select("sid")).distinct()
+    sets = _per_document(
+        texts.join(wanted, F.col("doc_id") == F.col("sid")), "doc_id", "text", lambda t: shingles(t, width), "doc_id bigint, grams array<bigint>"
+    )
+    sets = stored(sets, "grams")
     union = members.join(sets, F.col("sid") == F.col("doc_id")).select(F.explode("grams").alias("gram"), "grp").distinct()
     asked = met.join(sets, F.col("sid") == F.col("doc_id")).select("sid", "n", "grp", "least_n", F.explode("grams").alias("gram"))
-    overlap = asked.join(union, ["gram", "grp"]).groupBy("sid", "n", "grp", "least_n").agg(F.countDistinct("gram").alias("o"))
+    overlap = asked.join(union, ["gram", "grp"]).groupBy("sid", "n", "grp", "least_n").agg(F.count("*").alias("o"))
     most = F.least("o", F.col("n"))
     return overlap.where(100 * most >= percent * F.greatest(F.col("n"), F.col("n") + F.col("least_n") - most)).select("sid", "grp")
