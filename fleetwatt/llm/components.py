@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetwatt.plans.lineage import stored
+from fleetwatt.llm.steps import stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetwatt.llm.components import components
-from fleetwatt.plans.lineage import stored
+from fleetwatt.llm.steps import stored
 
 THRESHOLD = 0.9
 #: Vectors on which the rotation is fitted: those of smallest hash.

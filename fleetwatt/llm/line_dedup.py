@@ -9,10 +9,12 @@ and differ in few bits of a 64-bit signature; then the words themselves are comp
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetwatt.llm.quality import SPACE, words_of
-from fleetwatt.plans.lineage import stored
+from fleetwatt.llm.steps import stored
 
 PERCENT = 80
 #: Words whose count is known; a fixed number.
@@ -20,21 +22,22 @@ COMMON = 2000
 HASH_BITS = 52
 
 
-def _word_keys(line: Column) -> Column:
-    """Distinct words as numbers: 31 - length (at most 31), then 52 bits of a hash."""
+def _word_key(word: Column) -> Column:
+    """31 - length (at most 31), then 52 bits of a hash."""
+    short = (F.lit(31) - F.least(F.length(word), F.lit(31))).cast("bigint")
+    return F.shiftleft(short, HASH_BITS).bitwiseOR(F.xxhash64(word).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
-    def key(word: Column) -> Column:
-        short = (F.lit(31) - F.least(F.length(word), F.lit(31))).cast("bigint")
-        return F.shiftleft(short, HASH_BITS).bitwiseOR(F.xxhash64(word).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
-    return F.transform(F.array_distinct(words_of(line)), key)
+def _word_keys(line: Column) -> Column:
+    """Distinct words as numbers."""
+    return F.transform(F.array_distinct(words_of(line)), _word_key)
 
 
 def common_words(docs: DataFrame, text: str, count: int = COMMON) -> dict[int, list[int]]:
     """The keys of the commonest words by the binary logarithm of their number. Counts all words,
     partly before the shuffle; only `count` rows go to the driver."""
-    words = docs.select(F.explode(_word_keys(F.col(text))).alias("w"))
-    top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(count).collect()
+    words = docs.select(F.explode(words_of(F.col(text))).alias("word"))
+    top = words.groupBy(_word_key(F.col("word")).alias("w")).count().orderBy(F.desc("count"), "w").limit(count).collect()
     levels: dict[int, list[int]] = {}
     for row in top:
         levels.setdefault(row["count"].bit_length(), []).append(row["w"])
@@ -48,7 +51,7 @@ def _ordered(keys: Column, levels: dict[int, list[int]]) -> Column:
         chain = F.lit(0)
         for n, words in sorted(levels.items()):
             chain = F.when(key.isin(words), n).otherwise(chain)
-        return chain.cast("bigint")
+        return F.when(key.isin([w for words in levels.values() for w in words]), chain).otherwise(0).cast("bigint")
 
     return F.sort_array(F.transform(keys, lambda k: F.shiftleft(level(k), HASH_BITS + 5).bitwiseOR(k)))
 
@@ -58,16 +61,15 @@ def _least_overlap(n: Column, percent: int) -> Column:
 
 
 def _signatures(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[int]], percent: int) -> DataFrame:
-    """A row for each line with a word: doc_id, th (hash of the text), pos, its set as two hashes,
-    the number of words, a bit signature and the prefix."""
+    """A row for each line with a word: doc, pos, its set as two hashes, the number of words, a bit signature and the prefix."""
     lines = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")
+        _place(F.col(doc_id)).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")
     ).where(F.trim(F.col("line"), F.lit(SPACE)) != "")
-    sets = lines.select("doc_id", "th", "pos", _ordered(_word_keys(F.col("line")), levels).alias("words"))
+    sets = lines.select("doc", "pos", _ordered(_word_keys(F.col("line")), levels).alias("words"))
     n = F.size("words")
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))
     return sets.select(
-        "doc_id", "th", "pos",
+        "doc", "pos",
         F.xxhash64("words").alias("a"),
         F.xxhash64(F.lit(1), F.col("words")).alias("b"),
         n.alias("n"),
@@ -76,82 +78,85 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[
     )
 
 
-def _order(doc_id: str = "doc_id", pos: str = "pos") -> Column:
-    """Place of a line in the corpus; rows without an id come last."""
-    doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit((1 << 63) - 1)).cast("decimal(20,0)")
-    return (doc * F.lit(1 << 32).cast("decimal(12,0)") + F.col(pos)).cast("decimal(38,0)")
-
-
-def _candidates(firsts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets that share a prefix word and pass the length and bit filters."""
-    words = firsts.select("a", "b", "n", "bits", F.explode("prefix").alias("w"))
-    x, y = words.alias("x"), words.alias("y")
+def _near(percent: int) -> Column:
+    """Whether sets x and y may be similar: by their lengths, and by the bits that differ."""
     total = F.col("x.n") + F.col("y.n")
     differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
     lengths = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
-    once = (F.col("x.a") < F.col("y.a")) | ((F.col("x.a") == F.col("y.a")) & (F.col("x.b") < F.col("y.b")))
-    bits = (total - differ) * (100 + percent) >= 2 * percent * total
-    met = x.join(y, (F.col("x.w") == F.col("y.w")) & once & lengths & bits)
-    return met.select(
-        F.col("x.a").alias("a"), F.col("x.b").alias("b"), F.col("y.a").alias("a2"), F.col("y.b").alias("b2")
-    ).distinct()
+    return lengths & ((total - differ) * (100 + percent) >= 2 * percent * total)
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """doc, pos: those x of pairs (doc, pos, doc2, pos2) whose words are similar to those of y."""
+    wanted = pairs.select("doc", "pos").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("pos2").alias("pos")))
+    spots = wanted.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("pos").alias("spots"))
+    texts = docs.select(_place(F.col(doc_id)).alias("doc"), F.split(F.col(text), "\n").alias("lines"))
+    at = texts.join(spots, F.col("doc") == F.col("_doc")).select("doc", "lines", F.explode("spots").alias("pos"))
+    words = stored(at.select("doc", "pos", _word_keys(F.get(F.col("lines"), F.col("pos"))).alias("words")), "words")
+    other = words.select(F.col("doc").alias("doc2"), F.col("pos").alias("pos2"), F.col("words").alias("words2"))
+    both = F.size(F.array_intersect("words", "words2"))
+    near = pairs.join(words, ["doc", "pos"]).join(other, ["doc2", "pos2"])
+    return near.where(100 * both >= percent * (F.size("words") + F.size("words2") - both)).select("doc", "pos").distinct()
+
+
+def _place(doc_id: Column) -> Column:
+    """Rows without an id come last."""
+    return F.coalesce(doc_id.cast("bigint"), F.lit((1 << 63) - 1))
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """doc_id, th and the positions (from 0) of the lines of each document that go.
+    """doc (the id; the largest number for none) and the positions (from 0) of the lines that go.
 
     A line goes if an earlier line (smaller doc_id, or before it in the document) has a similarity
     of at least `percent` %, whether that one stays or not. Lines without words stay.
     """
     levels = common_words(docs, text)
-    lines = stored(_signatures(docs, doc_id, text, levels, percent).withColumn("ord", _order()), "lines")
-    found = stored(lines.groupBy("a", "b").agg(F.min("ord").alias("first"), F.count("*").alias("copies")), "sets")
-    here = found.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "first")
-    same = (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")) & (F.col("ord") == F.col("first"))
-    firsts = lines.join(here, same, "left_semi")
-    pairs = stored(_candidates(firsts.dropDuplicates(["a", "b"]), percent), "pairs")
-
-    # The words of the lines that are in a pair come from their texts.
-    wanted = pairs.select("a", "b").unionByName(pairs.select(F.col("a2").alias("a"), F.col("b2").alias("b"))).distinct()
-    spots = (
-        firsts.select("doc_id", "th", "pos", "a", "b").dropDuplicates(["a", "b"])
-        .join(wanted, ["a", "b"], "left_semi")
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(F.collect_list(F.struct("pos", "a", "b")).alias("spots"))
+    lines = stored(_signatures(docs, doc_id, text, levels, percent), "lines")
+    first_doc = lines.groupBy("a", "b").agg(F.min("doc").alias("doc"), F.count("*").alias("copies"))
+    placed = lines.select("a", "b", "doc", "pos").join(first_doc.select("a", "b", "doc"), ["a", "b", "doc"])
+    first = stored(placed.groupBy("a", "b", "doc").agg(F.min("pos").alias("pos")), "sets")
+
+    # Sets by their first line. Each is first compared with the earliest set that it shares most
+    # prefix words with: one similar set before it is enough, so most copies end here.
+    firsts = lines.join(first, ["a", "b", "doc", "pos"], "left_semi").select("doc", "pos", "n", "bits", F.explode("prefix").alias("w"))
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
+    earliest = Window.partitionBy("w", band).orderBy("doc", "pos")
+    struct = F.first(F.struct(*["doc", "pos", "n", "bits"])).over(earliest)
+    asked = firsts.repartition("w").select(F.struct("doc", "pos", "n", "bits").alias("x"), struct.alias("y"))
+    best = (
+        asked.where(((F.col("x.doc") > F.col("y.doc")) | (F.col("x.pos") > F.col("y.pos"))) & _near(percent))
+        .groupBy(F.col("x.doc").alias("doc"), F.col("x.pos").alias("pos"), F.col("y.doc").alias("doc2"), F.col("y.pos").alias("pos2")).count()
+        .groupBy("doc", "pos").agg(F.max_by(F.struct("doc2", "pos2"), "count").alias("y"))
+        .select("doc", "pos", "y.doc2", "y.pos2")
     )
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.split(F.col(text), "\n").alias("lines"))
-    at = texts.join(spots, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("th") == F.col("_th")))
-    words = at.select("lines", F.inline("spots")).select("a", "b", _word_keys(F.col("lines")[F.col("pos")]).alias("words"))
-    words = stored(words.dropDuplicates(["a", "b"]), "words")
-    other = words.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("words").alias("words2"))
-    both = F.size(F.array_intersect("words", "words2"))
-    near = pairs.join(words, ["a", "b"]).join(other, ["a2", "b2"]).where(100 * both >= percent * (F.size("words") + F.size("words2") - both))
-    order = found.select("a", "b", "first")
-    order2 = order.withColumnsRenamed({"a": "a2", "b": "b2", "first": "first2"})
-    placed = near.select("a", "b", "a2", "b2").join(order, ["a", "b"]).join(order2, ["a2", "b2"])
-    later = F.col("first") > F.col("first2")
-    gone = placed.select(F.when(later, F.col("a")).otherwise(F.col("a2")).alias("_ga"), F.when(later, F.col("b")).otherwise(F.col("b2")).alias("_gb")).distinct()
+    gone = stored(_similar(stored(best, "best"), docs, doc_id, text, percent), "gone")
+
+    # What is left meets every earlier set that shares a prefix word.
+    left = firsts.join(gone, ["doc", "pos"], "left_anti")
+    earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.pos") < F.col("x.pos")))
+    met = left.alias("x").join(firsts.alias("y"), (F.col("x.w") == F.col("y.w")) & earlier & _near(percent))
+    pairs = met.select("x.doc", "x.pos", F.col("y.doc").alias("doc2"), F.col("y.pos").alias("pos2")).distinct()
+    more = _similar(stored(pairs, "pairs"), docs, doc_id, text, percent)
+    gone = stored(gone.unionByName(more), "gone")
 
     # Repeated lines other than the first, and first lines of sets that go.
-    repeated = found.where("copies > 1").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "first")
-    marked = lines.select("doc_id", "th", "pos", "a", "b", "ord")
-    again = marked.join(repeated, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")) & (F.col("ord") > F.col("first")))
-    near = marked.join(gone, (F.col("a") == F.col("_ga")) & (F.col("b") == F.col("_gb")))
-    every = again.select("doc_id", "th", "pos").unionByName(near.select("doc_id", "th", "pos"))
-    return every.groupBy("doc_id", "th").agg(F.collect_set("pos").alias("positions"))
+    copied = first_doc.where("copies > 1").select("a", "b").join(first, ["a", "b"]).select("a", "b", F.col("doc").alias("doc1"), F.col("pos").alias("pos1"))
+    again = lines.select("a", "b", "doc", "pos").join(copied, ["a", "b"]).where("doc > doc1 or pos > pos1")
+    return again.select("doc", "pos").unionByName(gone).groupBy("doc").agg(F.collect_set("pos").alias("positions"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents without the lines that go; adds n_lines (with a word) and n_removed.
 
     All rows and other columns stay, a text may become empty, and a NULL text stays NULL with no
-    lines. Rows that repeat an id and text keep the same lines. Rows without an id come last in the
-    order. Columns of the two names are replaced. Eager: intermediate tables are stored.
+    lines. Ids are taken to identify texts: rows that repeat one keep the same lines. A row without an
+    id comes last in the order; several such rows must be given ids first, or they are taken as one. Columns of the two names are replaced. Eager: intermediate tables are stored.
     """
     gone = stored(removed_lines(docs, doc_id, text, percent), "removed").select(
-        F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "positions"
+        F.col("doc").alias("_doc"), "positions"
     )
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_th")), "left")
+    joined = docs.join(gone, _place(F.col(doc_id)) == F.col("_doc"), "left")
     lines = F.split(F.col(text), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("positions"))
     left = F.transform(F.array(lines), lambda x: F.transform(stay, lambda i: x[i]))[0]

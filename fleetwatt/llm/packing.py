@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from fleetwatt.llm.texts import UNIT, WHITE
-from fleetwatt.plans.lineage import stored
+from fleetwatt.llm.steps import stored
 
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 1024

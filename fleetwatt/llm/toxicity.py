@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from fleetwatt.plans.lineage import stored
+from fleetwatt.llm.steps import stored
 
 #: Labelled texts on which lexicon and weights are fitted: those of smallest hash of their id.
 FIT_ROWS = 20_000
