@@ -168,7 +168,7 @@ def arc_to_warc(spark: SparkSession, path: str, min_bytes: int = MIN_REVISIT_BYT
     found = read_arc(spark, path, blocks=False).where(F.col("payload_bytes") >= min_bytes)
     first = (
         found.groupBy("payload_digest")
-        .agg(F.min("page_id").alias("_first"), F.min_by(F.struct("url", "date"), F.struct("page_id", "url")).alias("_of"), F.count("*").alias("_n"))
+        .agg(F.min("page_id").alias("_first"), F.min_by(F.struct("url", "date"), F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("_of"), F.count("*").alias("_n"))
         .where((F.col("_n") > 1) & F.col("_first").isNotNull())
         .select("payload_digest", "_first", record_id(F.col("_of.url"), F.col("_of.date"), F.col("_first"), F.col("payload_digest")).alias("_target"))
     )
