@@ -20,14 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetwatt.llm.components import components
-from fleetwatt.plans.lineage import stored
+from fleetwatt.llm.steps import stored
 
 WIDTH = 3
 PERCENT = 90
 #: Counters of n-grams: a fixed number, whatever the input.
 CELL_BITS = 18
 #: N-grams that the prefixes of two sets that link share, if the sets have so many.
-SHARED = 3
+SHARED = 8
 CACHED_WORDS = 400_000
 #: Sets that are compared with one other set in the same task.
 MEMBERS = 1000
@@ -71,16 +71,17 @@ def _sets(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
-            n, a, b = [], [], []
+            n, a, b, hit = [], [], [], []
             for t in batch.column(1):
                 s = shingles(t.as_py(), width)
                 key = xxhash.xxh3_128_intdigest(s.tobytes())
                 n.append(len(s))
                 a.append((key >> 64) - (1 << 63))
                 b.append((key & ((1 << 64) - 1)) - (1 << 63))
-                cells += np.bincount(s >> np.uint64(64 - CELL_BITS), minlength=len(cells))
-            m = len(n)
-            none = pa.nulls(m, pa.int64())
+                hit.append(s >> np.uint64(64 - CELL_BITS))
+            if n:
+                cells += np.bincount(np.concatenate(hit).astype(np.int64), minlength=len(cells))
+            none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), none, none], names=names)
         hit = np.flatnonzero(cells)
         none = pa.nulls(len(hit), pa.int64())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_array(text: list[int], alphabet: int) -> list[int]:
+def suffix_array(text: list[int] | bytes, alphabet: int) -> list[int]:
     """Suffix array of text, whose last symbol 0 occurs nowhere else; symbols are below alphabet.
 
     Suffixes are larger (L) or smaller (S) than the next one. The leftmost S suffixes (LMS) are
@@ -15,7 +15,7 @@ def suffix_array(text: list[int], alphabet: int) -> list[int]:
     n = len(text)
     if n == 1:
         return [0]
-    x = np.asarray(text)
+    x = np.frombuffer(text, np.uint8).astype(np.int64) if isinstance(text, bytes) else np.asarray(text)
     # A suffix is S if its first symbol is below the next different one.
     change = np.flatnonzero(x[1:] != x[:-1])
     ends = np.r_[change, n - 1]
@@ -27,27 +27,28 @@ def suffix_array(text: list[int], alphabet: int) -> list[int]:
     counts = np.bincount(x, minlength=alphabet)
     ends_of = np.cumsum(counts)
     heads, tails = (ends_of - counts).tolist(), ends_of.tolist()
-    is_small = small.tolist()
+    # The symbol before each suffix, if the suffix there is L or S; -1 otherwise, and for no suffix.
+    before = np.r_[-1, x[:-1]]
+    large_before = np.r_[np.where(np.r_[True, small[:-1]], -1, before), -1].tolist()
+    small_before = np.r_[np.where(np.r_[False, small[:-1]], before, -1), -1].tolist()
 
     def induce(order: list[int]) -> list[int]:
-        array = [-1] * n
+        array = [n] * n
         tail = tails.copy()
         for i in reversed(order):
             c = text[i]
             tail[c] -= 1
             array[tail[c]] = i
         head = heads.copy()
-        for i in array:
-            # Entries to the right are filled while the scan comes nearer.
-            if i > 0 and not is_small[i - 1]:
-                c = text[i - 1]
+        for i in array:  # entries to the right are filled while the scan comes nearer
+            c = large_before[i]
+            if c >= 0:
                 array[head[c]] = i - 1
                 head[c] += 1
         tail = tails.copy()
-        for k in range(n - 1, -1, -1):
-            i = array[k]
-            if i > 0 and is_small[i - 1]:
-                c = text[i - 1]
+        for i in reversed(array):
+            c = small_before[i]
+            if c >= 0:
                 tail[c] -= 1
                 array[tail[c]] = i - 1
         return array
@@ -58,7 +59,7 @@ def suffix_array(text: list[int], alphabet: int) -> list[int]:
     is_start = np.zeros(n, bool)
     is_start[lms] = True
     sorted_all = np.array(induce(starts))
-    order = sorted_all[is_start[sorted_all]]
+    order = sorted_all[is_start[np.minimum(sorted_all, n - 1)]]
     stop = dict(zip(starts, [*starts[1:], n - 1]))
     names = np.zeros(n, np.int64)
     name, last = 0, None
@@ -74,7 +75,7 @@ def suffix_array(text: list[int], alphabet: int) -> list[int]:
     return induce([starts[k] for k in reduced])
 
 
-def common_prefixes(text: list[int], array: list[int]) -> np.ndarray:
+def common_prefixes(text: list[int] | bytes, array: list[int]) -> np.ndarray:
     """Permuted: for each position, the symbols its suffix shares with the one before it in order."""
     n = len(text)
     before = [-1] * n

@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fleetwatt.llm.suffix_array import common_prefixes, suffix_array
-from fleetwatt.plans.lineage import stored
+from fleetwatt.llm.steps import stored
 
 LENGTH = 100
 #: Bytes of an anchor.
@@ -32,6 +32,7 @@ SHARD = 1 << 17
 #: are compared string by string in Spark.
 TOGETHER = 50_000
 
+_UP_TWO = bytes(min(b + 2, 255) for b in range(256))
 _RANDOM = np.random.default_rng(20)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -230,16 +231,13 @@ def _equal_run(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def repeats_by_suffix_array(data: list[bytes], doc: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """doc and start of every string of `length` bytes in data that also starts earlier there."""
-    text: list[int] = []
-    for piece in data:
-        text.extend(b + 2 for b in piece)
-        text.append(1)
-    text.append(0)
+    # 0 ends the text and 1 each piece; the bytes of UTF-8 are below 246 and move up by two.
+    text = b"".join(x.translate(_UP_TWO) + b"\1" for x in data) + b"\0"
     size = np.array([len(x) for x in data])
     owner = np.repeat(np.arange(len(data)), size + 1)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(size + 1) - (size + 1), size + 1)
     room = size[owner] - offset
-    array = suffix_array(text, 258)
+    array = suffix_array(text, 256)
     shared = common_prefixes(text, array)
     order = np.array(array[1:])  # without the last symbol
     full = room[order] >= length
@@ -379,9 +377,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text")).where("doc is not null")
     spans = repeated_spans(texts, length)
     joined = docs.select(*[F.col(f"`{c}`") for c in keep]).join(
-        spans.select(F.col("doc").alias("_doc"), "spans"), F.col(doc_id).cast("bigint") == F.col("_doc"), "left"
+        spans.select(F.col("doc").alias("_doc"), F.col("spans").alias("_spans")), F.col(doc_id).cast("bigint") == F.col("_doc"), "left"
     )
-    rows = joined.select(F.col(text).alias("_text"), F.col("spans.start").alias("_s"), F.col("spans.end").alias("_e"), *[F.col(f"`{c}`") for c in keep])
+    rows = joined.select(F.col(text).alias("_text"), F.col("_spans.start").alias("_s"), F.col("_spans.end").alias("_e"), *[F.col(f"`{c}`") for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -412,3 +410,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     added = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
     return rows.mapInArrow(run, T.StructType([docs.schema[c] for c in keep] + added.fields))
+
+
+def valid_text(kept: Column) -> Column:
+    """The bytes as text, without what is no whole character any more."""
+
+    @F.arrow_udf("string")
+    def decoded(column: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in column.to_pylist()], pa.string())
+
+    return decoded(kept)
