@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleetwatt.config import DEFAULT_START
 from fleetwatt.functions.scalars import null_if_nan, ratio
 from fleetwatt.functions.wallclock import month_start, ntz
 from fleetwatt.operators.merge import merge_sources
@@ -20,13 +19,10 @@ def project_raw(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     return null_if_nan(df, MEASURES).select(*RAW_COLUMNS, *(extra or []))
 
 
-def clean_keys(df: DataFrame, start: str = DEFAULT_START) -> DataFrame:
-    """Drop rows without a key or before the start; reaches the Parquet scan."""
-    return df.where(
-        F.col("system_id").isNotNull()
-        & F.col("timestamp").isNotNull()
-        & (F.col("timestamp") >= ntz(start))
-    )
+def clean_keys(df: DataFrame, start: str | None = None) -> DataFrame:
+    """Drop rows without a key and, with a start, those before it; reaches the Parquet scan."""
+    keyed = df.where(F.col("system_id").isNotNull() & F.col("timestamp").isNotNull())
+    return keyed if start is None else keyed.where(F.col("timestamp") >= ntz(start))
 
 
 def dedup_latest(
@@ -80,13 +76,13 @@ def _derived(rows: DataFrame) -> DataFrame:
     return quality_flags(self_consumption(with_calendar(rows)))
 
 
-def stage(df: DataFrame, start: str = DEFAULT_START) -> DataFrame:
+def stage(df: DataFrame, start: str | None = None) -> DataFrame:
     """The whole staging model; one shuffle, on (system, timestamp)."""
     extra = [c for c in EXTRA if c in df.columns]
     return _derived(dedup_latest(clean_keys(project_raw(df, extra), start)))
 
 
-def stage_sources(sources: dict[str, DataFrame], start: str = DEFAULT_START) -> DataFrame:
+def stage_sources(sources: dict[str, DataFrame], start: str | None = None) -> DataFrame:
     """Staging over several sources, the most trusted first.
 
     A source may lack columns. Each is deduplicated by itself; per system and

@@ -1,23 +1,46 @@
-"""One day of the pipeline: gate, staging, marts, reports, alert count."""
+"""One day of the pipeline: gates, staging, marts, reports, table tests, alert count."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.config import ENGINE, LIMITS, MART, PlantLimits
+from fleetwatt.config import DEFAULT_START, ENGINE, LIMITS, MART, PlantLimits
+from fleetwatt.operators.battery import state_of_health
 from fleetwatt.operators.energy import energy_mart
 from fleetwatt.operators.marts import compliance_extract, soh_fleet
-from fleetwatt.operators.quality import assert_gate, quality_gate
+from fleetwatt.operators.quality import QualityGateError, assert_gate, expectations, quality_gate
 from fleetwatt.operators.report import monthly_report
-from fleetwatt.operators.staging import stage, stage_sources
-from fleetwatt.operators.battery import state_of_health
+from fleetwatt.operators.staging import dedup_latest, stage, stage_sources
 from fleetwatt.operators.violations import critical_count, violations
-from fleetwatt.schema import RAW_SCHEMA
+from fleetwatt.plans.lineage import stored
+from fleetwatt.schema import KEYS, RAW_SCHEMA
 from fleetwatt.sources.readings import read_day, write_by, write_report
 
 
+def _days(df: DataFrame, root: str, dates: list[str]) -> DataFrame | None:
+    """The partitions of the given dates that exist, read by their own paths; None without any."""
+    found = []
+    for d in dates:
+        path = f"{root}/date={d}"
+        try:
+            df.sparkSession.read.schema(df.schema).parquet(path)
+            found.append(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return df.sparkSession.read.schema(df.schema).option("basePath", root).parquet(*found) if found else None
+
+
+def _gates(raw: dict[str, DataFrame], as_of, expected: int, limits: PlantLimits) -> dict:
+    """The first source's record, with the invalid voltages of all sources."""
+    records = [assert_gate(quality_gate(df, as_of, expected, limits)) for df in raw.values()]
+    invalid = sum(r["invalid_voltage_records"] for r in records)
+    return {**records[0], "invalid_voltage_records": invalid, "voltage_passed": invalid == 0}
+
+
 def run_day(
     spark: SparkSession,
     sources: str | dict[str, str],
@@ -26,40 +49,50 @@ def run_day(
     as_of: str | datetime,
     expected_systems: int = LIMITS.expected_systems,
     limits: PlantLimits = LIMITS,
+    start: str | None = DEFAULT_START,
+    step_hours: float | None = None,
 ) -> dict:
-    """Read one day of raw telemetry and write every table made from it.
+    """Read one day's directory of raw telemetry and bring every table up to it.
 
-    sources is one dated directory, or several by name, the most trusted first.
-    The gate judges the first one.
+    sources is one dated directory, or several by name, the most trusted first; each must pass the
+    gate. start is the table's first date. step_hours says how long a reading stands for; without
+    it, the expected step of the limits.
 
-    The staged table is written once and read back, so each mart is a scan of
-    its own columns and the deduplication runs a single time. All writes replace
-    only the day's partition, so a repeated run gives the same tables.
+    A reading may be late: it goes to the date it belongs to. The dates that the directory holds
+    readings of are merged with what is staged there, the newest row of a key staying, and written
+    anew; so two days in a row, or one day twice, give what all their readings give at once.
+    Violations, energy and compliance of those dates are written anew, too. Battery tables and
+    reports are made from the whole staged history and stored under the day.
     """
     roots = {"telemetry": sources} if isinstance(sources, str) else sources
+    step = limits.expected_step_minutes / 60.0 if step_hours is None else step_hours
     raw = {name: read_day(spark, root, day, RAW_SCHEMA) for name, root in roots.items()}
+    gate = _gates(raw, as_of, expected_systems, limits)
     first = next(iter(raw.values()))
-    gate = assert_gate(quality_gate(first, as_of, expected_systems, limits))
-    start = f"{day} 00:00:00"
-    readings = stage(first, start) if len(raw) == 1 else stage_sources(raw, start)
+    new = stored(stage(first, start) if len(raw) == 1 else stage_sources(raw, start), "new")
 
-    def dated(df: DataFrame) -> DataFrame:
-        return df.withColumn("dt", F.lit(day).cast("date"))
+    # A directory holds few dates: its own, and those of late readings.
+    dates = [str(r["date"]) for r in new.select("date").distinct().collect()]
+    before = _days(new, f"{target}/staging", dates)
+    merged = new if before is None else stored(dedup_latest(before.select(new.columns).unionByName(new)), "merged")
+    write_by(merged, f"{target}/staging", "date")
+    if dates:
+        today = _days(new, f"{target}/staging", dates)
+    else:
+        today = new
+    write_by(violations(today, MART, as_of), f"{target}/violations", "date")
+    write_by(energy_mart(today, step, limits), f"{target}/energy", "date")
+    write_by(compliance_extract(today, ENGINE, MART), f"{target}/compliance_extract", "date")
 
-    def save(df: DataFrame, name: str) -> DataFrame:
-        path = f"{target}/{name}"
-        write_by(dated(df), path, "dt")
-        return spark.read.parquet(path).where(F.col("dt") == F.lit(day).cast("date")).drop("dt")
+    history = spark.read.schema(new.schema).parquet(f"{target}/staging") if dates else new
+    dated = lambda df: df.withColumn("dt", F.lit(day).cast("date"))
+    write_by(dated(state_of_health(history, ["system_id"], limits)), f"{target}/battery", "dt")
+    write_by(dated(soh_fleet(history, limits)), f"{target}/battery_fleet", "dt")
+    report = monthly_report(history, ENGINE, ["system_id"], as_of=as_of, step_hours=step, limits=limits)
+    write_report(report, f"{target}/reports/dt={day}")
 
-    staged = save(readings, "staging")
-    mart = save(violations(staged, MART, as_of), "violations")
-    save(state_of_health(staged, ["system_id"], limits), "battery")
-    save(energy_mart(staged, limits=limits), "energy")
-    save(compliance_extract(staged, ENGINE, MART), "compliance_extract")
-    save(soh_fleet(staged, limits), "battery_fleet")
-    write_report(
-        monthly_report(staged, ENGINE, ["system_id"], as_of=as_of, limits=limits),
-        f"{target}/reports/dt={day}",
-    )
-    alerts = critical_count(mart).first()["critical_violations"]
+    failed = [r["expectation"] for r in expectations(today, KEYS, KEYS, {}, {}).where("NOT passed").collect()]
+    if failed:
+        raise QualityGateError(f"staged table fails {failed}")
+    alerts = critical_count(violations(today, MART, as_of)).first()["critical_violations"]
     return {**gate, "critical_violations": alerts}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,13 +14,18 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; one of our own only if none is named."""
+    """The folder the cluster names. On a single machine without one, a folder of our own, which
+    is deleted at the end; on a cluster no executor could read another one's, so that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    app = spark.sparkContext.applicationId
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    app = context.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="fleetwatt-")
+        atexit.register(shutil.rmtree, _OWN[app], ignore_errors=True)
     return _OWN[app]
 
 

@@ -11,6 +11,10 @@ from fleetwatt.config import ENGINE
 from fleetwatt.operators.quality import QualityGateError, conformance
 from fleetwatt.operators.report import monthly_report
 from fleetwatt.operators.violations import violations, wide_violations
+from fleetwatt.operators.battery import state_of_health
+from fleetwatt.operators.energy import energy_mart
+from fleetwatt.operators.staging import stage
+from fleetwatt.plans import lineage
 from fleetwatt.plans.daily import run_day
 from fleetwatt.plans.jobs import run_ingest, run_violations
 from fleetwatt.plans.lineage import scratch_path, shared_dir
@@ -134,3 +138,72 @@ def test_one_day_of_the_pipeline(spark, tmp_path):
     assert spark.read.parquet(f"{target}/violations").count() == n_violations
     with pytest.raises(QualityGateError):
         run_day(spark, source, target, day, as_of, expected_systems=500)
+
+
+def _raw_days(spark):
+    """Readings of two days' directories: late ones, a reading in both, a corrected one."""
+    rows = telemetry(spark, SF_DIR).withColumns(
+        {
+            "timestamp": F.expr("timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval(CAST(reading_id % 2 AS INT), CAST(reading_id % 24 AS INT))"),
+            "dt": F.expr("date'2024-03-01' + CAST(reading_id % 2 AS INT)"),
+        }
+    )
+    late = rows.where("reading_id % 50 = 0").withColumns({"dt": F.lit("2024-03-02").cast("date"), "voltage_v": F.lit(1.0)})
+    late = late.withColumn("ingestion_timestamp", F.expr("ingestion_timestamp + INTERVAL 60 DAYS"))
+    again = rows.where("reading_id % 40 = 0").withColumn("dt", F.lit("2024-03-02").cast("date"))
+    return rows.where("reading_id % 10 <> 2").unionByName(late).unionByName(again).unionByName(
+        rows.where("reading_id % 10 = 2").withColumn("dt", F.lit("2024-03-02").cast("date"))
+    )
+
+
+def test_two_days_equal_both_at_once(spark, tmp_path):
+    source, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    rows = _raw_days(spark)
+    readings.write_by(rows, source, "dt")
+    run_day(spark, source, target, "2024-03-01", datetime(2024, 3, 2), 15, step_hours=1.0)
+    first = spark.read.parquet(f"{target}/staging").count()
+    run_day(spark, source, target, "2024-03-02", datetime(2024, 3, 3), 15, step_hours=1.0)
+    whole = stage(rows.drop("dt"), "2024-01-01 00:00:00")
+    staged = spark.read.parquet(f"{target}/staging")
+    assert first < staged.where("date = '2024-03-01'").count()
+    assert sorted(map(str, staged.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+    marts = {"violations": violations(whole, as_of="2024-03-03 00:00:00"), "energy": energy_mart(whole)}
+    for name, want in marts.items():
+        columns = [c for c in want.columns if c not in ("analysis_timestamp",) and not c.endswith("kwh") and not c.endswith("usd")]
+        got = spark.read.parquet(f"{target}/{name}").select(columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(columns).collect())), name
+    health = spark.read.parquet(f"{target}/battery").where("dt = '2024-03-02'")
+    assert {r.system_id: r.days_in_service for r in health.collect()} == {
+        r.system_id: r.days_in_service for r in state_of_health(whole, ["system_id"]).collect()
+    }
+    assert health.agg(F.max("days_in_service")).first()[0] == 1
+    # The second day once more changes nothing.
+    run_day(spark, source, target, "2024-03-02", datetime(2024, 3, 3), 15, step_hours=1.0)
+    assert spark.read.parquet(f"{target}/staging").count() == whole.count()
+
+
+def test_every_source_passes_the_gate(spark, tmp_path):
+    app, meter = str(tmp_path / "app"), str(tmp_path / "meter")
+    rows = _raw_days(spark).where("dt = '2024-03-02'")
+    readings.write_by(rows.drop("voltage_v"), app, "dt")
+    readings.write_by(rows.select("system_id", "timestamp", "ingestion_timestamp", "voltage_v", "dt"), meter, "dt")
+    done = run_day(spark, {"app": app, "meter": meter}, str(tmp_path / "out"), "2024-03-02", datetime(2024, 3, 3), 15)
+    assert done["invalid_voltage_records"] > 0 and not done["voltage_passed"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        applicationId = "app"
+
+        def __init__(self, master):
+            self.master = master
+
+    class Session:
+        def __init__(self, master, named=None):
+            self.sparkContext = Context(master)
+            self.conf = {"spark.checkpoint.dir": named} if named else {}
+
+    with pytest.raises(RuntimeError):
+        lineage.shared_dir(Session("spark://host:7077"))
+    assert lineage.shared_dir(Session("spark://host:7077", "s3://bucket/x")) == "s3://bucket/x"
+    assert lineage.shared_dir(Session("local[4]")) == lineage.shared_dir(Session("local[4]"))
