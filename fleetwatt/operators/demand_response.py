@@ -41,16 +41,25 @@ def dr_baseline(df: DataFrame, days: int = LIMITS.baseline_days) -> DataFrame:
 def dr_settlement(
     df: DataFrame, step_hours: float = 1.0, limits: PlantLimits = LIMITS
 ) -> DataFrame:
-    """Payment per system and day for import below the baseline in the alert window."""
+    """Payment per system and day for import below the baseline in the alert window.
+
+    Each reading with a value counts by itself: what another one draws above the baseline in the
+    same hour is not set against it. The window is cut before the join, which keeps the hours'
+    partitioning by system and hour.
+    """
     in_window = F.col("hour_of_day").between(
         limits.flex_first_hour, limits.flex_last_hour
     ) & F.month("date").between(limits.flex_first_month, limits.flex_last_month)
-    saved = F.greatest(F.lit(0.0), F.col("reduction_kw")) * F.col("n_readings") * step_hours
-    reduced = F.when(F.col("reduction_kw").isNotNull(), saved)
+    keys = ["system_id", "hour_of_day", "date"]
+    base = dr_baseline(df, limits.baseline_days).where(in_window).select(*keys, "baseline_kw")
+    readings = df.select(
+        "system_id", F.hour("timestamp").alias("hour_of_day"), "date", "grid_import_kw"
+    ).where(in_window)
+    below = F.col("baseline_kw") - F.col("grid_import_kw")
+    saved = F.when(below.isNotNull(), F.greatest(F.lit(0.0), below) * step_hours)
     return (
-        dr_baseline(df, limits.baseline_days)
-        .where(in_window)
+        readings.join(base, keys)
         .groupBy("system_id", "date")
-        .agg(total(reduced).alias("reduced_kwh"))
+        .agg(total(saved).alias("reduced_kwh"))
         .withColumn("settlement_usd", F.col("reduced_kwh") * limits.settlement_usd_per_kwh)
     )

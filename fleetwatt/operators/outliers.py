@@ -57,35 +57,21 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
 
 
 def _sample(df: DataFrame, features, keys, trees, seed, size) -> DataFrame:
-    """At most `size` rows per tree, those with the smallest draws.
+    """At most `size` rows per tree: one rule for every size of table.
 
-    A row takes part in `slots` trees, chosen by its hash, and stays there with
-    a probability that leaves about twice the wanted rows. A large table needs
-    one slot, so that a single hash per row and a filter decide. All depends on
-    the rows only: another number of partitions gives the same sample.
+    The size * trees rows of smallest hash are a pool, in the order of the hash. The trees take
+    `size` places each, one tree after the other, and begin anew at the pool's end; a row that a
+    tree meets twice counts once. All depends on the rows only, not on partitions.
     """
-    buckets = 1 << 40
-    per_row = 2.0 * size * trees / max(df.count(), 1)
-    slots = max(1, min(trees, int(np.ceil(per_row))))
-    cut = int(min(per_row / slots, 1.0) * buckets)
-    slot = F.lit(0) if slots == 1 else F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
-    drawn = (
-        df.select(*features, *keys, slot.alias("_slot"))
-        .withColumn("_draw", F.xxhash64(*keys, F.lit(seed), "_slot"))
-        .where(F.pmod("_draw", F.lit(buckets)) < cut)
-        .withColumn(
-            "tree",
-            (
-                (F.pmod(F.xxhash64(*keys, F.lit(seed + 1)), F.lit(trees)) + F.col("_slot")) % trees
-            ).cast("int"),
-        )
-    )
-    smallest = Window.partitionBy("tree").orderBy("_draw", *keys)
-    return (
-        drawn.withColumn("_place", F.row_number().over(smallest))
-        .where(F.col("_place") <= size)
-        .select("tree", "_place", *features)
-    )
+    places = size * trees
+    pool = df.select(*features, *keys, F.xxhash64(*keys, F.lit(seed)).alias("_draw")).orderBy("_draw", *keys).limit(places)
+    # The pool is bounded, so one task may number it.
+    numbered = pool.withColumn("_rank", F.row_number().over(Window.orderBy("_draw", *keys)) - 1)
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    rounds = F.explode(F.sequence(F.lit(0), F.floor((places - 1 - F.col("_rank")) / F.col("_n")).cast("int")))
+    taken = numbered.withColumn("_n", n).withColumn("_round", rounds)
+    tree = F.floor((F.col("_rank") + F.col("_round") * F.col("_n")) / size).cast("int")
+    return taken.withColumn("tree", tree).dropDuplicates(["tree", "_rank"]).select("tree", F.col("_rank").alias("_place"), *features)
 
 
 def fit_forest(
@@ -115,7 +101,7 @@ def fit_forest(
 
 
 def score_rows(df: DataFrame, features: list[str], forest: DataFrame, size: int) -> DataFrame:
-    """Add the anomaly score, in (0, 1); higher is more isolated.
+    """Add the anomaly score, in (0, 1); higher is more isolated. size: rows fitted per tree.
 
     The forest passes through the driver to be broadcast. It has at most
     2 * size - 1 nodes per tree, whatever the size of the table.
@@ -127,7 +113,7 @@ def score_rows(df: DataFrame, features: list[str], forest: DataFrame, size: int)
         for _, t in nodes.groupby("tree")
     ]
     shared = df.sparkSession.sparkContext.broadcast(parts)
-    depth = int(np.ceil(np.log2(size)))
+    depth = max(1, int(np.ceil(np.log2(size))))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -160,7 +146,7 @@ def isolation_outliers(
 ) -> DataFrame:
     """Label every complete row: the given share with the highest scores is -1.
 
-    The complete rows and the scores are each stored once, in the cluster's
+    Eager: it runs its passes while the result is built. The complete rows and the scores are each stored once, in the cluster's
     shared folder: count, sample, scoring, cut and labels are then plain passes
     over narrow tables.
     """
@@ -168,7 +154,8 @@ def isolation_outliers(
     keys = keys or KEYS
     complete = stored(df.select(*keys, *features).dropna(subset=features), "features")
     forest = fit_forest(complete, features, trees, seed, size, keys)
-    scored = stored(score_rows(complete, features, forest, size), "scores")
+    fitted = max(2, min(size, complete.count()))
+    scored = stored(score_rows(complete, features, forest, fitted), "scores")
     cut = exact_quantile(scored, [], "anomaly_score", 1.0 - contamination, "cut").scalar()
     is_outlier = F.col("anomaly_score") > F.col("_cut")
     return (

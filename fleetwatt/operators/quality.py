@@ -195,8 +195,9 @@ def expectations(
     for c, (low, high) in ranges.items():
         checks[f"range_{c}"] = ~F.col(c).between(low, high)
     counted = df.agg(*[F.count_if(cond).alias(name) for name, cond in checks.items()])
+    keyed = df.dropna(subset=unique_key)  # a missing key is what not_null is for
     duplicates = (
-        df.groupBy(*unique_key)
+        keyed.groupBy(*unique_key)
         .agg(count_rows().alias("_copies"))
         .agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("_dup"))
     )

@@ -132,7 +132,7 @@ def monthly_report(
         "report_metadata": {
             "report_type": F.lit(REPORT_TYPE),
             "reporting_period": period_text(F.col("period_start"), F.col("period_end")),
-            "utility_territory": known("utility_mode", "utility"),
+            "utility_territory": F.col("utility_mode") if "utility" in df.columns else F.lit(DEFAULTS["utility"]),
             "interconnection_standard": F.lit(STANDARD),
             "nem_program": F.lit(NEM_PROGRAM),
             "rated_capacity_kw": F.lit(limits.rated_capacity_kw),

@@ -219,10 +219,10 @@ _WIDE = """, wide AS (
     CASE WHEN voltage_v < 220.8e0 OR voltage_v > 259.20000000000005e0 THEN 'VOLTAGE_DEVIATION' END AS voltage_violation,
     CASE WHEN frequency_hz < 59.7e0 OR frequency_hz > 60.3e0 THEN 'FREQUENCY_DEVIATION' END AS frequency_violation,
     CASE WHEN power_factor < 95e-2 THEN 'POWER_FACTOR_LOW' END AS power_factor_violation
-  FROM stg)"""
+  FROM telemetry)"""
 _ANY = """voltage_violation IS NOT NULL OR frequency_violation IS NOT NULL
     OR power_factor_violation IS NOT NULL"""
-ORACLE["b12_wide_violations"] = _stg(f"{_WIDE} SELECT * FROM wide WHERE {_ANY}")
+ORACLE["b12_wide_violations"] = _raw(f"{_WIDE} SELECT * FROM wide WHERE {_ANY}")
 for _key, _like in (
     ("b13_voltage_violations", "VOLTAGE%"),
     ("b14_frequency_violations", "FREQUENCY%"),
@@ -351,7 +351,7 @@ ORACLE["c10_frequent_violations"] = _viol(
 ORACLE["c11_critical_count"] = _viol(
     "SELECT count(*) AS critical_violations FROM viol WHERE severity = 'CRITICAL'"
 )
-ORACLE["c12_job_violation_count"] = _stg(
+ORACLE["c12_job_violation_count"] = _raw(
     f"{_WIDE} SELECT count(*) AS violation_count FROM wide WHERE {_ANY}"
 )
 
@@ -622,10 +622,11 @@ ORACLE["x07_dr_baseline"] = _stg(
   round(actual, 9) AS actual_kw, round(base - actual, 9) + 0e0 AS reduction_kw FROM based"""
 )
 ORACLE["x08_dr_settlement"] = _stg(
-    f"""{_BASELINE}, p AS (SELECT system_id, date,
-  coalesce(sum(CASE WHEN base IS NOT NULL THEN greatest(0e0, base - actual) * n_readings END), 0e0) AS kwh
-  FROM based WHERE hour_of_day BETWEEN 16 AND 21 AND extract(month FROM date) BETWEEN 6 AND 9
-  GROUP BY system_id, date)
+    f"""{_BASELINE}, p AS (SELECT stg.system_id, stg.date,
+  coalesce(sum(CASE WHEN base - grid_import_kw IS NOT NULL THEN greatest(0e0, base - grid_import_kw) END), 0e0) AS kwh
+  FROM stg JOIN based ON stg.system_id = based.system_id AND stg.date = based.date AND stg.hour_of_day = based.hour_of_day
+  WHERE stg.hour_of_day BETWEEN 16 AND 21 AND extract(month FROM stg.date) BETWEEN 6 AND 9
+  GROUP BY stg.system_id, stg.date)
 SELECT system_id, date, round(kwh, 9) AS reduced_kwh, round(kwh * 2e0, 9) AS settlement_usd FROM p"""
 )
 ORACLE["x09_sustained_episodes"] = _stg(
@@ -708,7 +709,7 @@ ORACLE["x15_expectations"] = _raw(
         for n, c in _EXPECT.items()
     )
     + """ UNION ALL SELECT 'unique_system_id_timestamp', CAST(sum(n - 1) AS BIGINT)
-  FROM (SELECT count(*) AS n FROM telemetry GROUP BY system_id, "timestamp"))
+  FROM (SELECT count(*) AS n FROM telemetry WHERE system_id IS NOT NULL AND "timestamp" IS NOT NULL GROUP BY system_id, "timestamp"))
 SELECT *, failed_rows = 0 AS passed FROM r"""
 )
 

@@ -12,18 +12,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetwatt.functions.wallclock import date_chunk
+from fleetwatt.schema import KEYS
 
 CHUNK = "_chunk"
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on the keys and the block; keys that may be NULL match NULL."""
+    if set(keys) <= set(KEYS):
+        return left.join(right, [*keys, CHUNK])
+    named = right.withColumnsRenamed({c: f"_right_{c}" for c in [*keys, CHUNK]})
+    match = [F.col(c) == F.col(f"_right_{c}") if c in [*KEYS, CHUNK] else F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in [*keys, CHUNK]]
+    return left.join(named, reduce(lambda a, b: a & b, match)).drop(*[f"_right_{c}" for c in [*keys, CHUNK]])
+
 DEFAULT_CHUNK_DAYS = 7
 
 
 def with_chunk(df: DataFrame, keys: list[str], time: str, days: int) -> DataFrame:
-    """Number the blocks. Rows without a key or a time belong to no series.
+    """Number the blocks. Rows without a system or a time belong to no series; another key may
+    be NULL, and its rows are a group of their own.
 
     Saying so here keeps the filters of all branches equal, and so lets Spark
     reuse one exchange for them.
     """
-    present = [F.col(c).isNotNull() for c in [*keys, CHUNK]]
+    present = [F.col(c).isNotNull() for c in [*[k for k in keys if k in KEYS], CHUNK]]
     numbered = df.withColumn(CHUNK, date_chunk(F.to_date(time), days))
     return numbered.where(reduce(lambda a, b: a & b, present))
 
@@ -51,7 +63,7 @@ def with_previous(
     carried = ends.select(
         *keys, CHUNK, *[F.lag(c).over(series).alias(f"_carried_{c}") for c in columns]
     )
-    joined = rows.withColumns({**inside, "_opens": opens}).join(carried, [*keys, CHUNK])
+    joined = _same(rows.withColumns({**inside, "_opens": opens}), carried, keys)
     previous = [
         F.when(F.col("_opens"), F.col(f"_carried_{c}"))
         .otherwise(F.col(f"_before_{c}"))
@@ -103,7 +115,7 @@ def runs(
         .select(*keys, CHUNK, "_offset")
     )
     return (
-        pieces.join(offsets, [*keys, CHUNK])
+        _same(pieces, offsets, keys)
         .withColumn("_run", F.col("_run") + F.col("_offset"))
         .groupBy(*keys, "_run")
         .agg(

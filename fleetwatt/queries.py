@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from fleetwatt.config import ENGINE, JOB, MART
+from fleetwatt.config import DEFAULT_START, ENGINE, JOB, MART
 from fleetwatt.functions.scalars import in_flex_window, ratio
 from fleetwatt.operators import (
     battery,
@@ -82,7 +82,8 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage(telemetry(spark, sf_dir))
+    """The staging model with its fixed first date."""
+    return staging.stage(telemetry(spark, sf_dir), DEFAULT_START)
 
 
 def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,12 +189,12 @@ def b01_project(spark, sf_dir):
 
 @query
 def b02_clean_keys(spark, sf_dir):
-    return staging.clean_keys(telemetry(spark, sf_dir)).select("reading_id", *ROW)
+    return staging.clean_keys(telemetry(spark, sf_dir), DEFAULT_START).select("reading_id", *ROW)
 
 
 @query
 def b03_dedup_latest(spark, sf_dir):
-    rows = staging.clean_keys(telemetry(spark, sf_dir))
+    rows = staging.clean_keys(telemetry(spark, sf_dir), DEFAULT_START)
     return staging.dedup_latest(rows).select("reading_id", *ROW, "ingestion_timestamp")
 
 
@@ -248,7 +249,7 @@ def b11_frequency_trip_flag(spark, sf_dir):
 @query
 def b12_wide_violations(spark, sf_dir):
     labels = ["voltage_violation", "frequency_violation", "power_factor_violation"]
-    return vio.wide_violations(staged(spark, sf_dir), JOB).select(*ROW, *labels)
+    return vio.wide_violations(telemetry(spark, sf_dir), JOB).select(*ROW, *labels)
 
 
 @query
@@ -400,7 +401,7 @@ def c11_critical_count(spark, sf_dir):
 
 @query
 def c12_job_violation_count(spark, sf_dir):
-    return vio.violation_count(vio.wide_violations(staged(spark, sf_dir), JOB))
+    return vio.violation_count(vio.wide_violations(telemetry(spark, sf_dir), JOB))
 
 
 # --- battery and inverter ----------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetwatt.config import ENGINE, MART
 from fleetwatt.functions import scalars
-from fleetwatt.operators import battery, compliance, energy, inverter, quality, series, staging
+from fleetwatt.operators import battery, compliance, demand_response, energy, inverter, quality, series, staging
 from fleetwatt.operators import violations as vio
 from fleetwatt.operators.report import monthly_report
 from tests.conftest import telemetry_rows
@@ -103,7 +103,31 @@ def test_keys_and_start(spark):
         {"timestamp": datetime(2023, 12, 31, 23, 59)},
         {"timestamp": datetime(2024, 1, 1)},
     ]
-    assert staging.clean_keys(telemetry_rows(spark, rows)).count() == 1
+    assert staging.clean_keys(telemetry_rows(spark, rows)).count() == 2
+    assert staging.clean_keys(telemetry_rows(spark, rows), "2024-01-01 00:00:00").count() == 1
+
+
+def test_settlement_counts_each_reading(spark):
+    """A baseline of 4 kW: readings of 0 and 8 save 1 kWh in quarter hours, 0 and 2 save 1.5."""
+    before = [{"timestamp": datetime(2024, 7, d, 17, m), "grid_import_kw": 4.0} for d in range(1, 11) for m in (0, 15)]
+    for values, kwh in (((0.0, 8.0), 1.0), ((0.0, 2.0), 1.5)):
+        day = [{"timestamp": datetime(2024, 7, 11, 17, 15 * i), "grid_import_kw": v} for i, v in enumerate([*values, None, None])]
+        paid = demand_response.dr_settlement(telemetry_rows(spark, before + day), step_hours=0.25)
+        assert paid.where("date = '2024-07-11'").first().reduced_kwh == kwh
+
+
+def test_groups_without_a_utility_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    rows = [{"timestamp": datetime(2024, 5, 1, h), "battery_soc_pct": 50.0 + (h % 3)} for h in range(12)]
+    frame = telemetry_rows(spark, rows).withColumn("utility", F.lit(None).cast("string"))
+    assert battery.round_trip_efficiency(frame, ["utility"]).first().charged_pct > 0
+
+
+def test_a_missing_key_is_no_duplicate(spark):
+    rows = [{"timestamp": NOON, "system_id": None}, {"timestamp": NOON, "system_id": None}, {"timestamp": NOON}, {"timestamp": NOON}]
+    out = {r.expectation: r.failed_rows for r in quality.expectations(telemetry_rows(spark, rows), ["system_id"], ["system_id", "timestamp"], {}, {}).collect()}
+    assert out == {"not_null_system_id": 2, "unique_system_id_timestamp": 1}
 
 
 def test_flex_response_needs_a_window(spark):
@@ -250,7 +274,10 @@ def test_utility_mode_ties_and_default(spark):
 
 
 def test_report_defaults_without_measurements(spark):
-    report = monthly_report(telemetry_rows(spark, hourly(1)), by=["system_id"], as_of=NOON).first()
+    rows = telemetry_rows(spark, hourly(1))
+    kept = monthly_report(rows, by=["system_id"], as_of=NOON).first()
+    assert kept.report_metadata.utility_territory is None  # a missing value is no default territory
+    report = monthly_report(rows.drop("utility"), by=["system_id"], as_of=NOON).first()
     assert report.battery.round_trip_efficiency_pct == 93.0
     assert report.inverter.mean_efficiency_pct == 97.0
     assert report.compliance.thd_voltage_pct == 0.0
