@@ -24,8 +24,11 @@ def thd(
     Every harmonic is a pair of sums in one grouped aggregate, so rows are not
     multiplied by the number of harmonics and partial sums merge before the
     shuffle. The angle of harmonic h at sample n depends on h*n modulo the
-    number of samples only: sines and cosines come from one period of a table.
+    number of samples only: sines and cosines come from one period of a table. A waveform with a
+    missing sample or value has no result.
     """
+    if 2 * harmonics >= samples:
+        raise ValueError(f"{samples} samples do not tell {harmonics} harmonics apart")
     turn = [2.0 * math.pi * i / samples for i in range(samples)]
     cosine = F.lit([math.cos(a) for a in turn])
     sine = F.lit([math.sin(a) for a in turn])
@@ -37,13 +40,14 @@ def thd(
         sums.append(F.sum(F.col(value) * F.get(sine, at)).alias(f"_s{h}"))
     energy = lambda h: F.col(f"_c{h}") * F.col(f"_c{h}") + F.col(f"_s{h}") * F.col(f"_s{h}")
     distortion = sum((energy(h) for h in orders[2:]), energy(2))
+    whole = F.col("_samples") == samples
     return (
         waves.groupBy(*keys)
-        .agg(*sums)
+        .agg(*sums, F.count(value).alias("_samples"))
         .select(
             *keys,
-            (F.sqrt(energy(1)) * F.lit(2.0 / samples)).alias("fundamental"),
-            (F.try_divide(F.sqrt(distortion), F.sqrt(energy(1))) * 100.0).alias("thd_pct"),
+            F.when(whole, F.sqrt(energy(1)) * F.lit(2.0 / samples)).alias("fundamental"),
+            F.when(whole, F.try_divide(F.sqrt(distortion), F.sqrt(energy(1))) * 100.0).alias("thd_pct"),
         )
     )
 

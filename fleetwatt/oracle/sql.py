@@ -286,30 +286,23 @@ ORACLE["c04_pf_summary"] = _stg(
   round((1e0 - (count(*) FILTER (WHERE power_factor < 95e-2)) / CAST(count(*) AS DOUBLE)) * 100e0, 9)
     AS pf_compliance_pct FROM stg {_BY}"""
 )
-_WAVES = """, wave AS (
-  SELECT reading_id, n, 2e0 * pi() * n / 128e0 AS turn,
-    CAST(reading_id % 7 AS DOUBLE) AS a3, CAST(reading_id % 3 AS DOUBLE) AS a5
-  FROM telemetry CROSS JOIN (SELECT unnest(range(128)) AS n)),
-sampled AS (
-  SELECT reading_id, n, 'voltage' AS kind,
-    sin(turn) * 240e0 + sin(turn * 3e0) * a3 * 21e-1 + sin(turn * 5e0) * a5 * 15e-1 AS value FROM wave
-  UNION ALL
-  SELECT reading_id, n, 'current',
-    sin(turn) * 20e0 + sin(turn * 3e0) * a5 * 5e-1 + sin(turn * 5e0) * a3 * 26e-2 FROM wave),
+_WAVES = """WITH sampled AS (
+  SELECT vec_id // 2 AS capture_id, CASE WHEN vec_id % 2 = 0 THEN 'voltage' ELSE 'current' END AS kind, n,
+    CAST(embedding[n + 1] AS DOUBLE) AS value
+  FROM embeddings CROSS JOIN (SELECT unnest(range(64)) AS n) WHERE len(embedding) > n),
 parts AS (
-  SELECT reading_id, kind, h, sum(value * cos(2e0 * pi() * h * n / 128e0)) AS c,
-    sum(value * sin(2e0 * pi() * h * n / 128e0)) AS s
-  FROM sampled CROSS JOIN (SELECT unnest(range(1, 41)) AS h) GROUP BY 1, 2, 3),
+  SELECT capture_id, kind, h, sum(value * cos(2e0 * pi() * h * n / 64e0)) AS c,
+    sum(value * sin(2e0 * pi() * h * n / 64e0)) AS s, count(value) AS m
+  FROM sampled CROSS JOIN (SELECT unnest(range(1, 32)) AS h) GROUP BY 1, 2, 3),
 thd AS (
-  SELECT reading_id, kind, sqrt(sum(c * c + s * s) FILTER (WHERE h = 1)) / 64e0 AS fundamental,
-    sqrt(sum(c * c + s * s) FILTER (WHERE h > 1)) / sqrt(sum(c * c + s * s) FILTER (WHERE h = 1)) * 100e0 AS thd_pct
+  SELECT capture_id, kind, CASE WHEN max(m) = 64 THEN sqrt(sum(c * c + s * s) FILTER (WHERE h = 1)) / 32e0 END AS fundamental,
+    CASE WHEN max(m) = 64 THEN
+      sqrt(sum(c * c + s * s) FILTER (WHERE h > 1)) / sqrt(sum(c * c + s * s) FILTER (WHERE h = 1)) * 100e0 END AS thd_pct
   FROM parts GROUP BY 1, 2)"""
-ORACLE["c05_thd_check"] = _raw(
-    f"""{_WAVES}, side AS (SELECT reading_id, max(thd_pct) FILTER (WHERE kind = 'voltage') AS v,
+ORACLE["c05_thd_check"] = f"""{_WAVES}, side AS (SELECT capture_id, max(thd_pct) FILTER (WHERE kind = 'voltage') AS v,
   max(thd_pct) FILTER (WHERE kind = 'current') AS a FROM thd GROUP BY 1)
-SELECT reading_id, round(v, 6) AS thd_voltage_pct, round(a, 6) AS thd_current_pct,
-  v < 5e0 AND a < 8e0 AS thd_passed FROM side"""
-)
+SELECT capture_id, round(v, 6) AS thd_voltage_pct, round(a, 6) AS thd_current_pct,
+  coalesce(v < 5e0 AND a < 8e0, false) AS thd_passed FROM side"""
 
 
 def _flex(keys: str, group: str) -> str:
@@ -599,8 +592,8 @@ ORACLE["x03_round_trip_eff"] = _stg(
 SELECT system_id, round(up, 9) AS charged_pct, round(down, 9) AS discharged_pct,
   round(eff, 9) AS round_trip_efficiency_pct FROM rated"""
 )
-ORACLE["x04_thd"] = _raw(
-    f"{_WAVES} SELECT reading_id, kind, round(fundamental, 6) AS fundamental, round(thd_pct, 6) AS thd_pct FROM thd"
+ORACLE["x04_thd"] = (
+    f"{_WAVES} SELECT capture_id, kind, round(fundamental, 6) AS fundamental, round(thd_pct, 6) AS thd_pct FROM thd"
 )
 ORACLE["x05_gaps"] = _stg(
     """, g AS (SELECT system_id, "timestamp",
@@ -687,12 +680,7 @@ counted AS (
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, violation_type, severity, violation_count
 FROM counted"""
 ORACLE["x14_batch_counts"] = _raw(_ARRIVALS)
-# The stream gives the windows that the last watermark has passed.
-ORACLE["x14_stream_counts"] = _raw(
-    f"""{_ARRIVALS} WHERE window_start + INTERVAL 5 MINUTE <=
-  (SELECT max(ts) FROM telemetry t JOIN events e ON t.reading_id = e.event_id WHERE t.system_id IS NOT NULL)
-  - INTERVAL 1 HOUR"""
-)
+ORACLE["x14_stream_counts"] = ORACLE["x14_batch_counts"]
 
 _EXPECT = {
     "not_null_system_id": "system_id IS NULL",

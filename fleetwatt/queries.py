@@ -6,7 +6,6 @@ since the order of a sum is not fixed in a distributed plan.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -329,32 +328,17 @@ def c04_pf_summary(spark, sf_dir):
 
 
 def _captures(spark, sf_dir):
-    """A voltage and a current waveform, one period long, for every reading.
-
-    Harmonics 3 and 5 depend on the reading number, so their THD is known.
-    """
-    number = F.col("reading_id")
-    wave = telemetry(spark, sf_dir).select(
-        "reading_id",
-        F.explode(F.sequence(F.lit(0), F.lit(127))).alias("n"),
-        (number % 7).cast("double").alias("a3"),
-        (number % 3).cast("double").alias("a5"),
-    )
-    turn = F.lit(2 * math.pi) * F.col("n") / F.lit(128.0)
-    base, third, fifth = F.sin(turn), F.sin(turn * 3.0), F.sin(turn * 5.0)
-    volts = base * 240.0 + third * F.col("a3") * 2.1 + fifth * F.col("a5") * 1.5
-    amps = base * 20.0 + third * F.col("a5") * 0.5 + fifth * F.col("a3") * 0.26
-    pairs = F.array(
-        F.struct(F.lit("voltage").alias("kind"), volts.alias("value")),
-        F.struct(F.lit("current").alias("kind"), amps.alias("value")),
-    )
-    return wave.select("reading_id", "n", F.inline(pairs))
+    """Stored captures of 64 samples: even vectors are voltages, the next odd ones currents."""
+    stored = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    kind = F.when(F.col("vec_id") % 2 == 0, "voltage").otherwise("current")
+    capture = F.expr("vec_id div 2").alias("capture_id")
+    waves = stored.select(capture, kind.alias("kind"), F.posexplode("embedding").alias("n", "value"))
+    return harmonics.thd(waves, ["capture_id", "kind"], samples=64, harmonics=31)
 
 
 @query
 def c05_thd_check(spark, sf_dir):
-    thds = harmonics.thd(_captures(spark, sf_dir), ["reading_id", "kind"])
-    checked = harmonics.thd_check(thds, ["reading_id"])
+    checked = harmonics.thd_check(_captures(spark, sf_dir), ["capture_id"])
     return rounded(checked, "thd_voltage_pct", "thd_current_pct")
 
 
@@ -630,8 +614,7 @@ def x03_round_trip_eff(spark, sf_dir):
 
 @query
 def x04_thd(spark, sf_dir):
-    waves = _captures(spark, sf_dir)
-    return rounded(harmonics.thd(waves, ["reading_id", "kind"]), "fundamental", "thd_pct")
+    return rounded(_captures(spark, sf_dir), "fundamental", "thd_pct")
 
 
 @query
@@ -718,8 +701,8 @@ def x14_stream_counts(spark, sf_dir):
     stream = monitor.file_stream(spark, sf_dir, schema, name_filter="events.parquet")
     out, state = scratch_path(spark, "monitor"), scratch_path(spark, "monitor-state")
     counts = monitor.violation_counts(_arrivals(stream))
-    monitor.start_monitor(counts, out, state).awaitTermination()
-    return _counts_as_ntz(spark.read.schema(counts.schema).parquet(out))
+    monitor.start_latest(counts, out, state).awaitTermination()
+    return _counts_as_ntz(monitor.latest_counts(spark, out, counts.schema))
 
 
 @query

@@ -16,6 +16,27 @@ def run(spark, source, out, state, watermark="1 hour"):
     return spark.read.schema(counts.schema).parquet(out)
 
 
+def test_end_state_has_the_open_windows(spark, tmp_path):
+    """Repeats with other values and late rows arrive; every window is there at the end."""
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    events.where("ts < timestamp_ntz'2024-01-15'").coalesce(1).write.parquet(source)
+    late = events.where("ts >= timestamp_ntz'2024-01-14 23:00:00'")
+    late.coalesce(1).write.mode("append").parquet(source)
+    schema = events.schema
+    counts = monitor.violation_counts(_arrivals(monitor.file_stream(spark, source, schema, "*.parquet", max_files=1)), watermark="2 hours")
+    monitor.start_latest(counts, out, state).awaitTermination()
+    got = monitor.latest_counts(spark, out, counts.schema)
+    assert rows_of(got) == rows_of(monitor.violation_counts(_arrivals(events)))
+
+
+def test_of_conflicting_repeats_the_first_counts(spark):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    rows = _arrivals(events).where("system_id IS NOT NULL")
+    later = rows.withColumns({"voltage_v": F.lit(500.0), "event_time": F.expr("event_time + INTERVAL 1 MINUTE")})
+    assert rows_of(monitor.violation_counts(rows.unionByName(later))) == rows_of(monitor.violation_counts(rows))
+
+
 def rows_of(df):
     return sorted(map(tuple, df.collect()))
 
