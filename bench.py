@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -14,13 +16,16 @@ from pyspark.sql import SparkSession
 from fleetwatt.queries import QUERIES
 
 HEADLINE = [
+    "a06_write_roundtrip",
     "b07_staging",
     "b16_violations_mart",
     "c09_by_system",
+    "c11_critical_count",
     "d04_soh",
     "d13_thermal_summary",
     "d16_isolation_outliers",
     "e09_monthly_report",
+    "e13_quality_gate",
     "x01_missing_counts",
     "x03_round_trip_eff",
     "x07_dr_baseline",
@@ -32,6 +37,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    scratch = tempfile.mkdtemp(prefix="bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("fleetwatt-bench")
@@ -40,6 +46,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", scratch)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -64,6 +71,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    shutil.rmtree(scratch, ignore_errors=True)
 
 
 if __name__ == "__main__":

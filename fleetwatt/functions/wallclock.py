@@ -23,10 +23,6 @@ def whole_days_between(start: Column, end: Column) -> Column:
     return F.floor(seconds_between(start, end) / 86400.0).cast("int")
 
 
-def hour_of(ts: Column) -> Column:
-    return F.hour(ts)
-
-
 def month_start(date: Column) -> Column:
     """First day of the month as a date."""
     return F.trunc(date, "month")

@@ -572,7 +572,7 @@ SELECT *, round(actual_systems * 100e0 / 150e0, 9) AS completeness_pct, round({_
 
 _SPINE = """, spine AS (
   SELECT system_id, slot FROM (SELECT DISTINCT system_id FROM stg)
-  CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-06-01 00:00:00', TIMESTAMP '2024-06-30 23:00:00',
+  CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-12-31 23:00:00',
     INTERVAL 1 HOUR)) AS slot))"""
 ORACLE["x01_missing_readings"] = _stg(
     f"""{_SPINE} SELECT system_id, slot AS "timestamp" FROM spine ANTI JOIN stg

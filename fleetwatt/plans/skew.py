@@ -19,13 +19,13 @@ def attach_group(df: DataFrame, groups: DataFrame, by: list[str], salts: int) ->
     """Add the columns of a table with one row per group to salted rows.
 
     Each group row is copied once per salt, so a hot group is joined by as many
-    tasks. The copies are spread evenly and are hashed, the rows are not sorted.
+    tasks. The copies are spread evenly; how to join is left to Spark, which broadcasts few groups.
     A table without groups is one row: a scalar subquery, no shuffle.
     """
     if not by:
         return join_groups(df, groups, [])
     copies = groups.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return join_groups(df, copies.hint("shuffle_hash"), [*by, SALT], "inner")
+    return join_groups(df, copies, [*by, SALT], "inner")
 
 
 BINS = 1000

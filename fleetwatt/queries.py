@@ -42,7 +42,8 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2024-12-16 00:00:00"
 AS_OF_MONTH = "2024-06-15 00:00:00"
 DAY = "2024-06-15"
-RANGE = ("2024-06-01 00:00:00", "2024-06-30 23:00:00")
+# All slots that the staged table can have.
+RANGE = ("2024-01-01 00:00:00", "2024-12-31 23:00:00")
 EXPECTED_SYSTEMS = 150
 ID = ["system_id"]
 ROW = ["system_id", "timestamp"]

@@ -6,6 +6,7 @@ python -m tests.compare [sf] [key prefix ...]
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -35,6 +36,7 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-"))
         .getOrCreate()
     )
 

@@ -32,7 +32,7 @@ def test_no_products_of_tables(spark, key):
 def test_key_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     telemetry(spark, SF_DIR).write.parquet(path)
-    plan = plan_of(staging.stage(read_telemetry(spark, path)).select("system_id", "voltage_v"))
+    plan = plan_of(staging.stage(read_telemetry(spark, path), "2024-01-01 00:00:00").select("system_id", "voltage_v"))
     assert "IsNotNull(system_id)" in plan and "GreaterThanOrEqual(timestamp,2024-01-01T00:00)" in plan
     # Only the columns asked for, and those that rank the copies, are read.
     schema = plan.split("ReadSchema: ")[1]
