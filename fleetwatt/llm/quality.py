@@ -172,9 +172,7 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     known = F.when(F.col(lang).isin(*COMMON_WORDS), F.col(lang)).otherwise("")
     base = docs.select(*[F.col(f"`{c}`") for c in keep], known.alias("_lang"), words_of(F.col(text)).alias("_words"))
     words = F.col("_words")
-    full = base.select(
-        *[F.col(f"`{c}`") for c in keep],
-        "_lang",
+    measures = F.struct(
         F.size(words).cast("bigint").alias("n_words"),
         F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(r"[#*$%&|<>]")), F.lit(0)).cast("bigint").alias("n_symbols"),
@@ -182,6 +180,9 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
         repeated_words(words).alias("n_repeat_words"),
         F.struct(*[c.alias(k) for k, c in _counts(F.col(text), words, F.col("_lang")).items()]).alias("_h"),
     )
+    # One generated row: a filter on the verdict stays above it, and so a text is measured once.
+    once = base.select(*[F.col(f"`{c}`") for c in keep], "_lang", F.explode(F.array(measures)).alias("_m"))
+    full = once.select(*[F.col(f"`{c}`") for c in keep], "_lang", "_m.*")
 
     def reference(kind: str, i: int) -> Column:
         pairs = [x for k, v in refs.items() for x in (F.lit(k), F.lit(float(v[kind][i])))]
