@@ -4,7 +4,7 @@ A line is the set of its words. Words are ordered by rarity: the commonest ones
 counted and come last, by the logarithm of their count; all others come first, longer ones before
 shorter ones. Two sets with a Jaccard similarity of p % share a word in the first
 n - ceil(p n / 100) + 1 words of this order. Pairs that meet there must also have fitting lengths
-and differ in few bits of a 64-bit signature; then the words themselves are compared.
+and differ in few bits of a 128-bit signature; then the words themselves are compared.
 """
 
 from __future__ import annotations
@@ -68,12 +68,14 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[
     sets = lines.select("doc", "pos", _ordered(_word_keys(F.col("line")), levels).alias("words"))
     n = F.size("words")
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))
+    half = lambda which: F.filter("words", lambda w: w.bitwiseAND(F.lit(64)) == which)
     return sets.select(
         "doc", "pos",
         F.xxhash64("words").alias("a"),
         F.xxhash64(F.lit(1), F.col("words")).alias("b"),
         n.alias("n"),
-        F.aggregate("words", F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(bit(w))).alias("bits"),
+        F.aggregate(half(0), F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(bit(w))).alias("bits"),
+        F.aggregate(half(64), F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(bit(w))).alias("more_bits"),
         F.slice("words", F.lit(1), n - _least_overlap(n, percent) + 1).alias("prefix"),
     )
 
@@ -81,7 +83,7 @@ def _signatures(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[
 def _near(percent: int) -> Column:
     """Whether sets x and y may be similar: by their lengths, and by the bits that differ."""
     total = F.col("x.n") + F.col("y.n")
-    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
+    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) + F.bit_count(F.col("x.more_bits").bitwiseXOR(F.col("y.more_bits")))
     lengths = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
     return lengths & ((total - differ) * (100 + percent) >= 2 * percent * total)
 
@@ -118,11 +120,14 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
     # Sets by their first line. Each is first compared with the earliest set that it shares most
     # prefix words with: one similar set before it is enough, so most copies end here.
-    firsts = lines.join(first, ["a", "b", "doc", "pos"], "left_semi").select("doc", "pos", "n", "bits", F.explode("prefix").alias("w"))
+    sets = lines.join(first, ["a", "b", "doc", "pos"], "left_semi").select("doc", "pos", "n", "bits", "more_bits", "prefix")
+    sets = stored(sets, "firsts")
+    by_word = lambda df: df.select("doc", "pos", "n", "bits", "more_bits", F.explode("prefix").alias("w"))
+    firsts = by_word(sets)
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
     earliest = Window.partitionBy("w", band).orderBy("doc", "pos")
-    struct = F.first(F.struct(*["doc", "pos", "n", "bits"])).over(earliest)
-    asked = firsts.repartition("w").select(F.struct("doc", "pos", "n", "bits").alias("x"), struct.alias("y"))
+    whole = F.struct("doc", "pos", "n", "bits", "more_bits")
+    asked = firsts.repartition("w").select(whole.alias("x"), F.first(whole).over(earliest).alias("y"))
     best = (
         asked.where(((F.col("x.doc") > F.col("y.doc")) | (F.col("x.pos") > F.col("y.pos"))) & _near(percent))
         .groupBy(F.col("x.doc").alias("doc"), F.col("x.pos").alias("pos"), F.col("y.doc").alias("doc2"), F.col("y.pos").alias("pos2")).count()
@@ -132,7 +137,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     gone = stored(_similar(stored(best, "best"), docs, doc_id, text, percent), "gone")
 
     # What is left meets every earlier set that shares a prefix word.
-    left = firsts.join(gone, ["doc", "pos"], "left_anti")
+    left = by_word(sets.join(gone, ["doc", "pos"], "left_anti"))
     earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.pos") < F.col("x.pos")))
     met = left.alias("x").join(firsts.alias("y"), (F.col("x.w") == F.col("y.w")) & earlier & _near(percent))
     pairs = met.select("x.doc", "x.pos", F.col("y.doc").alias("doc2"), F.col("y.pos").alias("pos2")).distinct()
