@@ -2,11 +2,13 @@
 
 Vectors are centred, turned by principal axes and a learnt rotation, and cut to signs. A code is
 split over several tables; two vectors meet where one part of their codes differs in one bit at
-most. What meets is compared by cosine in double precision with the original vectors.
+most. The number of tables follows from the threshold and never from the number of vectors. What
+meets is compared by cosine in double precision with the original vectors.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +23,8 @@ THRESHOLD = 0.9
 FIT_VECTORS = 4096
 BITS = 64
 ROUNDS = 40
+#: The largest chance that a pair just at the threshold, in a random direction, meets in no table.
+MISS = 1e-3
 #: Vectors of a bucket that are compared in one block.
 BLOCK = 2048
 
@@ -43,6 +47,17 @@ def fit_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, see
     return mean, axes @ turn
 
 
+def part_widths(bits: int, threshold: float) -> list[int]:
+    """Widths of the parts of a code: the fewest tables that miss at most MISS of the pairs at the
+    threshold. Each bit of such a pair differs with chance acos(threshold) / pi."""
+    p = math.acos(threshold) / math.pi
+    for tables in range(1, bits + 1):
+        widths = [bits // tables + (i < bits % tables) for i in range(tables)]
+        if math.prod(1 - (1 - p) ** w - w * p * (1 - p) ** (w - 1) for w in widths) <= MISS:
+            break
+    return widths
+
+
 def usable(vector: Column) -> Column:
     """Not NULL, not zero, and every component a finite number."""
     finite = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
@@ -85,10 +100,12 @@ def _meetings(vectors: DataFrame, mean: np.ndarray, projection: np.ndarray, widt
                         key.append((part | flip)[on].astype(np.int64))
                         home.append(np.full(len(on), bit < 0))
                 row = np.concatenate(row)
+                order = np.argsort(row, kind="stable")  # a vector's rows lie together: the shuffle compresses them
+                row = row[order]
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate(table)), pa.array(np.concatenate(key)), pa.array(np.concatenate(home)),
+                        pa.array(np.concatenate(table)[order]), pa.array(np.concatenate(key)[order]), pa.array(np.concatenate(home)[order]),
                         batch.column(0).take(at), batch.column(1).take(at), pa.array(code.astype(np.int64)[row]),
                         batch.column(2).take(at),
                     ],
@@ -122,21 +139,29 @@ def _linked(meetings: DataFrame, widths: list[int], threshold: float) -> DataFra
         if m < 2:
             return None
         cross = get("i")[0] != get("j")[0]
-        label, links, pairs = ids.copy(), np.zeros(m, np.int64), []
-        for s in range(0, m, 512):
-            e = slice(s, s + 512)
-            near = x[e] @ x.T >= threshold
-            near &= home[e, None] | home
+        # One of two vectors that meet is in its own bucket: rows of the matrix are only those.
+        homes = np.flatnonzero(home)
+        label, links, pairs = ids.copy(), np.zeros(m, np.int64), [np.zeros((0, m), bool)]
+        for s in range(0, len(homes), 512):
+            h = homes[s : s + 512]
+            near = x[h] @ x.T >= threshold
             if cross:
-                near &= own[e, None] != own
-            for part in parts[:t]:
-                near &= np.bitwise_count(part[e, None] ^ part) > 1
-            near[np.arange(near.shape[0]), np.arange(s, s + near.shape[0])] = False
-            links[e] = near @ weight
+                near &= own[h, None] != own
+            near[np.arange(len(h)), h] = False
+            if t and near.any():
+                i, j = np.nonzero(near)
+                met = np.zeros(len(i), bool)
+                for part in parts[:t]:
+                    met |= np.bitwise_count(part[h[i]] ^ part[j]) <= 1
+                near[i[met], j[met]] = False
+            links[h] = near @ weight
+            links += np.where(home, 0, weight[h] @ near)
             pairs.append(near)
         near = np.concatenate(pairs)
+        most = np.iinfo(np.int64).max
         while True:
-            least = np.minimum(label, np.where(near, label, np.iinfo(np.int64).max).min(axis=1))
+            least = np.minimum(label, np.where(near, label[homes, None], most).min(axis=0, initial=most))
+            least[homes] = np.minimum(least[homes], np.where(near, label, most).min(axis=1, initial=most))
             if (least == label).all():
                 break
             label = least
@@ -172,7 +197,7 @@ def near_duplicates(table: DataFrame, id: str = "vec_id", vector: str = "embeddi
     Equal vectors are one vector with a number of copies. Vectors that are NULL, zero or not
     finite, rows without an id, and vectors of another length than most have no links. An empty
     table stays empty. Pairs are found if some part of their codes differs in one bit at most;
-    every vector is in every table. Eager: the rotation is fitted on the FIT_VECTORS distinct
+    every vector is in every table, and at any number of vectors the parts are the same. Eager: the rotation is fitted on the FIT_VECTORS distinct
     vectors of smallest hash, which go to the driver, and components take some rounds.
     """
     keep = [c for c in table.columns if c not in ("n_links", "component_id", "kept")]
@@ -187,9 +212,7 @@ def near_duplicates(table: DataFrame, id: str = "vec_id", vector: str = "embeddi
     count = vectors.count()
     if count:
         mean, projection = fit_rotation(_matrix(sample))
-        bits = projection.shape[1]
-        tables = int(min(bits, max(3, min(6, -(-bits // max(1, np.log2(count + 1)))))))
-        widths = [bits // tables + (i < bits % tables) for i in range(tables)]
+        widths = part_widths(projection.shape[1], threshold)
         found = stored(_linked(_meetings(vectors, mean, projection, widths), widths, threshold), "links")
         links = found.groupBy("id").agg(F.sum("links").alias("links"))
         roots = components(found, "id", "root").select(F.col("node").alias("id"), "component")

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from fleetwatt.llm import embeddings, quality, toxicity, warc
@@ -218,6 +219,34 @@ def test_blocks_give_the_same(spark, monkeypatch):
     assert sorted(map(str, embeddings.near_duplicates(table).collect())) == whole
 
 
+def partners(n, cosine, dim=64):
+    """Unit vectors, and one at the cosine from each in a random direction."""
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(2, n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    return x, cosine * x + np.sqrt(1 - cosine**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+
+
+def test_recall_at_the_threshold_on_many_vectors(spark):
+    """More than the 7,100 vectors from which the tables used to become fewer."""
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate(partners(3700, 0.901)))]
+    out = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).select("n_links").collect()
+    assert sum(r.n_links for r in out) >= 0.998 * 7400
+
+
+@pytest.mark.parametrize("cosine", [0.9, 0.91, 0.92])
+def test_recall_of_the_parts(cosine):
+    """The parts follow from the threshold only, so these are the ones of 3 million vectors, too."""
+    x, y = partners(20000, cosine)
+    mean, projection = embeddings.fit_rotation(x[: embeddings.FIT_VECTORS])
+    weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    widths = embeddings.part_widths(64, embeddings.THRESHOLD)
+    a, b = (embeddings._parts((((v - mean) @ projection) >= 0) @ weights, widths) for v in (x, y))
+    met = np.any([np.bitwise_count(p ^ q) <= 1 for p, q in zip(a, b)], axis=0)
+    assert sum(widths) == 64 and met.mean() >= 0.998
+
+
 def test_the_rotation_balances_codes():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 16)) * np.r_[np.full(4, 5.0), np.ones(12)]
