@@ -2,7 +2,8 @@
 
 Two histograms of a text are compared with those of its language by Jensen-Shannon distance:
 classes of characters, and the share of each of the language's commonest words. The references
-are counted over all documents of the language. Everything is SQL functions on whole texts.
+are counted over all documents of the language, or over those of them that are near its median
+document. Everything is SQL functions on whole texts.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fleetwatt.llm.steps import stored
+
 # Common function words of each language.
 COMMON_WORDS = {
     "en": ["the", "of", "and", "to", "in", "a", "is", "that", "it", "for", "was", "with"],
@@ -30,6 +33,8 @@ GUARD_CHARS = 200
 GUARD_WORDS = 100
 MAX_CLASS_DISTANCE = 0.31
 MAX_WORD_DISTANCE = 0.25
+#: How often steady references are counted: without what is far from the medians, then from the count before.
+PASSES = 2
 
 
 def words_of(text: Column) -> Column:
@@ -130,7 +135,10 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
     for the rest is collected. Each row holds 18 sums and the number of words."""
     base = _measured(docs, text, lang)
     hist = base.select("_lang", F.size("_words").cast("bigint").alias("n"), *[c.alias(k) for k, c in _counts(F.col("_text"), F.col("_words"), F.col("_lang")).items()])
-    rows = hist.groupBy("_lang").agg(*[F.sum(c).alias(c) for c in ["n", *HISTOGRAM]]).collect()
+    return _means(hist.groupBy("_lang").agg(*[F.sum(c).alias(c) for c in ["n", *HISTOGRAM]]).collect())
+
+
+def _means(rows: list) -> dict[str, dict[str, list[float]]]:
     out = {}
     for row in rows:
         chars = [row[f"c_{c}"] for c in CLASSES]
@@ -156,7 +164,69 @@ def js_distance(counts: Sequence[Column], total: Column, reference: Sequence[Col
     return F.sqrt(F.greatest(whole / 2, F.lit(0.0)))
 
 
-def quality(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def _distances(refs: dict[str, dict[str, list[float]]], count, n_words: Column) -> tuple[Column, Column]:
+    """Distances of the characters and of the words; count(name) is a number of the histogram. NULL without a reference."""
+
+    def reference(kind: str, i: int) -> Column:
+        pairs = [x for k, v in refs.items() for x in (F.lit(k), F.lit(float(v[kind][i])))]
+        return F.try_element_at(F.create_map(*pairs), F.col("_lang")) if pairs else F.lit(None).cast("double")
+
+    chars = [count(f"c_{c}") for c in CLASSES]
+    common = [count(f"w{i}") for i in range(N_COMMON)]
+    n_chars = sum(chars[1:], chars[0])
+    other = n_words - sum(common[1:], common[0])
+    class_distance = js_distance(chars, n_chars, [reference("chars", i) for i in range(len(CLASSES))])
+    word_distance = js_distance([*common, other], n_words, [reference("words", i) for i in range(N_COMMON + 1)])
+    return F.when(n_chars >= GUARD_CHARS, class_distance), F.when((n_words >= GUARD_WORDS) & (F.col("_lang") != ""), word_distance)
+
+
+def _base_failed(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PCT * n_words)
+
+
+def _near(class_distance: Column, word_distance: Column) -> Column:
+    return (F.coalesce(class_distance, F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (F.coalesce(word_distance, F.lit(0.0)) <= MAX_WORD_DISTANCE)
+
+
+def steady_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, dict[str, list[float]]]:
+    """Mean histograms per language that a minority of junk does not move.
+
+    Of the documents that pass the base rules and are long enough to be compared, the median of
+    each share is the first centre. Means over the documents near it are the next one, PASSES
+    times. Shares are rounded to thousandths for the median, so it holds 1,001 counts at most. One
+    pass over the texts stores their histograms; the others read those.
+    """
+    base = _measured(docs, text, lang)
+    words = F.col("_words")
+    counts = [c.alias(k) for k, c in _counts(F.col("_text"), words, F.col("_lang")).items()]
+    hist = stored(base.select("_lang", F.size(words).cast("bigint").alias("n"), repeated_words(words).alias("repeats"), *counts), "histograms")
+    chars = sum([F.col(f"c_{c}") for c in CLASSES[1:]], F.col(f"c_{CLASSES[0]}"))
+    common = sum([F.col(f"w{i}") for i in range(1, N_COMMON)], F.col("w0"))
+    good = hist.where(~_base_failed(F.col("n"), F.col("repeats")) & (chars >= GUARD_CHARS))
+    worded = (F.col("n") >= GUARD_WORDS) & (F.col("_lang") != "")
+    median = lambda share, of: F.percentile(F.when(of, F.round(share, 3)), 0.5)
+    centres = good.groupBy("_lang").agg(
+        *[median(F.col(f"c_{c}") / chars, F.lit(True)).alias(f"c_{c}") for c in CLASSES],
+        *[median(F.col(f"w{i}") / F.col("n"), worded).alias(f"w{i}") for i in range(N_COMMON)],
+        median((F.col("n") - common) / F.col("n"), worded).alias("rest"),
+    )
+    refs = {}
+    for row in centres.collect():
+        shares = [row[f"c_{c}"] for c in CLASSES]
+        listed = [0.0 if row[k] is None else row[k] for k in [*(f"w{i}" for i in range(N_COMMON)), "rest"]]
+        refs[row["_lang"]] = {"chars": [x / sum(shares) for x in shares], "words": [x / (sum(listed) or 1.0) for x in listed]}
+    for _ in range(PASSES):
+        near = good.where(_near(*_distances(refs, F.col, F.col("n"))))
+        # Words are counted where they are compared, if that is anywhere.
+        sums = near.groupBy("_lang").agg(
+            *[F.sum(f"c_{c}").alias(f"c_{c}") for c in CLASSES],
+            *[F.coalesce(F.sum(F.when(worded, F.col(c))), F.sum(c)).alias(c) for c in ["n", *(f"w{i}" for i in range(N_COMMON))]],
+        )
+        refs = refs | _means(sums.collect())
+    return refs
+
+
+def quality(docs: DataFrame, text: str = "text", lang: str = "lang", steady: bool = False) -> DataFrame:
     """Adds counts, base_failed, the two distances and kept; all columns of docs stay.
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (bigint); base_failed: fewer than
@@ -165,8 +235,11 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     base_failed nor too far. A NULL text has no words and fails; a NULL or unknown language is
     compared with all such documents' characters. Repeated rows are judged alike. Eager: one pass
     counts the references, a second one, narrow, judges. Columns of these names are replaced.
+
+    The references are means over all documents, as in SQL, so they move towards junk that holds
+    much of a language. With steady they are those of steady_references, which do not.
     """
-    refs = references(docs, text, lang)
+    refs = (steady_references if steady else references)(docs, text, lang)
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept"]
     keep = [c for c in docs.columns if c not in added]
     known = F.when(F.col(lang).isin(*COMMON_WORDS), F.col(lang)).otherwise("")
@@ -184,22 +257,12 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     once = base.select(*[F.col(f"`{c}`") for c in keep], "_lang", F.explode(F.array(measures)).alias("_m"))
     full = once.select(*[F.col(f"`{c}`") for c in keep], "_lang", "_m.*")
 
-    def reference(kind: str, i: int) -> Column:
-        pairs = [x for k, v in refs.items() for x in (F.lit(k), F.lit(float(v[kind][i])))]
-        return F.try_element_at(F.create_map(*pairs), F.col("_lang")) if pairs else F.lit(None).cast("double")
-
-    chars = [F.col(f"_h.c_{c}") for c in CLASSES]
-    common = [F.col(f"_h.w{i}") for i in range(N_COMMON)]
-    n_chars = sum(chars[1:], chars[0])
-    other = F.col("n_words") - sum(common[1:], common[0])
-    class_distance = js_distance(chars, n_chars, [reference("chars", i) for i in range(len(CLASSES))])
-    word_distance = js_distance([*common, other], F.col("n_words"), [reference("words", i) for i in range(N_COMMON + 1)])
+    class_distance, word_distance = _distances(refs, lambda name: F.col(f"_h.{name}"), F.col("n_words"))
     far = full.select(
         *[F.col(f"`{c}`") for c in keep],
         *added[:5],
-        ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))).alias("base_failed"),
-        F.when(n_chars >= GUARD_CHARS, class_distance).alias("class_distance"),
-        F.when((F.col("n_words") >= GUARD_WORDS) & (F.col("_lang") != ""), word_distance).alias("word_distance"),
+        _base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"),
+        class_distance.alias("class_distance"),
+        word_distance.alias("word_distance"),
     )
-    near = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= MAX_WORD_DISTANCE)
-    return far.withColumn("kept", ~F.col("base_failed") & near)
+    return far.withColumn("kept", ~F.col("base_failed") & _near(F.col("class_distance"), F.col("word_distance")))

@@ -48,6 +48,24 @@ def test_quality_distance(spark):
     assert abs(got - want) < 1e-12
 
 
+@pytest.mark.parametrize("kind", ["symbols", "words"])
+def test_a_third_of_junk_does_not_move_the_references(spark, kind):
+    import corpus_pipeline
+
+    rnd = random.Random(7)
+    common = quality.COMMON_WORDS["en"]
+    other = lambda: "".join(rnd.choice("aeiourstlnm") for _ in range(rnd.randrange(4, 9)))
+    prose = lambda: " ".join(rnd.choice(common) if rnd.random() < 0.35 else other() for _ in range(200)) + "."
+    junk = {
+        "symbols": lambda: " ".join("".join(rnd.choice("#*$%&|<>@=ab") for _ in range(7)) for _ in range(200)),
+        "words": lambda: " ".join(other() for _ in range(200)),
+    }[kind]
+    rows = [(i, junk() if i % 3 == 0 else prose(), "en", None, None) for i in range(180)]
+    rows += [(500, "# " * 12, "en", None, None), (501, None, "de", None, None), (502, other(), None, None, None)]
+    left = corpus_pipeline.quality_rules(spark, frame(spark, rows).repartition(3), SF_DIR).collect()
+    assert {r.doc_id for r in left} == {i for i in range(180) if i % 3}
+
+
 def test_quality_is_native(spark):
     plan = quality.quality(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
