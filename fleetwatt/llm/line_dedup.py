@@ -20,6 +20,9 @@ PERCENT = 80
 #: Words whose count is known; a fixed number.
 COMMON = 2000
 HASH_BITS = 52
+#: A line is known by its row's id, a hash of its row's text, and its position there.
+ROW = ["doc", "h"]
+LINE = [*ROW, "pos"]
 
 
 def _word_key(word: Column) -> Column:
@@ -61,16 +64,16 @@ def _least_overlap(n: Column, percent: int) -> Column:
 
 
 def _signatures(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[int]], percent: int) -> DataFrame:
-    """A row for each line with a word: doc, pos, its set as two hashes, the number of words, a bit signature and the prefix."""
+    """A row for each line with a word: doc, h, pos, its set as two hashes, the number of words, a bit signature and the prefix."""
     lines = docs.select(
-        _place(F.col(doc_id)).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")
+        *_row(doc_id, text), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")
     ).where(F.trim(F.col("line"), F.lit(SPACE)) != "")
-    sets = lines.select("doc", "pos", _ordered(_word_keys(F.col("line")), levels).alias("words"))
+    sets = lines.select(*LINE, _ordered(_word_keys(F.col("line")), levels).alias("words"))
     n = F.size("words")
     bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))
     half = lambda which: F.filter("words", lambda w: w.bitwiseAND(F.lit(64)) == which)
     return sets.select(
-        "doc", "pos",
+        *LINE,
         F.xxhash64("words").alias("a"),
         F.xxhash64(F.lit(1), F.col("words")).alias("b"),
         n.alias("n"),
@@ -89,16 +92,16 @@ def _near(percent: int) -> Column:
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """doc, pos: those x of pairs (doc, pos, doc2, pos2) whose words are similar to those of y."""
-    wanted = pairs.select("doc", "pos").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("pos2").alias("pos")))
-    spots = wanted.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("pos").alias("spots"))
-    texts = docs.select(_place(F.col(doc_id)).alias("doc"), F.split(F.col(text), "\n").alias("lines"))
-    at = texts.join(spots, F.col("doc") == F.col("_doc")).select("doc", "lines", F.explode("spots").alias("pos"))
-    words = stored(at.select("doc", "pos", _word_keys(F.get(F.col("lines"), F.col("pos"))).alias("words")), "words")
-    other = words.select(F.col("doc").alias("doc2"), F.col("pos").alias("pos2"), F.col("words").alias("words2"))
+    """doc, h, pos: those x of pairs (doc, h, pos, doc2, h2, pos2) whose words are similar to those of y."""
+    wanted = pairs.select(LINE).unionByName(pairs.select(*[F.col(f"{c}2").alias(c) for c in LINE]))
+    spots = wanted.groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(F.collect_set("pos").alias("spots"))
+    texts = docs.select(*_row(doc_id, text), F.split(F.col(text), "\n").alias("lines"))
+    at = texts.join(spots, (F.col("doc") == F.col("_doc")) & (F.col("h") == F.col("_h"))).select(*ROW, "lines", F.explode("spots").alias("pos"))
+    words = stored(at.select(*LINE, _word_keys(F.get(F.col("lines"), F.col("pos"))).alias("words")), "words")
+    other = words.select(*[F.col(c).alias(f"{c}2") for c in [*LINE, "words"]])
     both = F.size(F.array_intersect("words", "words2"))
-    near = pairs.join(words, ["doc", "pos"]).join(other, ["doc2", "pos2"])
-    return near.where(100 * both >= percent * (F.size("words") + F.size("words2") - both)).select("doc", "pos").distinct()
+    near = pairs.join(words, LINE).join(other, [f"{c}2" for c in LINE])
+    return near.where(100 * both >= percent * (F.size("words") + F.size("words2") - both)).select(LINE).distinct()
 
 
 def _place(doc_id: Column) -> Column:
@@ -106,62 +109,69 @@ def _place(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("bigint"), F.lit((1 << 63) - 1))
 
 
+def _row(doc_id: str, text: str) -> list[Column]:
+    """doc and h: rows without an id, or with a repeated one, are told apart by their texts."""
+    return [_place(F.col(doc_id)).alias("doc"), F.xxhash64(F.col(text)).alias("h")]
+
+
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """doc (the id; the largest number for none) and the positions (from 0) of the lines that go.
+    """doc (the id; the largest number for none), h (a hash of the text) and the positions (from 0) of the lines that go.
 
-    A line goes if an earlier line (smaller doc_id, or before it in the document) has a similarity
+    A line goes if an earlier line (smaller doc_id and h, or before it in the document) has a similarity
     of at least `percent` %, whether that one stays or not. Lines without words stay.
     """
     levels = common_words(docs, text)
     lines = stored(_signatures(docs, doc_id, text, levels, percent), "lines")
-    first_doc = lines.groupBy("a", "b").agg(F.min("doc").alias("doc"), F.count("*").alias("copies"))
-    placed = lines.select("a", "b", "doc", "pos").join(first_doc.select("a", "b", "doc"), ["a", "b", "doc"])
-    first = stored(placed.groupBy("a", "b", "doc").agg(F.min("pos").alias("pos")), "sets")
+    first_doc = lines.groupBy("a", "b").agg(F.min(F.struct(ROW)).alias("least"), F.count("*").alias("copies")).select("a", "b", "least.*", "copies")
+    placed = lines.select("a", "b", *LINE).join(first_doc.select("a", "b", *ROW), ["a", "b", *ROW])
+    first = stored(placed.groupBy("a", "b", *ROW).agg(F.min("pos").alias("pos")), "sets")
 
     # Sets by their first line. Each is first compared with the earliest set that it shares most
     # prefix words with: one similar set before it is enough, so most copies end here.
-    sets = lines.join(first, ["a", "b", "doc", "pos"], "left_semi").select("doc", "pos", "n", "bits", "more_bits", "prefix")
+    sets = lines.join(first, ["a", "b", *LINE], "left_semi").select(*LINE, "n", "bits", "more_bits", "prefix")
     sets = stored(sets, "firsts")
-    by_word = lambda df: df.select("doc", "pos", "n", "bits", "more_bits", F.explode("prefix").alias("w"))
+    by_word = lambda df: df.select(*LINE, "n", "bits", "more_bits", F.explode("prefix").alias("w"))
     firsts = by_word(sets)
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
-    earliest = Window.partitionBy("w", band).orderBy("doc", "pos")
-    whole = F.struct("doc", "pos", "n", "bits", "more_bits")
+    earliest = Window.partitionBy("w", band).orderBy(*LINE)
+    whole = F.struct(*LINE, "n", "bits", "more_bits")
     asked = firsts.repartition("w").select(whole.alias("x"), F.first(whole).over(earliest).alias("y"))
     best = (
-        asked.where(((F.col("x.doc") > F.col("y.doc")) | (F.col("x.pos") > F.col("y.pos"))) & _near(percent))
-        .groupBy(F.col("x.doc").alias("doc"), F.col("x.pos").alias("pos"), F.col("y.doc").alias("doc2"), F.col("y.pos").alias("pos2")).count()
-        .groupBy("doc", "pos").agg(F.max_by(F.struct("doc2", "pos2"), "count").alias("y"))
-        .select("doc", "pos", "y.doc2", "y.pos2")
+        asked.where(((F.col("x.doc") > F.col("y.doc")) | (F.col("x.h") > F.col("y.h")) | (F.col("x.pos") > F.col("y.pos"))) & _near(percent))
+        .groupBy(*[F.col(f"x.{c}").alias(c) for c in LINE], *[F.col(f"y.{c}").alias(f"{c}2") for c in LINE]).count()
+        .groupBy(LINE).agg(F.max_by(F.struct(*[f"{c}2" for c in LINE]), "count").alias("y"))
+        .select(*LINE, "y.*")
     )
     gone = stored(_similar(stored(best, "best"), docs, doc_id, text, percent), "gone")
 
     # What is left meets every earlier set that shares a prefix word.
-    left = by_word(sets.join(gone, ["doc", "pos"], "left_anti"))
-    earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.pos") < F.col("x.pos")))
+    left = by_word(sets.join(gone, LINE, "left_anti"))
+    before = (F.col("y.h") < F.col("x.h")) | ((F.col("y.h") == F.col("x.h")) & (F.col("y.pos") < F.col("x.pos")))
+    earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & before)
     met = left.alias("x").join(firsts.alias("y"), (F.col("x.w") == F.col("y.w")) & earlier & _near(percent))
-    pairs = met.select("x.doc", "x.pos", F.col("y.doc").alias("doc2"), F.col("y.pos").alias("pos2")).distinct()
+    pairs = met.select(*[f"x.{c}" for c in LINE], *[F.col(f"y.{c}").alias(f"{c}2") for c in LINE]).distinct()
     more = _similar(stored(pairs, "pairs"), docs, doc_id, text, percent)
     gone = stored(gone.unionByName(more), "gone")
 
     # Repeated lines other than the first, and first lines of sets that go.
-    copied = first_doc.where("copies > 1").select("a", "b").join(first, ["a", "b"]).select("a", "b", F.col("doc").alias("doc1"), F.col("pos").alias("pos1"))
-    again = lines.select("a", "b", "doc", "pos").join(copied, ["a", "b"]).where("doc > doc1 or pos > pos1")
-    return again.select("doc", "pos").unionByName(gone).groupBy("doc").agg(F.collect_set("pos").alias("positions"))
+    copied = first_doc.where("copies > 1").select("a", "b").join(first, ["a", "b"]).select("a", "b", *[F.col(c).alias(f"{c}1") for c in LINE])
+    again = lines.select("a", "b", *LINE).join(copied, ["a", "b"]).where("doc > doc1 or h > h1 or pos > pos1")
+    return again.select(LINE).unionByName(gone).groupBy(ROW).agg(F.collect_set("pos").alias("positions"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents without the lines that go; adds n_lines (with a word) and n_removed.
 
     All rows and other columns stay, a text may become empty, and a NULL text stays NULL with no
-    lines. Ids are taken to identify texts: rows that repeat one keep the same lines. A row without an
-    id comes last in the order; several such rows must be given ids first, or they are taken as one. Columns of the two names are replaced. Eager: intermediate tables are stored.
+    lines. Rows of one id and one text are one row and keep the same lines. Rows of one id that
+    differ in text are documents of their own, in the order of a hash of the text; so are rows without an
+    id, which come last. Columns of the two names are replaced. Eager: intermediate tables are stored.
     """
     gone = stored(removed_lines(docs, doc_id, text, percent), "removed").select(
-        F.col("doc").alias("_doc"), "positions"
+        F.col("doc").alias("_doc"), F.col("h").alias("_h"), "positions"
     )
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.join(gone, _place(F.col(doc_id)) == F.col("_doc"), "left")
+    joined = docs.join(gone, (_place(F.col(doc_id)) == F.col("_doc")) & (F.xxhash64(F.col(text)) == F.col("_h")), "left")
     lines = F.split(F.col(text), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("positions"))
     left = F.transform(F.array(lines), lambda x: F.transform(stay, lambda i: x[i]))[0]

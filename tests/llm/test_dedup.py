@@ -77,6 +77,14 @@ def test_dedup_lines_without_id_comes_last(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("id", [None, 7])
+def test_rows_of_one_id_keep_lines_of_their_own(spark, id):
+    rows = [(id, "p q r\nalpha beta", None, None, 1), (id, "x y z\np q r", None, None, 1), (3, "first", None, None, 1)]
+    out = line_dedup.dedup_lines(frame(spark, rows)).collect()
+    assert sorted(x for r in out for x in r.text.split("\n") if x) == ["alpha beta", "first", "p q r", "x y z"]
+    assert sorted(r.n_removed for r in out) == [0, 0, 1]
+
+
 @pytest.mark.parametrize("together", [50_000, 2])
 def test_repeated_strings(spark, together, monkeypatch):
     rnd = random.Random(8)
