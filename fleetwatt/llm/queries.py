@@ -9,8 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.llm import bpe, embeddings, jaccard, line_dedup, packing, quality, suffix_dedup, token_counts, toxicity, warc
-
+from fleetwatt.llm import bpe, embeddings, jaccard, line_dedup, packing, quality, sharding, suffix_dedup, token_counts, toxicity, warc
 from fleetwatt.plans.lineage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +98,11 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.token_counts(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.document_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
