@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwatt.llm import bpe, embeddings, jaccard, line_dedup, packing, quality, sharding, suffix_dedup, token_counts, toxicity, warc
+from fleetwatt.llm import (
+    bpe, conversations, embeddings, jaccard, line_dedup, packing, quality, sharding, suffix_dedup, token_counts, toxicity, warc,
+)
 from fleetwatt.plans.lineage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +108,16 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, those of which damage leaves no row among them."""
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    found = conversations.summaries(conversations.repair_conversations(conversations.damage(rows)))
+    found = found.withColumnRenamed("conv_id", "_conv")
+    every = rows.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    empty = {"audit": F.coalesce("audit", F.lit("")), "repaired_sha256": F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256))}
+    return joined.withColumns({**zero, **empty}).drop("_conv")
