@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetwatt.llm import (
-    bpe, conversations, embeddings, jaccard, line_dedup, packing, quality, sharding, suffix_dedup, token_counts, toxicity, warc,
+    bpe, conversations, embeddings, jaccard, line_dedup, packing, quality, sharding, spelling,
+    suffix_dedup, token_counts, toxicity, warc,
 )
 from fleetwatt.plans.lineage import scratch_path
 
@@ -102,6 +103,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.words_of(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return spelling.spelling_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.document_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
