@@ -40,8 +40,8 @@ DEFAULTS = {
 }
 
 
-def _daily(df: DataFrame, by, columns, gc: GridCode, limits: PlantLimits, step_hours) -> DataFrame:
-    """Everything the report adds up, per group and date, in one pass."""
+def daily_sums(df: DataFrame, keys, columns, gc: GridCode, limits: PlantLimits, step_hours, more=()) -> DataFrame:
+    """Everything the report adds up, per group of keys, in one pass; and further aggregates."""
     inside = in_flex_window(F.col("timestamp"), limits)
     load, eff, pf = F.col("grid_import_kw"), F.col("inverter_efficiency_pct"), F.col("power_factor")
     soc = F.col("battery_soc_pct")
@@ -51,7 +51,7 @@ def _daily(df: DataFrame, by, columns, gc: GridCode, limits: PlantLimits, step_h
         "grid_export_kwh": "grid_export_kw",
         "grid_import_kwh": "grid_import_kw",
     }
-    return df.groupBy(*by, "date").agg(
+    return df.groupBy(*keys).agg(
         count_rows().alias("n_readings"),
         F.min("timestamp").alias("period_start"),
         F.max("timestamp").alias("period_end"),
@@ -70,10 +70,11 @@ def _daily(df: DataFrame, by, columns, gc: GridCode, limits: PlantLimits, step_h
         F.count_if(F.col("inverter_temp_c") > limits.inverter_temp_max_c).alias("thermal_events"),
         F.coalesce((F.max(soc) - F.min(soc)) / F.lit(100.0), F.lit(0.0)).alias("equivalent_cycles"),
         missing_cells(columns).alias("missing_cells"),
+        *more,
     )
 
 
-def _summed(daily: DataFrame, by) -> DataFrame:
+def summed(daily: DataFrame, by) -> DataFrame:
     ends = ("period_start", "period_end")
     parts = [c for c in daily.columns if c not in (*by, "date", *ends)]
     return daily.groupBy(*by).agg(
@@ -101,7 +102,24 @@ def monthly_report(
     by = list(by)
     columns = [c for c in RAW_SCHEMA.names if c in df.columns]
     rows = with_month(df) if "month" in by and "month" not in df.columns else df
-    base = _summed(_daily(rows, by, columns, gc, limits, step_hours), by)
+    base = summed(daily_sums(rows, [*by, "date"], columns, gc, limits, step_hours), by)
+    rte = round_trip_efficiency(rows, by, limits).select(*by, "round_trip_efficiency_pct")
+    utility = None if "utility" in by else utility_mode(rows, by)
+    return assemble(base, by, rte, utility, len(columns), thd, as_of, "utility" in df.columns, limits)
+
+
+def assemble(
+    base: DataFrame,
+    by: list[str],
+    rte: DataFrame,
+    utility: DataFrame | None,
+    n_columns: int,
+    thd: DataFrame | None = None,
+    as_of: str | datetime | None = None,
+    has_utility: bool = True,
+    limits: PlantLimits = LIMITS,
+) -> DataFrame:
+    """The report's blocks from sums per group, round trips, and the utility (None: a group key)."""
     base = base.withColumns(
         {
             "days_in_service": whole_days_between(F.col("period_start"), F.col("period_end")),
@@ -110,12 +128,11 @@ def monthly_report(
             "mean_efficiency_pct": ratio(F.col("eff_sum"), F.col("eff_n")),
         }
     ).withColumns({**health_columns(limits), **energy_columns(limits)})
-    rte = round_trip_efficiency(rows, by, limits).select(*by, "round_trip_efficiency_pct")
     parts = join_groups(base, rte, by)
-    if "utility" in by:
+    if utility is None:
         parts = parts.withColumn("utility_mode", F.col("utility"))
     else:
-        parts = join_groups(parts, utility_mode(rows, by), by)
+        parts = join_groups(parts, utility, by)
     if thd is None:
         none = F.lit(None).cast("double")
         parts = parts.withColumns({"thd_voltage_pct": none, "thd_current_pct": none})
@@ -132,7 +149,7 @@ def monthly_report(
         "report_metadata": {
             "report_type": F.lit(REPORT_TYPE),
             "reporting_period": period_text(F.col("period_start"), F.col("period_end")),
-            "utility_territory": F.col("utility_mode") if "utility" in df.columns else F.lit(DEFAULTS["utility"]),
+            "utility_territory": F.col("utility_mode") if has_utility else F.lit(DEFAULTS["utility"]),
             "interconnection_standard": F.lit(STANDARD),
             "nem_program": F.lit(NEM_PROGRAM),
             "rated_capacity_kw": F.lit(limits.rated_capacity_kw),
@@ -180,7 +197,7 @@ def monthly_report(
             "total_data_points": F.col("n_readings"),
             "missing_data_points": F.col("missing_cells"),
             "data_completeness_pct": completeness_pct(
-                F.col("missing_cells"), F.col("n_readings"), len(columns)
+                F.col("missing_cells"), F.col("n_readings"), n_columns
             ),
         },
     }

@@ -19,11 +19,21 @@ def _seconds(start: str | datetime, end: str | datetime) -> int:
     return int((parse(end) - parse(start)).total_seconds())
 
 
+def _span(df: DataFrame, start, end):
+    """The given range; what is not given is the table's own first or last time (of no readings, any)."""
+    if start is None or end is None:
+        own = df.where(F.col("system_id").isNotNull()).agg(F.min("timestamp"), F.max("timestamp")).first()
+        start, end = own[0] if start is None else start, own[1] if end is None else end
+        start, end = start or end or datetime(2000, 1, 1), end or start or datetime(2000, 1, 1)
+    return start, end
+
+
 def _slot_blocks(df, start, end, step_minutes, slots_per_block):
     """Per system and block of slots: the block's size and the slots present.
 
     The expected grid is made per block, not per slot, so what moves between
-    executors is one short array per system and block.
+    executors is one short array per system and block. The systems come from the same aggregate:
+    readings off the grid or out of the range are in a block -1.
     """
     step = step_minutes * 60
     slots = _seconds(start, end) // step + 1
@@ -32,20 +42,18 @@ def _slot_blocks(df, start, end, step_minutes, slots_per_block):
     slot = (offset / F.lit(step)).cast("long")
     in_range = F.col("timestamp").between(ntz(start), ntz(end))
     on_grid = slot.cast("double") * step == offset
-    grid = (
+    block = F.when(in_range & on_grid, F.floor(slot / F.lit(slots_per_block)).cast("int")).otherwise(-1)
+    present = (
         df.where(F.col("system_id").isNotNull())
-        .groupBy("system_id")
+        .select("system_id", block.alias("_block"), (slot % slots_per_block).cast("int").alias("_slot"))
+        .groupBy("system_id", "_block")
+        .agg(F.collect_set(F.when(F.col("_block") >= 0, F.col("_slot"))).alias("_present"))
+    )
+    grid = (
+        present.groupBy("system_id")
         .agg(F.lit(0).alias("_"))
         .select("system_id", F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block"))
     )
-    present = (
-        df.where(F.col("system_id").isNotNull() & in_range)
-        .where(on_grid)
-        .select("system_id", slot.alias("_slot"))
-        .withColumn("_block", F.floor(F.col("_slot") / F.lit(slots_per_block)).cast("int"))
-        .groupBy("system_id", "_block")
-        .agg(F.collect_set((F.col("_slot") % slots_per_block).cast("int")).alias("_present"))
-    )
     first = F.col("_block") * slots_per_block
     size = F.least(F.lit(slots_per_block), F.lit(slots) - first).cast("int")
     return grid.join(present, ["system_id", "_block"], "left").select(
@@ -58,12 +66,16 @@ def _slot_blocks(df, start, end, step_minutes, slots_per_block):
 
 def missing_readings(
     df: DataFrame,
-    start: str | datetime,
-    end: str | datetime,
+    start: str | datetime | None = None,
+    end: str | datetime | None = None,
     step_minutes: int = LIMITS.expected_step_minutes,
     slots_per_block: int = 288,
 ) -> DataFrame:
-    """Expected slots, per system, at which no reading was stored."""
+    """Expected slots, per system, at which no reading was stored.
+
+    Slots lie between start and end, or else the table's first and last time; one aggregate finds these.
+    """
+    start, end = _span(df, start, end)
     blocks = _slot_blocks(df, start, end, step_minutes, slots_per_block)
     expected = F.sequence(F.lit(0), F.col("_size") - 1)
     slot = F.col("_first") + F.col("_slot")
@@ -77,12 +89,13 @@ def missing_readings(
 
 def missing_counts(
     df: DataFrame,
-    start: str | datetime,
-    end: str | datetime,
+    start: str | datetime | None = None,
+    end: str | datetime | None = None,
     step_minutes: int = LIMITS.expected_step_minutes,
     slots_per_block: int = 288,
 ) -> DataFrame:
     """Expected, present and missing readings per system."""
+    start, end = _span(df, start, end)
     blocks = _slot_blocks(df, start, end, step_minutes, slots_per_block)
     return (
         blocks.groupBy("system_id")

@@ -52,7 +52,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY system_id, "timestamp"
       ORDER BY ingestion_timestamp DESC, reading_id DESC) AS rn
   FROM telemetry
-  WHERE system_id IS NOT NULL AND "timestamp" >= TIMESTAMP '2024-01-01 00:00:00'),
+  WHERE system_id IS NOT NULL),
 stg AS (
   SELECT * EXCLUDE (rn), CAST("timestamp" AS DATE) AS date,
     CAST(extract(hour FROM "timestamp") AS INT) AS hour_of_day,
@@ -95,6 +95,9 @@ def _stg(body: str) -> str:
     return f"WITH {_TELEMETRY}{_STAGED}\n{body}"
 
 
+_STARTED = """, started AS (SELECT * FROM stg WHERE "timestamp" >= TIMESTAMP '2024-01-01 00:00:00')"""
+
+
 def _viol(body: str) -> str:
     return f"WITH {_TELEMETRY}{_STAGED}{_VIOLATIONS}\n{body}"
 
@@ -186,7 +189,7 @@ ORACLE["b02_clean_keys"] = _raw(
       AND "timestamp" >= TIMESTAMP '2024-01-01 00:00:00'"""
 )
 ORACLE["b03_dedup_latest"] = _stg(
-    'SELECT reading_id, system_id, "timestamp", ingestion_timestamp FROM stg'
+    f'{_STARTED} SELECT reading_id, system_id, "timestamp", ingestion_timestamp FROM started'
 )
 ORACLE["b04_calendar"] = _raw(
     """SELECT reading_id, "timestamp", CAST("timestamp" AS DATE) AS date,
@@ -197,8 +200,8 @@ ORACLE["b05_self_consumption"] = _raw(
 )
 ORACLE["b06_quality_flags"] = _raw(f"SELECT reading_id, {_FLAGS} FROM telemetry")
 ORACLE["b07_staging"] = _stg(
-    f"""SELECT {_RAW_COLUMNS}, ingestion_timestamp, reading_id, utility, date, hour_of_day,
-    {_SELF} AS self_consumption_rate_pct, {_FLAGS} FROM stg"""
+    f"""{_STARTED} SELECT {_RAW_COLUMNS}, ingestion_timestamp, reading_id, utility, date, hour_of_day,
+    {_SELF} AS self_consumption_rate_pct, {_FLAGS} FROM started"""
 )
 ORACLE["b08_voltage_range_flag"] = _stg(
     f'SELECT system_id, "timestamp", voltage_v, NOT ({_V_BAD}) AS voltage_normal FROM stg'
@@ -546,6 +549,7 @@ FROM b JOIN health ON {same('health')} JOIN rated ON {same('rated')} JOIN sums O
 
 ORACLE["e09_monthly_report"] = _report("system_id, month", "system_id, month")
 ORACLE["a09_report_roundtrip"] = ORACLE["e09_monthly_report"]
+ORACLE["run_days"] = _report("system_id", "system_id")
 ORACLE["e09_utility_report"] = _report("utility, month", "utility, month, system_id")
 ORACLE["e10_system_completeness"] = _raw(
     """, s AS (SELECT count(DISTINCT system_id) AS actual_systems FROM telemetry)
@@ -572,7 +576,7 @@ SELECT *, round(actual_systems * 100e0 / 150e0, 9) AS completeness_pct, round({_
 
 _SPINE = """, spine AS (
   SELECT system_id, slot FROM (SELECT DISTINCT system_id FROM stg)
-  CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-12-31 23:00:00',
+  CROSS JOIN (SELECT unnest(generate_series((SELECT min("timestamp") FROM stg), (SELECT max("timestamp") FROM stg),
     INTERVAL 1 HOUR)) AS slot))"""
 ORACLE["x01_missing_readings"] = _stg(
     f"""{_SPINE} SELECT system_id, slot AS "timestamp" FROM spine ANTI JOIN stg

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetwatt.config import DEFAULT_START, ENGINE, LIMITS, MART, PlantLimits
-from fleetwatt.operators.battery import state_of_health
+from fleetwatt.operators.daystate import battery_of, day_state, fleet_of, report_of
 from fleetwatt.operators.energy import energy_mart
-from fleetwatt.operators.marts import compliance_extract, soh_fleet
+from fleetwatt.operators.marts import compliance_extract
 from fleetwatt.operators.quality import QualityGateError, assert_gate, expectations, quality_gate
-from fleetwatt.operators.report import monthly_report
 from fleetwatt.operators.staging import dedup_latest, stage, stage_sources
 from fleetwatt.operators.violations import critical_count, violations
 from fleetwatt.plans.lineage import stored
@@ -21,17 +20,14 @@ from fleetwatt.sources.readings import read_day, write_by, write_report
 
 
 def _days(df: DataFrame, root: str, dates: list[str]) -> DataFrame | None:
-    """The partitions of the given dates that exist, read by their own paths; None without any."""
-    found = []
-    for d in dates:
-        path = f"{root}/date={d}"
-        try:
-            df.sparkSession.read.schema(df.schema).parquet(path)
-            found.append(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return df.sparkSession.read.schema(df.schema).option("basePath", root).parquet(*found) if found else None
+    """The partitions of the given dates, None without a table; no other partition is read."""
+    try:
+        table = df.sparkSession.read.schema(df.schema).parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return table.where(F.col("date").isin([date.fromisoformat(d) for d in dates]))
 
 
 def _gates(raw: dict[str, DataFrame], as_of, expected: int, limits: PlantLimits) -> dict:
@@ -41,6 +37,11 @@ def _gates(raw: dict[str, DataFrame], as_of, expected: int, limits: PlantLimits)
     return {**records[0], "invalid_voltage_records": invalid, "voltage_passed": invalid == 0}
 
 
+def read_state(spark: SparkSession, target: str) -> DataFrame:
+    """The state of all days that were run into a target."""
+    return spark.read.parquet(f"{target}/state")
+
+
 def run_day(
     spark: SparkSession,
     sources: str | dict[str, str],
@@ -61,8 +62,9 @@ def run_day(
     A reading may be late: it goes to the date it belongs to. The dates that the directory holds
     readings of are merged with what is staged there, the newest row of a key staying, and written
     anew; so two days in a row, or one day twice, give what all their readings give at once.
-    Violations, energy and compliance of those dates are written anew, too. Battery tables and
-    reports are made from the whole staged history and stored under the day.
+    Violations, energy, compliance and the state of those dates are written anew, too. Battery tables
+    and reports are made from the state of all days, one row per system and date, and stored under
+    the day; readings of other dates are not read.
     """
     roots = {"telemetry": sources} if isinstance(sources, str) else sources
     step = limits.expected_step_minutes / 60.0 if step_hours is None else step_hours
@@ -84,15 +86,20 @@ def run_day(
     write_by(energy_mart(today, step, limits), f"{target}/energy", "date")
     write_by(compliance_extract(today, ENGINE, MART), f"{target}/compliance_extract", "date")
 
-    history = spark.read.schema(new.schema).parquet(f"{target}/staging") if dates else new
+    write_by(day_state(today, ENGINE, step, limits), f"{target}/state", "date")
+    state = read_state(spark, target)
     dated = lambda df: df.withColumn("dt", F.lit(day).cast("date"))
-    write_by(dated(state_of_health(history, ["system_id"], limits)), f"{target}/battery", "dt")
-    write_by(dated(soh_fleet(history, limits)), f"{target}/battery_fleet", "dt")
-    report = monthly_report(history, ENGINE, ["system_id"], as_of=as_of, step_hours=step, limits=limits)
-    write_report(report, f"{target}/reports/dt={day}")
+    write_by(dated(battery_of(state, ["system_id"], limits)), f"{target}/battery", "dt")
+    write_by(dated(fleet_of(state, limits)), f"{target}/battery_fleet", "dt")
+    write_report(report_of(state, ["system_id"], as_of, limits), f"{target}/reports/dt={day}")
 
     failed = [r["expectation"] for r in expectations(today, KEYS, KEYS, {}, {}).where("NOT passed").collect()]
     if failed:
         raise QualityGateError(f"staged table fails {failed}")
     alerts = critical_count(violations(today, MART, as_of)).first()["critical_violations"]
     return {**gate, "critical_violations": alerts}
+
+
+def run_days(spark: SparkSession, sources: str | dict[str, str], target: str, days: dict[str, str | datetime], **options) -> list[dict]:
+    """Several days in order: each with its own time of reporting."""
+    return [run_day(spark, sources, target, day, as_of, **options) for day, as_of in days.items()]

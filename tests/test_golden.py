@@ -1,13 +1,21 @@
 """Counts that the mapped telemetry is known to have at the smallest scale."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from fleetwatt.config import ENGINE, JOB
+from fleetwatt.config import DEFAULT_START, ENGINE, JOB
 from fleetwatt.operators import battery, compliance, demand_response, inverter, series, violations
-from fleetwatt.queries import telemetry
+from fleetwatt.plans.lineage import stored
+from fleetwatt.queries import staged, telemetry
 from tests.conftest import SF_DIR
 
 
+@pytest.fixture(scope="module")
+def staged_rows(spark):
+    """Staged telemetry since the first date of the staging model."""
+    return stored(staged(spark, SF_DIR, DEFAULT_START), "golden")
+
+
 def test_raw_and_staged_rows(spark, staged_rows):
     raw = telemetry(spark, SF_DIR)
     assert raw.count() == 1000

@@ -9,19 +9,21 @@ from pyspark.sql import functions as F
 
 from fleetwatt.config import ENGINE
 from fleetwatt.operators.quality import QualityGateError, conformance
-from fleetwatt.operators.report import monthly_report
+from fleetwatt.operators.report import flat, monthly_report
 from fleetwatt.operators.violations import violations, wide_violations
-from fleetwatt.operators.battery import state_of_health
+from fleetwatt.operators import daystate
+from fleetwatt.operators.battery import round_trip_efficiency, state_of_health
 from fleetwatt.operators.energy import energy_mart
+from fleetwatt.operators.marts import soh_fleet
 from fleetwatt.operators.staging import stage
 from fleetwatt.plans import lineage
-from fleetwatt.plans.daily import run_day
+from fleetwatt.plans.daily import read_state, run_day, run_days
 from fleetwatt.plans.jobs import run_ingest, run_violations
 from fleetwatt.plans.lineage import scratch_path, shared_dir
 from fleetwatt.queries import telemetry
 from fleetwatt.schema import RAW_SCHEMA, TELEMETRY_SCHEMA
 from fleetwatt.sources import readings
-from tests.conftest import SF_DIR
+from tests.conftest import SF_DIR, telemetry_rows
 
 
 def test_shared_dir_is_the_cluster_folder(spark):
@@ -65,6 +67,7 @@ def test_conformance_names_the_missing_column(spark):
 
 
 def test_materialize(spark, staged_rows):
+    staged_rows = staged_rows.where("timestamp >= timestamp_ntz'2024-01-01'")
     view = readings.materialize(staged_rows, "staged_view", "view")
     table = readings.materialize(violations(staged_rows, as_of="2024-12-16 00:00:00"), "mart_table", "table")
     assert view.count() == 905 and table.count() == 432
@@ -182,6 +185,55 @@ def test_two_days_equal_both_at_once(spark, tmp_path):
     assert spark.read.parquet(f"{target}/staging").count() == whole.count()
 
 
+def test_a_day_reads_its_own_dates_only(spark, tmp_path):
+    """Readings planted in an old partition after its day was run do not reach later tables."""
+    source, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    rows = _raw_days(spark)
+    old = rows.withColumn("timestamp", F.expr("timestamp - INTERVAL 10 DAYS")).withColumn("dt", F.expr("dt - 10"))
+    readings.write_by(rows.unionByName(old), source, "dt")
+    options = {"expected_systems": 15, "step_hours": 1.0}
+    run_days(spark, source, target, {"2024-02-20": datetime(2024, 2, 21), "2024-02-21": datetime(2024, 2, 22)}, **options)
+    ghost = spark.read.parquet(f"{target}/staging").where("date = '2024-02-20'").limit(1)
+    ghost.withColumn("system_id", F.lit("GHOST")).drop("date").write.mode("append").parquet(f"{target}/staging/date=2024-02-20")
+    assert spark.read.parquet(f"{target}/staging").where("system_id = 'GHOST'").count() == 1
+    run_days(spark, source, target, {"2024-03-01": datetime(2024, 3, 2), "2024-03-02": datetime(2024, 3, 3)}, **options)
+    health = spark.read.parquet(f"{target}/battery").where("dt = '2024-03-02'")
+    whole = stage(rows.unionByName(old).drop("dt"))
+    by_system = lambda df, c: {r.system_id: round(r[c], 9) for r in df.collect()}
+    for c in ("days_in_service", "equivalent_cycles", "soh_pct"):
+        assert by_system(health, c) == by_system(state_of_health(whole, ["system_id"]), c)
+    state = read_state(spark, target)
+    assert by_system(daystate.round_trip_of(state), "charged_pct") == by_system(round_trip_efficiency(whole), "charged_pct")
+    fleet = lambda df: sorted((r.utility, r.n_systems, r.healthy, round(r.mean_soh_pct, 9)) for r in df.collect())
+    assert fleet(daystate.fleet_of(state)) == fleet(soh_fleet(whole))
+
+
+@pytest.mark.parametrize("by", [["system_id", "month"], ["utility", "month"], ["system_id"], ["utility"]])
+def test_reports_of_the_state_equal_those_of_the_readings(spark, staged_rows, by):
+    state = lineage.stored(daystate.day_state(staged_rows), "state")
+    made, want = (flat(r, by) for r in (daystate.report_of(state, by), monthly_report(staged_rows, by=by)))
+    rounded = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else str(v) for v in r) for r in df.collect())
+    assert made.columns == want.columns and rounded(made) == rounded(want)
+
+
+def test_day_state_of_awkward_readings(spark):
+    """NULL charge at the ends of a day, one reading, no utility, no rows."""
+    rows = telemetry_rows(spark, [
+        {"timestamp": "2024-03-01 01:00:00", "battery_soc_pct": None},
+        {"timestamp": "2024-03-01 02:00:00", "battery_soc_pct": 50.0},
+        {"timestamp": "2024-03-01 03:00:00", "battery_soc_pct": 40.0},
+        {"timestamp": "2024-03-02 01:00:00", "battery_soc_pct": 70.0},
+        {"timestamp": "2024-03-03 01:00:00", "battery_soc_pct": None},
+        {"timestamp": "2024-03-04 01:00:00", "battery_soc_pct": 10.0},
+        {"system_id": "B", "timestamp": "2024-03-04 01:00:00", "battery_soc_pct": None},
+    ])
+    state = daystate.day_state(rows)
+    for df in (rows, rows.withColumn("utility", F.lit("X")), rows.limit(0)):
+        got = {r.system_id: tuple(r) for r in daystate.round_trip_of(daystate.day_state(df)).collect()}
+        assert got == {r.system_id: tuple(r) for r in round_trip_efficiency(df).collect()}
+    assert {r.system_id: r.equivalent_cycles for r in daystate.battery_of(state).collect()} == {"A": 0.1, "B": 0.0}
+
+
 def test_every_source_passes_the_gate(spark, tmp_path):
     app, meter = str(tmp_path / "app"), str(tmp_path / "meter")
     rows = _raw_days(spark).where("dt = '2024-03-02'")
