@@ -549,6 +549,12 @@ FROM b JOIN health ON {same('health')} JOIN rated ON {same('rated')} JOIN sums O
 
 ORACLE["e09_monthly_report"] = _report("system_id, month", "system_id, month")
 ORACLE["a09_report_roundtrip"] = ORACLE["e09_monthly_report"]
+ORACLE["d16_outlier_counts"] = _stg(
+    """SELECT utility, count(*) AS n_rows, count(*) FILTER (WHERE reading_id % 199 = 0) AS n_planted,
+  count(*) FILTER (WHERE reading_id % 199 = 0) AS n_found, true AS share_held
+FROM stg WHERE reading_id % 199 = 0 OR (inverter_temp_c IS NOT NULL AND inverter_efficiency_pct IS NOT NULL)
+GROUP BY utility"""
+)
 ORACLE["run_days"] = _report("system_id", "system_id")
 ORACLE["e09_utility_report"] = _report("utility, month", "utility, month, system_id")
 ORACLE["e10_system_completeness"] = _raw(

@@ -493,6 +493,23 @@ def d16_isolation_outliers(spark, sf_dir):
     return outliers.isolation_outliers(staged(spark, sf_dir))
 
 
+@query
+def d16_outlier_counts(spark, sf_dir):
+    """Outliers by utility, with a reading in 199 heated and slowed down far beyond all others."""
+    planted, number = F.col("reading_id") % 199 == 0, F.col("reading_id")
+    rows = staged(spark, sf_dir).withColumns(
+        {
+            "inverter_temp_c": F.when(planted, 400.0 + number % 89).otherwise(F.col("inverter_temp_c")),
+            "inverter_efficiency_pct": F.when(planted, 20.0 + number % 7).otherwise(F.col("inverter_efficiency_pct")),
+        }
+    )
+    labelled = outliers.isolation_outliers_by(rows, ["utility"], keys=["reading_id"])
+    counts = outliers.outlier_counts(labelled, ["utility"], "reading_id % 199 = 0")
+    # Equal scores at the cut may leave out some rows; SQL can say no more than the share.
+    share = F.col("n_outliers").between(F.floor(F.col("n_rows") * 0.04), F.ceil(F.col("n_rows") * 0.05))
+    return counts.select("utility", "n_rows", "n_planted", "n_found", share.alias("share_held"))
+
+
 # --- energy, report, data quality --------------------------------------------
 
 _ENERGY = ["solar_kwh", "consumption_kwh", "grid_export_kwh", "grid_import_kwh"]
