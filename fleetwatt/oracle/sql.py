@@ -641,6 +641,7 @@ e AS (SELECT system_id, min("timestamp") AS run_start, max("timestamp") AS run_e
 SELECT system_id, run_start, run_end, n_readings, round(epoch(run_end - run_start) / 60e0, 9) AS minutes
 FROM e WHERE epoch(run_end - run_start) / 60e0 > 5e0"""
 )
+ORACLE["x09_stream_episodes"] = f"SELECT * EXCLUDE (minutes) FROM ({ORACLE['x09_sustained_episodes']})"
 ORACLE["x10_disconnect"] = _stg(
     """SELECT system_id, "timestamp", frequency_hz, round(abs(frequency_hz - 60e0), 9) AS frequency_off_hz
 FROM stg WHERE abs(frequency_hz - 60e0) > 5e-1"""

@@ -36,7 +36,7 @@ from fleetwatt.plans.lineage import scratch_path
 from fleetwatt.schema import KEYS, MEASURES, RAW_SCHEMA, TELEMETRY_SCHEMA
 from fleetwatt.sources import readings
 from fleetwatt.sources.events import map_events, telemetry_from_events
-from fleetwatt.streaming import monitor
+from fleetwatt.streaming import episodes, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -690,6 +690,29 @@ def x09_sustained_episodes(spark, sf_dir):
     return rounded(series.sustained_episodes(staged(spark, sf_dir)), "minutes")
 
 
+@query
+def x09_stream_episodes(spark, sf_dir):
+    """The same from a stream of three files: late readings and repeats come with the second.
+
+    The third holds one reading without a system, so far ahead that the watermark passes all others.
+    """
+    source, out, state = (scratch_path(spark, n) for n in ("arriving", "episodes", "episodes-state"))
+    rows = telemetry(spark, sf_dir)
+    cut = F.lit("2024-07-01").cast("timestamp_ntz")
+    first, number = F.col("timestamp") < cut, F.col("reading_id")
+    late = (F.col("timestamp") >= cut - F.expr("INTERVAL 2 DAYS")) & (number % 3 == 0)
+    ahead = rows.orderBy(F.desc("timestamp"), "reading_id").limit(1).withColumns(
+        {"system_id": F.lit(None).cast("string"), "timestamp": F.expr("timestamp + INTERVAL 100 DAYS")}
+    )
+    again = (F.col("timestamp") >= cut - F.expr("INTERVAL 2 DAYS")) & first & ~late
+    for part in (rows.where(first & ~late), rows.where(~first | late | again), ahead):
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = monitor.file_stream(spark, source, rows.schema, max_files=1)
+    found = episodes.stream_episodes(stream, watermark="3 days")
+    episodes.start_episodes(found, out, state).awaitTermination()
+    return episodes.latest_episodes(spark, out, found.schema).drop("closed")
+
+
 @query
 def x10_disconnect(spark, sf_dir):
     rows = vio.disconnects(staged(spark, sf_dir)).select(*ROW, "frequency_hz", "frequency_off_hz")
