@@ -669,6 +669,25 @@ ORACLE["x13_merge_sources"] = _stg(
   CAST(3 AS BIGINT) AS n_sources, 'app' AS best_source FROM stg"""
 )
 
+ORACLE["x13_merge_shifted"] = _stg(
+    """, meter AS (SELECT system_id, "timestamp" - INTERVAL 7 MINUTE AS at, voltage_v, frequency_hz, power_factor FROM stg),
+logger AS (SELECT system_id, "timestamp" - INTERVAL 40 MINUTE AS at, 240e0 AS voltage_v, inverter_temp_c,
+    inverter_efficiency_pct FROM stg WHERE extract(hour FROM "timestamp") % 3 = 0),
+j AS (SELECT a.system_id, a."timestamp", a.solar_production_kw, a.consumption_kw, m AS m, l AS l,
+    epoch(a."timestamp" - m.at) / 60e0 AS m_age, epoch(a."timestamp" - l.at) / 60e0 AS l_age
+  FROM stg a ASOF LEFT JOIN meter m ON a.system_id = m.system_id AND a."timestamp" >= m.at
+    ASOF LEFT JOIN logger l ON a.system_id = l.system_id AND a."timestamp" >= l.at)
+SELECT system_id, "timestamp", solar_production_kw, consumption_kw,
+  coalesce(CASE WHEN m_age <= 180 THEN m.voltage_v END, CASE WHEN l_age <= 180 THEN l.voltage_v END) AS voltage_v,
+  CASE WHEN m_age <= 180 THEN m.frequency_hz END AS frequency_hz, CASE WHEN m_age <= 180 THEN m.power_factor END AS power_factor,
+  CASE WHEN l_age <= 180 THEN l.inverter_temp_c END AS inverter_temp_c,
+  CASE WHEN l_age <= 180 THEN l.inverter_efficiency_pct END AS inverter_efficiency_pct,
+  CAST(1 + coalesce(m_age <= 180, false)::INT + coalesce(l_age <= 180, false)::INT AS INT) AS n_sources,
+  CASE WHEN m_age <= 180 THEN round(m_age, 9) END AS meter_age_minutes,
+  CASE WHEN l_age <= 180 THEN round(l_age, 9) END AS logger_age_minutes
+FROM j"""
+)
+
 _ARRIVALS = """, arrived AS (
   SELECT id, ts, solar_at, voltage_v, frequency_hz, power_factor FROM (
     SELECT m.id, m.ts, CASE WHEN m.id % 97 = 0 THEN -5e-1

@@ -32,7 +32,7 @@ from fleetwatt.operators import (
     violations as vio,
 )
 from fleetwatt.plans.daily import read_state, run_days as run_all_days
-from fleetwatt.plans.lineage import scratch_path
+from fleetwatt.plans.lineage import scratch_path, stored
 from fleetwatt.schema import KEYS, MEASURES, RAW_SCHEMA, TELEMETRY_SCHEMA
 from fleetwatt.sources import readings
 from fleetwatt.sources.events import map_events, telemetry_from_events
@@ -738,7 +738,7 @@ def x12_energy_rollup(spark, sf_dir):
 @query
 def x13_merge_sources(spark, sf_dir):
     """An app with energy values, a meter with gaps, and a coarse local logger."""
-    rows = staged(spark, sf_dir)
+    rows = stored(staged(spark, sf_dir).select(*ROW, *MEASURES), "staged")
     app = rows.select(*ROW, *MEASURES[:6])
     meter = rows.select(*ROW, "voltage_v", "frequency_hz", "power_factor")
     logger = rows.select(
@@ -752,6 +752,20 @@ def x13_merge_sources(spark, sf_dir):
     return merge.merge_sources({"app": app, "meter": meter, "logger": logger})
 
 
+@query
+def x13_merge_shifted(spark, sf_dir):
+    """Sources whose clocks differ: a meter seven minutes ahead, a logger that reports every third hour."""
+    rows = stored(staged(spark, sf_dir).select(*ROW, *MEASURES), "staged")
+    earlier = lambda minutes: F.col("timestamp") - F.expr(f"INTERVAL {minutes} MINUTES")
+    app = rows.select(*ROW, "solar_production_kw", "consumption_kw")
+    meter = rows.select("system_id", earlier(7).alias("timestamp"), "voltage_v", "frequency_hz", "power_factor")
+    logger = rows.where(F.hour("timestamp") % 3 == 0).select(
+        "system_id", earlier(40).alias("timestamp"), F.lit(240.0).alias("voltage_v"), "inverter_temp_c", "inverter_efficiency_pct"
+    )
+    merged = merge.merge_sources_asof({"app": app, "meter": meter, "logger": logger}, tolerance_minutes=180)
+    return rounded(merged, "meter_age_minutes", "logger_age_minutes")
+
+
 def _arrivals(events):
     """Telemetry in order of arrival, with a zoned copy of its time."""
     rows = map_events(events, event_time="arrival")
