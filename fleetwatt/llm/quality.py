@@ -125,16 +125,35 @@ def _counts(text: Column, words: Column, lang: Column) -> dict[str, Column]:
 HISTOGRAM = [f"c_{c}" for c in CLASSES] + [f"w{i}" for i in range(N_COMMON)]
 
 
-def _measured(docs: DataFrame, text: str, lang: str) -> DataFrame:
+COUNTED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def _measured(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFrame:
+    """The kept columns, _lang, the counts and the histogram of each document, stored: the one pass over the texts.
+
+    Filters and references above read the stored numbers, so no text is measured twice.
+    """
     known = F.when(F.col(lang).isin(*COMMON_WORDS), F.col(lang)).otherwise("")
-    return docs.select(F.col(text).alias("_text"), known.alias("_lang"), words_of(F.col(text)).alias("_words"))
+    base = docs.select(*[F.col(f"`{c}`").alias(f"_of_{c}") for c in keep], F.col(text).alias("_text"), known.alias("_lang"), words_of(F.col(text)).alias("_words"))
+    words, body = F.col("_words"), F.col("_text")
+    counts = [
+        F.size(words).cast("bigint"),
+        F.length(F.array_join(words, "")).cast("bigint"),
+        F.coalesce(F.regexp_count(body, F.lit(r"[#*$%&|<>]")), F.lit(0)).cast("bigint"),
+        duplicate_lines(body),
+        repeated_words(words),
+    ]
+    histogram = F.struct(*[c.alias(k) for k, c in _counts(body, words, F.col("_lang")).items()])
+    return stored(
+        base.select(*[F.col(f"`_of_{c}`") for c in keep], "_lang", *[c.alias(k) for k, c in zip(COUNTED, counts)], histogram.alias("_h")),
+        "measured_documents",
+    )
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, dict[str, list[float]]]:
+def references(measured: DataFrame) -> dict[str, dict[str, list[float]]]:
     """Mean histograms per language over all documents: at most one row per listed language and one
     for the rest is collected. Each row holds 18 sums and the number of words."""
-    base = _measured(docs, text, lang)
-    hist = base.select("_lang", F.size("_words").cast("bigint").alias("n"), *[c.alias(k) for k, c in _counts(F.col("_text"), F.col("_words"), F.col("_lang")).items()])
+    hist = measured.select("_lang", F.col("n_words").alias("n"), "_h.*")
     return _means(hist.groupBy("_lang").agg(*[F.sum(c).alias(c) for c in ["n", *HISTOGRAM]]).collect())
 
 
@@ -188,18 +207,14 @@ def _near(class_distance: Column, word_distance: Column) -> Column:
     return (F.coalesce(class_distance, F.lit(0.0)) <= MAX_CLASS_DISTANCE) & (F.coalesce(word_distance, F.lit(0.0)) <= MAX_WORD_DISTANCE)
 
 
-def steady_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, dict[str, list[float]]]:
+def steady_references(measured: DataFrame) -> dict[str, dict[str, list[float]]]:
     """Mean histograms per language that a minority of junk does not move.
 
     Of the documents that pass the base rules and are long enough to be compared, the median of
     each share is the first centre. Means over the documents near it are the next one, PASSES
-    times. Shares are rounded to thousandths for the median, so it holds 1,001 counts at most. One
-    pass over the texts stores their histograms; the others read those.
+    times. Shares are rounded to thousandths for the median, so it holds 1,001 counts at most.
     """
-    base = _measured(docs, text, lang)
-    words = F.col("_words")
-    counts = [c.alias(k) for k, c in _counts(F.col("_text"), words, F.col("_lang")).items()]
-    hist = stored(base.select("_lang", F.size(words).cast("bigint").alias("n"), repeated_words(words).alias("repeats"), *counts), "histograms")
+    hist = measured.select("_lang", F.col("n_words").alias("n"), F.col("n_repeat_words").alias("repeats"), "_h.*")
     chars = sum([F.col(f"c_{c}") for c in CLASSES[1:]], F.col(f"c_{CLASSES[0]}"))
     common = sum([F.col(f"w{i}") for i in range(1, N_COMMON)], F.col("w0"))
     good = hist.where(~_base_failed(F.col("n"), F.col("repeats")) & (chars >= GUARD_CHARS))
@@ -226,41 +241,28 @@ def steady_references(docs: DataFrame, text: str = "text", lang: str = "lang") -
     return refs
 
 
-def quality(docs: DataFrame, text: str = "text", lang: str = "lang", steady: bool = False) -> DataFrame:
-    """Adds counts, base_failed, the two distances and kept; all columns of docs stay.
+def quality(docs: DataFrame, text: str = "text", lang: str = "lang", steady: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Adds counts, base_failed, the two distances and kept; all columns of docs stay, or those of `keep`.
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (bigint); base_failed: fewer than
     20 words, or over 30 % of them in repeated windows; class_distance, word_distance: NULL under
     the length guards, and word_distance also for a language without a list; kept: neither
     base_failed nor too far. A NULL text has no words and fails; a NULL or unknown language is
     compared with all such documents' characters. Repeated rows are judged alike. Eager: one pass
-    counts the references, a second one, narrow, judges. Columns of these names are replaced.
+    measures the texts and stores the numbers with the columns that stay; the references and the
+    verdict are made from those. Columns of these names are replaced.
 
     The references are means over all documents, as in SQL, so they move towards junk that holds
     much of a language. With steady they are those of steady_references, which do not.
     """
-    refs = (steady_references if steady else references)(docs, text, lang)
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept"]
-    keep = [c for c in docs.columns if c not in added]
-    known = F.when(F.col(lang).isin(*COMMON_WORDS), F.col(lang)).otherwise("")
-    base = docs.select(*[F.col(f"`{c}`") for c in keep], known.alias("_lang"), words_of(F.col(text)).alias("_words"))
-    words = F.col("_words")
-    measures = F.struct(
-        F.size(words).cast("bigint").alias("n_words"),
-        F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(r"[#*$%&|<>]")), F.lit(0)).cast("bigint").alias("n_symbols"),
-        duplicate_lines(F.col(text)).alias("n_dup_lines"),
-        repeated_words(words).alias("n_repeat_words"),
-        F.struct(*[c.alias(k) for k, c in _counts(F.col(text), words, F.col("_lang")).items()]).alias("_h"),
-    )
-    # One generated row: a filter on the verdict stays above it, and so a text is measured once.
-    once = base.select(*[F.col(f"`{c}`") for c in keep], "_lang", F.explode(F.array(measures)).alias("_m"))
-    full = once.select(*[F.col(f"`{c}`") for c in keep], "_lang", "_m.*")
-
+    added = [*COUNTED, "base_failed", "class_distance", "word_distance", "kept"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    measured = _measured(docs, text, lang, keep)
+    refs = (steady_references if steady else references)(measured)
     class_distance, word_distance = _distances(refs, lambda name: F.col(f"_h.{name}"), F.col("n_words"))
-    far = full.select(
-        *[F.col(f"`{c}`") for c in keep],
-        *added[:5],
+    far = measured.select(
+        *[F.col(f"`_of_{c}`").alias(c) for c in keep],
+        *COUNTED,
         _base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"),
         class_distance.alias("class_distance"),
         word_distance.alias("word_distance"),

@@ -47,7 +47,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.quality(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    judged = quality.quality(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), keep=["doc_id"])
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"),
