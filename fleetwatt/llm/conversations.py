@@ -67,15 +67,17 @@ def faults(rows: DataFrame) -> DataFrame:
     """conv_id, turn, role, text, _n, fault: equal rows counted, each with the fault of its first copy.
 
     The later copies are duplicates, or blank if they are. A row is a duplicate if its role and text
-    occur in an earlier row. The order is by turn (NULL first), role and text.
+    occur in an earlier row. The order is by turn (NULL first), role and text. Equal texts are found
+    by a 128-bit hash, so that only the rows themselves carry texts.
     """
-    counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("_n"))
+    counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("_n")).withColumn("_hash", F.md5("text"))
     when = F.struct(F.col("turn").isNotNull(), "turn")
-    first = counted.groupBy("conv_id", "role", "text").agg(F.min(when).alias("_first"), F.count("*").alias("_k"))
+    hashed = rows.withColumn("_hash", F.md5("text")).groupBy("conv_id", "turn", "role", "_hash").agg(F.lit(1).alias("_"))
+    first = hashed.groupBy("conv_id", "role", "_hash").agg(F.min(when).alias("_first"), F.count("*").alias("_k"))
     first = first.where("_k > 1").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    first = first.withColumnsRenamed({c: f"_{c}" for c in ("conv_id", "role", "text")})
+    first = first.withColumnsRenamed({c: f"_{c}" for c in ("conv_id", "role")} | {"_hash": "_same"})
     salted = counted.withColumn("_salt_", F.pmod(F.xxhash64("turn"), F.lit(SALTS)).cast("int"))
-    same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col("role") == F.col("_role")) & (F.col("text") == F.col("_text"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col("role") == F.col("_role")) & (F.col("_hash") == F.col("_same"))
     joined = salted.join(first, same & (F.col("_salt_") == F.col("_salt")), "left")
     body = F.rtrim(F.col("text"), F.lit(WHITE))
     fault = (
