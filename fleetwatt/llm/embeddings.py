@@ -191,34 +191,40 @@ def _linked(meetings: DataFrame, widths: list[int], threshold: float) -> DataFra
     return together.mapInArrow(run, "id bigint, links bigint, root bigint")
 
 
+def _searched(vectors: DataFrame, threshold: float) -> DataFrame:
+    """Links and components of different vectors of one length."""
+    sample = vectors.orderBy("_h").limit(FIT_VECTORS).select("vector").toArrow().column("vector").combine_chunks()
+    mean, projection = fit_rotation(_matrix(sample))
+    widths = part_widths(projection.shape[1], threshold)
+    found = stored(_linked(_meetings(vectors, mean, projection, widths), widths, threshold), "links")
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    roots = components(found, "id", "root").select(F.col("node").alias("id"), "component")
+    return vectors.join(links, "id", "left").join(roots, "id", "left")
+
+
 def near_duplicates(table: DataFrame, id: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """Adds n_links, component_id and kept to all rows; columns of these names are replaced.
 
     Equal vectors are one vector with a number of copies. Vectors that are NULL, zero or not
-    finite, rows without an id, and vectors of another length than most have no links. An empty
-    table stays empty. Pairs are found if some part of their codes differs in one bit at most;
-    every vector is in every table, and at any number of vectors the parts are the same. Eager: the rotation is fitted on the FIT_VECTORS distinct
-    vectors of smallest hash, which go to the driver, and components take some rounds.
+    finite, and rows without an id have no links; vectors of different lengths are not linked. An
+    empty table stays empty. Pairs are found if some part of their codes differs in one bit at most;
+    every vector is in every table, and at any number of vectors the parts are the same. Eager: a
+    rotation per length is fitted on the FIT_VECTORS distinct vectors of smallest hash, which go to the
+    driver, and components take some rounds.
     """
     keep = [c for c in table.columns if c not in ("n_links", "component_id", "kept")]
     rows = table.select(*[F.col(f"`{c}`") for c in keep]).withColumns(
         {"_v": F.when(F.col(id).isNotNull() & usable(F.col(vector)), F.col(vector).cast("array<float>"))}
     ).withColumn("_h", F.xxhash64("_v"))
     distinct = rows.where("_v is not null").groupBy("_h", F.col("_v").alias("vector")).agg(F.min(id).cast("bigint").alias("id"), F.count("*").alias("n"))
-    sizes = distinct.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim = sizes[0]["d"] if sizes else 0
-    vectors = stored(distinct.where(F.size("vector") == dim), "vectors")
-    sample = vectors.orderBy("_h").limit(FIT_VECTORS).select("vector").toArrow().column("vector").combine_chunks()
-    count = vectors.count()
-    if count:
-        mean, projection = fit_rotation(_matrix(sample))
-        widths = part_widths(projection.shape[1], threshold)
-        found = stored(_linked(_meetings(vectors, mean, projection, widths), widths, threshold), "links")
-        links = found.groupBy("id").agg(F.sum("links").alias("links"))
-        roots = components(found, "id", "root").select(F.col("node").alias("id"), "component")
-        known = vectors.join(links, "id", "left").join(roots, "id", "left")
-    else:
-        known = vectors.withColumns({"links": F.lit(0).cast("bigint"), "component": F.col("id")})
+    every = stored(distinct, "vectors")
+    # Vectors of each length are a table of their own: few lengths, whatever the number of rows.
+    lengths = every.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("k")).orderBy("d").collect()
+    alone = [r["d"] for r in lengths if r["k"] == 1]
+    known = every.where(F.size("vector").isin(alone)).withColumns({"links": F.lit(0).cast("bigint"), "component": F.col("id")})
+    for r in lengths:
+        if r["k"] > 1:
+            known = known.unionByName(_searched(every.where(F.size("vector") == r["d"]), threshold))
     known = known.select(
         F.col("_h").alias("_kh"), F.col("vector").alias("_kv"), F.col("id").alias("_kid"), F.col("n").alias("_kn"),
         F.col("links").alias("_klinks"), F.col("component").alias("_kcomponent"),
