@@ -3,8 +3,9 @@
 A line is the set of its words. Words are ordered by rarity: the commonest ones of the corpus are
 counted and come last, by the logarithm of their count; all others come first, longer ones before
 shorter ones. Two sets with a Jaccard similarity of p % share a word in the first
-n - ceil(p n / 100) + 1 words of this order. Pairs that meet there must also have fitting lengths
-and differ in few bits of a 128-bit signature; then the words themselves are compared.
+n - ceil(p n / 100) + 1 words of this order. Pairs that meet there must also have fitting lengths, and
+enough words behind the shared one (the positional filter). Of those, pairs whose 128-bit signatures
+differ little have all their words compared, as numbers made of a length and 52 bits of a hash.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetwatt.llm.quality import SPACE, words_of
-from fleetwatt.llm.steps import stored
+from fleetwatt.llm.steps import forget, stored
 
 PERCENT = 80
 #: Words whose count is known; a fixed number.
@@ -31,19 +32,25 @@ def _word_key(word: Column) -> Column:
     return F.shiftleft(short, HASH_BITS).bitwiseOR(F.xxhash64(word).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
 
+def _words(text: Column) -> Column:
+    """Words of a text, and empty strings; split at single spaces where there is no other white space."""
+    return F.when(text.rlike(r"[\x09-\x0D]"), words_of(text)).otherwise(F.split(text, " "))
+
+
 def _word_keys(line: Column) -> Column:
     """Distinct words as numbers."""
-    return F.transform(F.array_distinct(words_of(line)), _word_key)
+    return F.transform(F.array_remove(F.array_distinct(_words(line)), ""), _word_key)
 
 
 def common_words(docs: DataFrame, text: str, count: int = COMMON) -> dict[int, list[int]]:
-    """The keys of the commonest words by the binary logarithm of their number. Counts all words,
+    """The keys of the commonest words by the logarithm of their number to base 4. Counts all words,
     partly before the shuffle; only `count` rows go to the driver."""
-    words = docs.select(F.explode(words_of(F.col(text))).alias("word"))
+    flat = F.replace(F.col(text), F.lit("\n"), F.lit(" "))
+    words = docs.select(F.explode(_words(flat)).alias("word")).where("word != ''")
     top = words.groupBy(_word_key(F.col("word")).alias("w")).count().orderBy(F.desc("count"), "w").limit(count).collect()
     levels: dict[int, list[int]] = {}
     for row in top:
-        levels.setdefault(row["count"].bit_length(), []).append(row["w"])
+        levels.setdefault(row["count"].bit_length() // 2 + 1, []).append(row["w"])
     return levels
 
 
@@ -63,45 +70,65 @@ def _least_overlap(n: Column, percent: int) -> Column:
     return F.floor((percent * n + 99) / 100).cast("int")
 
 
-def _signatures(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[int]], percent: int) -> DataFrame:
+def _signature(words: str) -> list[Column]:
+    """128 bits, those of the words set."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))
+    half = lambda which: F.filter(words, lambda w: w.bitwiseAND(F.lit(64)) == which)
+    both = lambda which: F.aggregate(half(which), F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(bit(w)))
+    return [both(0).alias("bits"), both(64).alias("more_bits")]
+
+
+def _alike(percent: int) -> Column:
+    """Whether sets x and y may be similar by the bits that differ: each is a word of one set only."""
+    total = F.col("x.n") + F.col("y.n")
+    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) + F.bit_count(F.col("x.more_bits").bitwiseXOR(F.col("y.more_bits")))
+    return (total - differ) * (100 + percent) >= 2 * percent * total
+
+
+def _prefixes(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[int]], percent: int) -> DataFrame:
     """A row for each line with a word: doc, h, pos, its set as two hashes, the number of words, a bit signature and the prefix."""
     lines = docs.select(
         *_row(doc_id, text), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")
     ).where(F.trim(F.col("line"), F.lit(SPACE)) != "")
     sets = lines.select(*LINE, _ordered(_word_keys(F.col("line")), levels).alias("words"))
     n = F.size("words")
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))
-    half = lambda which: F.filter("words", lambda w: w.bitwiseAND(F.lit(64)) == which)
     return sets.select(
         *LINE,
         F.xxhash64("words").alias("a"),
         F.xxhash64(F.lit(1), F.col("words")).alias("b"),
         n.alias("n"),
-        F.aggregate(half(0), F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(bit(w))).alias("bits"),
-        F.aggregate(half(64), F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(bit(w))).alias("more_bits"),
+        *_signature("words"),
         F.slice("words", F.lit(1), n - _least_overlap(n, percent) + 1).alias("prefix"),
     )
 
 
 def _near(percent: int) -> Column:
-    """Whether sets x and y may be similar: by their lengths, and by the bits that differ."""
-    total = F.col("x.n") + F.col("y.n")
-    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) + F.bit_count(F.col("x.more_bits").bitwiseXOR(F.col("y.more_bits")))
-    lengths = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
-    return lengths & ((total - differ) * (100 + percent) >= 2 * percent * total)
+    """Whether sets x and y that share the word at these places may be similar.
 
-
-def _similar(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """doc, h, pos: those x of pairs (doc, h, pos, doc2, h2, pos2) whose words are similar to those of y."""
-    wanted = pairs.select(LINE).unionByName(pairs.select(*[F.col(f"{c}2").alias(c) for c in LINE]))
-    spots = wanted.groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(F.collect_set("pos").alias("spots"))
+    By their lengths, and by the words that can follow the shared one in both. The first word that two
+    similar sets share passes, so each such pair is found; a later one need not.
+    """
+    lengths = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
+    after = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    return lengths & (after * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """x: those of pairs (x, y) of set numbers whose words are similar to those of y. Eager."""
+    pairs = pairs.select(F.col("x").alias("_x"), F.col("y").alias("_y"))
+    marks = sets.select("id", "n", "bits", "more_bits")
+    marked = pairs.join(marks.alias("x"), F.col("_x") == F.col("x.id")).join(marks.alias("y"), F.col("_y") == F.col("y.id"))
+    close = stored(marked.where(_alike(percent)).select(F.col("_x").alias("x"), F.col("_y").alias("y")), "close")
+    wanted = close.select(F.explode(F.array("x", "y")).alias("id")).distinct().join(sets.select("id", *LINE), "id")
+    spots = wanted.groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(F.collect_list(F.struct("pos", "id")).alias("spots"))
     texts = docs.select(*_row(doc_id, text), F.split(F.col(text), "\n").alias("lines"))
-    at = texts.join(spots, (F.col("doc") == F.col("_doc")) & (F.col("h") == F.col("_h"))).select(*ROW, "lines", F.explode("spots").alias("pos"))
-    words = stored(at.select(*LINE, _word_keys(F.get(F.col("lines"), F.col("pos"))).alias("words")), "words")
-    other = words.select(*[F.col(c).alias(f"{c}2") for c in [*LINE, "words"]])
+    at = texts.join(spots, (F.col("doc") == F.col("_doc")) & (F.col("h") == F.col("_h"))).select("lines", F.inline("spots"))
+    words = stored(at.select("id", _word_keys(F.get(F.col("lines"), F.col("pos"))).alias("words")), "words")
     both = F.size(F.array_intersect("words", "words2"))
-    near = pairs.join(words, LINE).join(other, [f"{c}2" for c in LINE])
-    return near.where(100 * both >= percent * (F.size("words") + F.size("words2") - both)).select(LINE).distinct()
+    near = close.join(words.withColumnRenamed("id", "x"), "x").join(words.select(F.col("id").alias("y"), F.col("words").alias("words2")), "y")
+    found = stored(near.where(100 * both >= percent * (F.size("words") + F.size("words2") - both)).select("x").distinct(), "similar")
+    forget(close, words)
+    return found
 
 
 def _place(doc_id: Column) -> Column:
@@ -121,42 +148,47 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     of at least `percent` %, whether that one stays or not. Lines without words stay.
     """
     levels = common_words(docs, text)
-    lines = stored(_signatures(docs, doc_id, text, levels, percent), "lines")
-    first_doc = lines.groupBy("a", "b").agg(F.min(F.struct(ROW)).alias("least"), F.count("*").alias("copies")).select("a", "b", "least.*", "copies")
-    placed = lines.select("a", "b", *LINE).join(first_doc.select("a", "b", *ROW), ["a", "b", *ROW])
-    first = stored(placed.groupBy("a", "b", *ROW).agg(F.min("pos").alias("pos")), "sets")
-
-    # Sets by their first line. Each is first compared with the earliest set that it shares most
-    # prefix words with: one similar set before it is enough, so most copies end here.
-    sets = lines.join(first, ["a", "b", *LINE], "left_semi").select(*LINE, "n", "bits", "more_bits", "prefix")
-    sets = stored(sets, "firsts")
-    by_word = lambda df: df.select(*LINE, "n", "bits", "more_bits", F.explode("prefix").alias("w"))
-    firsts = by_word(sets)
+    lines = stored(_prefixes(docs, doc_id, text, levels, percent), "lines")
+
+    # Each distinct set once, by its first line, with a number in the order of the first lines.
+    first = F.min(F.struct(*LINE, "n", "bits", "more_bits", "prefix")).alias("first")
+    distinct = lines.groupBy("a", "b").agg(first, F.count("*").alias("copies")).select("a", "b", "copies", "first.*")
+    sets = stored(distinct.orderBy(*LINE).withColumn("id", F.monotonically_increasing_id()), "sets")
+    copied = sets.where("copies > 1").select("a", "b", *[F.col(c).alias(f"{c}1") for c in LINE])
+    again = lines.select("a", "b", *LINE).join(copied, ["a", "b"]).where("doc > doc1 or h > h1 or pos > pos1")
+    again = stored(again.select(LINE), "again")
+    forget(lines)
+
+    # Each set is first compared with the earliest set that it shares most prefix words with: one
+    # similar set before it is enough, so most copies end here.
+    met = sets.select("id", "n", F.posexplode("prefix").alias("place", "w"))
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
-    earliest = Window.partitionBy("w", band).orderBy(*LINE)
-    whole = F.struct(*LINE, "n", "bits", "more_bits")
-    asked = firsts.repartition("w").select(whole.alias("x"), F.first(whole).over(earliest).alias("y"))
+    earliest = Window.partitionBy("w", band).orderBy("id")
+    entry = F.struct("id", "n", "place")
+    asked = met.repartition("w").select(entry.alias("x"), F.first(entry).over(earliest).alias("y"))
     best = (
-        asked.where(((F.col("x.doc") > F.col("y.doc")) | (F.col("x.h") > F.col("y.h")) | (F.col("x.pos") > F.col("y.pos"))) & _near(percent))
-        .groupBy(*[F.col(f"x.{c}").alias(c) for c in LINE], *[F.col(f"y.{c}").alias(f"{c}2") for c in LINE]).count()
-        .groupBy(LINE).agg(F.max_by(F.struct(*[f"{c}2" for c in LINE]), "count").alias("y"))
-        .select(*LINE, "y.*")
+        asked.where((F.col("x.id") > F.col("y.id")) & _near(percent))
+        .groupBy(F.col("x.id").alias("x"), F.col("y.id").alias("y")).count()
+        .groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y"))
     )
-    gone = stored(_similar(stored(best, "best"), docs, doc_id, text, percent), "gone")
+    best = stored(best, "best")
+    gone = _similar(best, sets, docs, doc_id, text, percent)
+    forget(best)
 
     # What is left meets every earlier set that shares a prefix word.
-    left = by_word(sets.join(gone, LINE, "left_anti"))
-    before = (F.col("y.h") < F.col("x.h")) | ((F.col("y.h") == F.col("x.h")) & (F.col("y.pos") < F.col("x.pos")))
-    earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & before)
-    met = left.alias("x").join(firsts.alias("y"), (F.col("x.w") == F.col("y.w")) & earlier & _near(percent))
-    pairs = met.select(*[f"x.{c}" for c in LINE], *[F.col(f"y.{c}").alias(f"{c}2") for c in LINE]).distinct()
-    more = _similar(stored(pairs, "pairs"), docs, doc_id, text, percent)
-    gone = stored(gone.unionByName(more), "gone")
+    marked = sets.select("id", "n", "bits", "more_bits", F.posexplode("prefix").alias("place", "w"))
+    left = marked.join(gone.withColumnRenamed("x", "id"), "id", "left_anti")
+    may = (F.col("y.id") < F.col("x.id")) & _near(percent) & _alike(percent)
+    pairs = left.alias("x").join(marked.alias("y"), (F.col("x.w") == F.col("y.w")) & may)
+    pairs = stored(pairs.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct(), "pairs")
+    more = _similar(pairs, sets, docs, doc_id, text, percent)
+    forget(pairs)
 
     # Repeated lines other than the first, and first lines of sets that go.
-    copied = first_doc.where("copies > 1").select("a", "b").join(first, ["a", "b"]).select("a", "b", *[F.col(c).alias(f"{c}1") for c in LINE])
-    again = lines.select("a", "b", *LINE).join(copied, ["a", "b"]).where("doc > doc1 or h > h1 or pos > pos1")
-    return again.select(LINE).unionByName(gone).groupBy(ROW).agg(F.collect_set("pos").alias("positions"))
+    firsts = sets.join(gone.unionByName(more).withColumnRenamed("x", "id"), "id", "left_semi").select(LINE)
+    removed = stored(again.unionByName(firsts).groupBy(ROW).agg(F.collect_set("pos").alias("positions")), "removed")
+    forget(sets, again, gone, more)
+    return removed
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -167,7 +199,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     differ in text are documents of their own, in the order of a hash of the text; so are rows without an
     id, which come last. Columns of the two names are replaced. Eager: intermediate tables are stored.
     """
-    gone = stored(removed_lines(docs, doc_id, text, percent), "removed").select(
+    gone = removed_lines(docs, doc_id, text, percent).select(
         F.col("doc").alias("_doc"), F.col("h").alias("_h"), "positions"
     )
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]

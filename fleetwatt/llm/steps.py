@@ -13,3 +13,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     table = lineage.stored(df, label)
     df.sparkSession.sparkContext._jvm.System.gc()
     return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more. What is derived from them must be stored."""
+    for table in tables:
+        for name in table.inputFiles()[:1]:
+            jvm = table.sparkSession.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(name).getParent()
+            folder.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
