@@ -179,6 +179,59 @@ def assert_gate(gate: DataFrame) -> dict:
     return record
 
 
+def _row_checks(not_null, accepted, ranges) -> dict[str, Column]:
+    """True where a row fails; NULL counts as no failure but for not_null."""
+    checks: dict[str, Column] = {}
+    for c in not_null:
+        checks[f"not_null_{c}"] = F.col(c).isNull()
+    for c, values in accepted.items():
+        checks[f"accepted_values_{c}"] = ~F.col(c).isin(values)
+    for c, (low, high) in ranges.items():
+        checks[f"range_{c}"] = ~F.col(c).between(low, high)
+    return checks
+
+
+def tag_failures(
+    df: DataFrame,
+    not_null: list[str],
+    unique_key: list[str],
+    accepted: dict[str, list[str]],
+    ranges: dict[str, tuple[float, float]],
+    order: list[str],
+) -> DataFrame:
+    """Adds failed_checks, the names of the expectations a row fails, and row_status.
+
+    Of the rows of a key, all but the first by `order` fail the unique expectation, so the counts
+    are those of `expectations`. A key may hold any share of the rows: a hash aggregate finds the
+    first row of each key that occurs twice, and rows that come after it are told by a join, which
+    adaptive execution splits. Rows without a whole key are no duplicates. All rows and columns
+    stay; of rows that are equal in `order` too, none is told apart, so order must tell rows apart.
+    """
+    keyed = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in unique_key])
+    place = F.struct(*[F.col(c) for c in order])
+    first = (
+        df.where(keyed)
+        .groupBy(*[F.col(c).alias(f"_{c}") for c in unique_key])
+        .agg(F.min(place).alias("_first"), count_rows().alias("_copies"))
+        .where("_copies > 1")
+        .drop("_copies")
+    )
+    on = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"_{c}") for c in unique_key])
+    joined = df.join(first, on, "left")
+    checks = _row_checks(not_null, accepted, ranges)
+    checks[f"unique_{'_'.join(unique_key)}"] = place != F.col("_first")
+    names = F.array(*[F.when(cond, F.lit(name)) for name, cond in checks.items()])
+    return joined.withColumn("failed_checks", F.array_compact(names)).withColumn(
+        "row_status", F.when(F.size("failed_checks") > 0, "failing").otherwise("good")
+    ).select(*df.columns, "failed_checks", "row_status")
+
+
+def set_aside(tagged: DataFrame, path: str) -> DataFrame:
+    """Write tagged rows in one pass, good and failing ones in partitions of one table; gives it back."""
+    tagged.write.mode("overwrite").partitionBy("row_status").parquet(path)
+    return tagged.sparkSession.read.schema(tagged.schema).parquet(path)
+
+
 def expectations(
     df: DataFrame,
     not_null: list[str],
@@ -187,13 +240,7 @@ def expectations(
     ranges: dict[str, tuple[float, float]],
 ) -> DataFrame:
     """One row per expectation with the number of rows that fail it."""
-    checks: dict[str, Column] = {}
-    for c in not_null:
-        checks[f"not_null_{c}"] = F.col(c).isNull()
-    for c, values in accepted.items():
-        checks[f"accepted_values_{c}"] = ~F.col(c).isin(values)
-    for c, (low, high) in ranges.items():
-        checks[f"range_{c}"] = ~F.col(c).between(low, high)
+    checks = _row_checks(not_null, accepted, ranges)
     counted = df.agg(*[F.count_if(cond).alias(name) for name, cond in checks.items()])
     keyed = df.dropna(subset=unique_key)  # a missing key is what not_null is for
     duplicates = (

@@ -731,6 +731,16 @@ ORACLE["x15_expectations"] = _raw(
 SELECT *, failed_rows = 0 AS passed FROM r"""
 )
 
+ORACLE["x15_rows_set_aside"] = _raw(
+    """, first AS (SELECT system_id, "timestamp", min(reading_id) AS least FROM telemetry
+  WHERE system_id IS NOT NULL AND "timestamp" IS NOT NULL GROUP BY system_id, "timestamp"),
+tagged AS (SELECT t.reading_id, t.system_id, t."timestamp", concat_ws(',', """
+    + ", ".join(f"CASE WHEN t.{c} THEN '{n}' END" for n, c in _EXPECT.items())
+    + """, CASE WHEN t.reading_id <> f.least THEN 'unique_system_id_timestamp' END) AS failed_checks
+  FROM telemetry t LEFT JOIN first f ON t.system_id = f.system_id AND t."timestamp" = f."timestamp")
+SELECT * FROM tagged WHERE failed_checks <> ''"""
+)
+
 
 def _tou(keys: str) -> str:
     return _stg(

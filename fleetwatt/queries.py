@@ -793,14 +793,26 @@ def x14_batch_counts(spark, sf_dir):
     return _counts_as_ntz(monitor.violation_counts(_arrivals(events)))
 
 
+_EXPECTED = {
+    "not_null": ["system_id", "timestamp", "voltage_v"],
+    "unique_key": KEYS,
+    "accepted": {"utility": ["PGE", "SCE"]},
+    "ranges": {"voltage_v": (200.0, 280.0), "battery_soc_pct": (0.0, 100.0)},
+}
+
+
 @query
 def x15_expectations(spark, sf_dir):
-    return quality.expectations(
-        telemetry(spark, sf_dir),
-        not_null=["system_id", "timestamp", "voltage_v"],
-        unique_key=KEYS,
-        accepted={"utility": ["PGE", "SCE"]},
-        ranges={"voltage_v": (200.0, 280.0), "battery_soc_pct": (0.0, 100.0)},
+    return quality.expectations(telemetry(spark, sf_dir), **_EXPECTED)
+
+
+@query
+def x15_rows_set_aside(spark, sf_dir):
+    """Failing rows of the stored table, with what they fail."""
+    tagged = quality.tag_failures(telemetry(spark, sf_dir), **_EXPECTED, order=["reading_id"])
+    table = quality.set_aside(tagged, scratch_path(spark, "set_aside"))
+    return table.where("row_status = 'failing'").select(
+        "reading_id", "system_id", "timestamp", F.array_join("failed_checks", ",").alias("failed_checks")
     )
 
 
