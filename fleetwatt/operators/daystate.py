@@ -61,10 +61,10 @@ _ENDS = ["period_start", "period_end"]
 
 
 def merge_days(state: DataFrame, by) -> DataFrame:
-    """Rows of the state merged per group and date, as the report takes them."""
+    """Rows of the state merged per group, system and date, as the report takes them."""
     sums = [c for c in state.columns if c not in (*by, *KEYS, *_EXTREMES, *_ENDS, "equivalent_cycles", "month")]
     swing = (F.max("soc_max_pct") - F.min("soc_min_pct")) / F.lit(100.0)
-    return state.groupBy(*by, "date").agg(
+    return state.groupBy(*dict.fromkeys([*by, "system_id", "date"])).agg(
         F.min("period_start").alias("period_start"),
         F.max("period_end").alias("period_end"),
         F.coalesce(swing, F.lit(0.0)).alias("equivalent_cycles"),
@@ -74,11 +74,9 @@ def merge_days(state: DataFrame, by) -> DataFrame:
 
 def battery_of(state: DataFrame, by=BY_SYSTEM, limits: PlantLimits = LIMITS) -> DataFrame:
     """State of health per group: the same columns and values as from the readings."""
-    daily = merge_days(_months(state, by), by)
-    summary = daily.groupBy(*by).agg(
-        whole_days_between(F.min("period_start"), F.max("period_end")).alias("days_in_service"),
-        total(F.col("equivalent_cycles")).alias("equivalent_cycles"),
-    )
+    merged = summed(merge_days(_months(state, by), by), by)
+    days = whole_days_between(F.col("period_start"), F.col("period_end"))
+    summary = merged.select(*by, days.alias("days_in_service"), "equivalent_cycles")
     return summary.withColumns(health_columns(limits))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fleetwatt.config import LIMITS, PlantLimits
 from fleetwatt.functions.scalars import count_rows, efficiency_band, pair_correlation
 from fleetwatt.operators.compliance import BY_SYSTEM, grouped
+from fleetwatt.operators.histograms import daily_histograms, summary_of_days
 from fleetwatt.plans.joins import join_groups
 from fleetwatt.plans.skew import exact_quantile
 
@@ -71,6 +72,17 @@ def thermal_summary(df: DataFrame, by=BY_SYSTEM, exact: bool = True) -> DataFram
     return join_groups(grouped(df, by, simple), p95, by)
 
 
+def temperature_histograms(df: DataFrame, keys=BY_SYSTEM) -> DataFrame:
+    """The daily state from which thermal_of_days takes the summary of any period."""
+    return daily_histograms(df, TEMP, keys)
+
+
+def thermal_of_days(histograms: DataFrame, df: DataFrame, by=("system_id", "month")) -> DataFrame:
+    """thermal_summary per group of days, from stored histograms and one pass over the readings."""
+    names = {"mean": "mean_temp_c", "max": "max_temp_c", "quantile": "p95_temp_c"}
+    return summary_of_days(histograms, df, TEMP, by, 0.95, names)
+
+
 def overtemp(df: DataFrame, by=BY_SYSTEM, limits: PlantLimits = LIMITS) -> DataFrame:
     """Over-temperature events and how many of them fall in summer."""
     events, summer = F.col("overtemp_events"), F.col("overtemp_summer_events")

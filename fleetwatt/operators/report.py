@@ -75,13 +75,19 @@ def daily_sums(df: DataFrame, keys, columns, gc: GridCode, limits: PlantLimits,
 
 
 def summed(daily: DataFrame, by) -> DataFrame:
+    """Rows per system and date added up per group. Cycles are those of a system: their mean over systems."""
     ends = ("period_start", "period_end")
-    parts = [c for c in daily.columns if c not in (*by, "date", *ends)]
-    return daily.groupBy(*by).agg(
-        F.min("period_start").alias("period_start"),
-        F.max("period_end").alias("period_end"),
-        *[F.sum(c).alias(c) for c in parts],
-    )
+    parts = [c for c in daily.columns if c not in (*by, "system_id", "date", *ends)]
+
+    def added(rows, keys, cycles):
+        return rows.groupBy(*keys).agg(
+            F.min("period_start").alias("period_start"),
+            F.max("period_end").alias("period_end"),
+            *[(cycles if c == "equivalent_cycles" else F.sum)(c).alias(c) for c in parts],
+        )
+
+    systems = added(daily, dict.fromkeys([*by, "system_id"]), F.sum)
+    return systems if "system_id" in by else added(systems, by, F.avg)
 
 
 def monthly_report(
@@ -95,14 +101,14 @@ def monthly_report(
 ) -> DataFrame:
     """Seven blocks per group. Missing parts take the report's defaults.
 
-    Readings are added up once, per group and date; the groups are made from
-    that. Completeness is that of the raw columns. thd may give thd_voltage_pct
-    and thd_current_pct per group.
+    Readings are added up once, per group, system and date; the groups are made from
+    that. The battery of a group is the mean of its systems' batteries. Completeness is that of
+    the raw columns. thd may give thd_voltage_pct and thd_current_pct per group.
     """
     by = list(by)
     columns = [c for c in RAW_SCHEMA.names if c in df.columns]
     rows = with_month(df) if "month" in by and "month" not in df.columns else df
-    base = summed(daily_sums(rows, [*by, "date"], columns, gc, limits, step_hours), by)
+    base = summed(daily_sums(rows, list(dict.fromkeys([*by, "system_id", "date"])), columns, gc, limits, step_hours), by)
     rte = round_trip_efficiency(rows, by, limits).select(*by, "round_trip_efficiency_pct")
     utility = None if "utility" in by else utility_mode(rows, by)
     return assemble(base, by, rte, utility, len(columns), thd, as_of, "utility" in df.columns, limits)

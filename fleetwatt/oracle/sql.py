@@ -359,11 +359,11 @@ def _health(keys: str, with_keys: str = "") -> str:
     own = f"{keys}," if keys else ""
     group = f"GROUP BY {keys}" if keys else ""
     return f""", swing AS (
-  SELECT {own} date, max(battery_soc_pct) AS hi, min(battery_soc_pct) AS lo,
-    min("timestamp") AS t0, max("timestamp") AS t1 FROM stg GROUP BY {own} date),
+  SELECT {own} system_id AS unit, date, max(battery_soc_pct) AS hi, min(battery_soc_pct) AS lo,
+    min("timestamp") AS t0, max("timestamp") AS t1 FROM stg GROUP BY {own} unit, date),
 service AS (
   SELECT {own} CAST(floor(epoch(max(t1) - min(t0)) / 86400e0) AS INT) AS days_in_service,
-    coalesce(sum((hi - lo) / 100e0), 0e0) AS equivalent_cycles FROM swing {group}),
+    coalesce(sum((hi - lo) / 100e0), 0e0) / count(DISTINCT unit) AS equivalent_cycles FROM swing {group}),
 soh AS (
   SELECT *, 100e0 - (days_in_service / 365e0 * 2e0 + equivalent_cycles / 4000e0 * 10e0) AS soh FROM service),
 health AS (
@@ -441,6 +441,7 @@ SELECT system_id, round(r, 6) AS temp_eff_corr, m AS max_temp_c,
 _THERMAL = """count(*) AS n_readings, round(sum(inverter_temp_c), 6) / count(*) AS mean_temp_c, max(inverter_temp_c) AS max_temp_c,
   round(quantile_cont(inverter_temp_c, 95e-2), 9) AS p95_temp_c FROM stg"""
 ORACLE["d13_thermal_summary"] = _stg(f"SELECT system_id, {_THERMAL} {_BY}")
+ORACLE["d13_thermal_monthly"] = _stg(f"SELECT system_id, month, {_THERMAL} GROUP BY system_id, month")
 ORACLE["d13_thermal_summary_fleet"] = _stg(f"SELECT {_THERMAL}")
 ORACLE["d14_overtemp"] = _stg(
     'SELECT system_id, "timestamp", inverter_temp_c FROM stg WHERE inverter_temp_c > 65e0'

@@ -473,6 +473,15 @@ def d13_thermal_summary(spark, sf_dir):
     return _thermal(spark, sf_dir, ID)
 
 
+@query
+def d13_thermal_monthly(spark, sf_dir):
+    """From daily histograms and one pass over the readings of the bins with the rank."""
+    rows = stored(staged(spark, sf_dir).select("system_id", "date", inverter.TEMP), "staged")
+    histograms = stored(inverter.temperature_histograms(rows), "histograms")
+    heat = inverter.thermal_of_days(histograms, rows)
+    return steady(rounded(heat, "p95_temp_c"), mean_temp_c=F.col("n_readings"))
+
+
 @query
 def d13_thermal_summary_fleet(spark, sf_dir):
     return _thermal(spark, sf_dir, [])
@@ -563,7 +572,9 @@ def e08_dr_status(spark, sf_dir):
 
 
 def _report(spark, sf_dir, by):
-    made = report.monthly_report(staged(spark, sf_dir), ENGINE, by, as_of=AS_OF)
+    """From the state of days, which one pass over the readings gives."""
+    state = stored(daystate.day_state(staged(spark, sf_dir), ENGINE), "state")
+    made = daystate.report_of(state, by, AS_OF)
     return _rounded_report(report.flat(made, by))
 
 
