@@ -104,12 +104,26 @@ def _outside(column: str, low: float, high: float) -> Column:
     return (F.col(column) < low) | (F.col(column) > high)
 
 
-def wide_violations(df: DataFrame, gc: GridCode = JOB) -> DataFrame:
-    """One nullable label per check; rows with at least one label."""
+def _wide_checks(gc: GridCode) -> tuple[Column, Column, Column]:
     voltage = _outside("voltage_v", gc.voltage_min_v, gc.voltage_max_v)
     frequency = _outside("frequency_hz", gc.frequency_min_hz, gc.frequency_max_hz)
-    low_pf = power_factor_low(gc)
-    return df.where(voltage | frequency | low_pf).withColumns(
+    return voltage, frequency, power_factor_low(gc)
+
+
+def beyond_limits(gc: GridCode = JOB) -> Column:
+    """Does the reading break a limit? Plain comparisons of columns, which a Parquet scan can use.
+
+    NaN is above every limit here. On columns of a file that may hold it, this keeps every violation
+    and perhaps more; with NaN as NULL it keeps violations only.
+    """
+    voltage, frequency, low_pf = _wide_checks(gc)
+    return voltage | frequency | low_pf
+
+
+def wide_violations(df: DataFrame, gc: GridCode = JOB) -> DataFrame:
+    """One nullable label per check; rows with at least one label."""
+    voltage, frequency, low_pf = _wide_checks(gc)
+    return df.where(beyond_limits(gc)).withColumns(
         {
             "voltage_violation": F.when(voltage, "VOLTAGE_DEVIATION"),
             "frequency_violation": F.when(frequency, "FREQUENCY_DEVIATION"),
@@ -203,10 +217,9 @@ def violation_rows(df: DataFrame, gc: GridCode = MART, keep: list[str] | None =
     array and filter, so that all of it stays in one generated stage.
     """
     checks = [_voltage_entry(gc), _frequency_entry(gc), _power_factor_entry(gc)]
-    some = F.coalesce(*[kind for kind, _ in checks]).isNotNull()
     kept = [*(keep or []), "system_id", "date", "timestamp"]
     entries = F.inline(F.array(*[entry for _, entry in checks]))
-    return df.where(some).select(*kept, entries).where(F.col("violation_type").isNotNull())
+    return df.where(beyond_limits(gc)).select(*kept, entries).where(F.col("violation_type").isNotNull())
 
 
 def violations(

@@ -10,8 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleetwatt.config import DEFAULT_START, ENGINE, LIMITS, MART, PlantLimits
 from fleetwatt.operators.daystate import battery_of, day_state, fleet_of, report_of
 from fleetwatt.operators.energy import energy_mart
+from fleetwatt.operators.inverter import temperature_histograms
 from fleetwatt.operators.marts import compliance_extract
-from fleetwatt.operators.quality import QualityGateError, assert_gate, expectations, quality_gate
+from fleetwatt.operators.quality import (
+    QualityGateError,
+    assert_gate,
+    expectations,
+    observe_gate,
+    observed_gate,
+    quality_gate,
+)
 from fleetwatt.operators.staging import dedup_latest, stage, stage_sources
 from fleetwatt.operators.violations import critical_count, violations
 from fleetwatt.plans.lineage import stored
@@ -30,6 +38,13 @@ def _days(df: DataFrame, root: str, dates: list[str]) -> DataFrame | None:
     return table.where(F.col("date").isin([date.fromisoformat(d) for d in dates]))
 
 
+def _staged_past_gate(raw: DataFrame, start, as_of, expected: int, limits: PlantLimits) -> tuple[DataFrame, dict]:
+    """One source staged and stored, with the gate's facts taken on the way; a failed gate leaves scratch only."""
+    rows, seen = observe_gate(raw, start, limits)
+    new = stored(stage(rows, start), "new")
+    return new, assert_gate(observed_gate(raw, new, seen.get, as_of, expected, limits))
+
+
 def _gates(raw: dict[str, DataFrame], as_of, expected: int, limits: PlantLimits) -> dict:
     """The first source's record, with the invalid voltages of all sources."""
     records = [assert_gate(quality_gate(df, as_of, expected, limits)) for df in raw.values()]
@@ -69,9 +84,11 @@ def run_day(
     roots = {"telemetry": sources} if isinstance(sources, str) else sources
     step = limits.expected_step_minutes / 60.0 if step_hours is None else step_hours
     raw = {name: read_day(spark, root, day, RAW_SCHEMA) for name, root in roots.items()}
-    gate = _gates(raw, as_of, expected_systems, limits)
-    first = next(iter(raw.values()))
-    new = stored(stage(first, start) if len(raw) == 1 else stage_sources(raw, start), "new")
+    if len(raw) == 1:
+        new, gate = _staged_past_gate(*raw.values(), start, as_of, expected_systems, limits)
+    else:
+        gate = _gates(raw, as_of, expected_systems, limits)
+        new = stored(stage_sources(raw, start), "new")
 
     # A directory holds few dates: its own, and those of late readings.
     dates = [str(r["date"]) for r in new.select("date").distinct().collect()]
@@ -86,6 +103,7 @@ def run_day(
     write_by(energy_mart(today, step, limits), f"{target}/energy", "date")
     write_by(compliance_extract(today, ENGINE, MART), f"{target}/compliance_extract", "date")
 
+    write_by(temperature_histograms(today), f"{target}/temperature_histograms", "date")
     write_by(day_state(today, ENGINE, step, limits), f"{target}/state", "date")
     state = read_state(spark, target)
     dated = lambda df: df.withColumn("dt", F.lit(day).cast("date"))

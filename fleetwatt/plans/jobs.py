@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetwatt.config import JOB, GridCode
 from fleetwatt.operators.quality import QualityGateError, conformance, ingest_stats
-from fleetwatt.operators.violations import violation_count, wide_violations
+from fleetwatt.operators.violations import beyond_limits, violation_count, wide_violations
 from fleetwatt.schema import TELEMETRY_SCHEMA
 from fleetwatt.sources.readings import (
     read_telemetry,
@@ -37,5 +37,6 @@ def run_violations(
     spark: SparkSession, source: str, target: str, gc: GridCode = JOB
 ) -> int:
     """Write the readings that break a limit, and count what was written."""
-    write_violations(wide_violations(read_telemetry(spark, source, None), gc), target)
+    rows = read_telemetry(spark, source, None, only=beyond_limits(gc))
+    write_violations(wide_violations(rows, gc), target)
     return violation_count(spark.read.parquet(target)).first()["violation_count"]

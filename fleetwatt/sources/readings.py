@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from fleetwatt.functions.scalars import null_if_nan
@@ -14,11 +14,16 @@ from fleetwatt.schema import MEASURES, RAW_SCHEMA
 
 
 def read_telemetry(
-    spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA
+    spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA, only: Column | None = None
 ) -> DataFrame:
-    """Scan a telemetry directory. A given schema skips footer inference."""
+    """Scan a telemetry directory. A given schema skips footer inference.
+
+    `only` is a condition on the stored columns. It reaches the scan, which a later condition on a
+    measure does not, since NaN becomes NULL in between; NaN passes `>` and has to be met again later.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return null_if_nan(reader.parquet(path), MEASURES)
+    rows = reader.parquet(path)
+    return null_if_nan(rows if only is None else rows.where(only), MEASURES)
 
 
 def read_day(
