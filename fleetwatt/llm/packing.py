@@ -11,13 +11,13 @@ sequences s to s + b - a at offset o"; Spark ranks the pieces of each length and
 from __future__ import annotations
 
 import bisect
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from fleetwatt.llm.texts import UNIT, WHITE
@@ -29,7 +29,7 @@ END_ID = 2
 CACHED_UNITS = 500_000
 RANKED_TOGETHER = 250_000
 
-_UNEVEN = re.compile(f"[{WHITE}] ")
+_UNEVEN = f"[{WHITE}] "
 
 
 class _UnitIds:
@@ -60,15 +60,44 @@ class _UnitIds:
         coded = self.model.encode_batch_fast([before + u for u in new], add_special_tokens=False) if new else []
         known.update((u, np.array(x.ids, "<u4").tobytes()) for u, x in zip(new, coded))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        even = [None if _UNEVEN.search(t) else t.split(" ") for t in texts]
-        units = [[x[0]] if x else UNIT.findall(t) for t, x in zip(texts, even)]
-        self._learn(self.spaced, {w for x in even if x for w in x[1:]}, " ")
-        self._learn(self.known, {u for x in units for u in x}, "")
-        spaced, known = self.spaced.__getitem__, self.known.__getitem__
-        return [
-            b"".join(map(known, u)) + (b"".join(map(spaced, x[1:])) if x else b"") for u, x in zip(units, even)
-        ]
+    def _coded(self, words: list[str], known: dict[str, bytes], before: str) -> list[bytes]:
+        self._learn(known, set(words), before)
+        return [known[w] for w in words]
+
+    def _even(self, texts: pa.Array) -> Iterator[bytes]:
+        """Texts that are words with single spaces between them: split, numbered and gathered as arrays.
+
+        Python meets each different word of the batch once; the first of a text has no space before it.
+        """
+        words = pc.split_pattern(texts, " ")
+        starts = np.asarray(words.offsets)
+        numbered = words.flatten().dictionary_encode()
+        place = np.array(numbered.indices)
+        firsts = numbered.dictionary.take(pa.array(place[starts[:-1]])).dictionary_encode()
+        place[starts[:-1]] = len(numbered.dictionary) + np.asarray(firsts.indices)
+        coded = self._coded(numbered.dictionary.to_pylist(), self.spaced, " ")
+        coded += self._coded(firsts.dictionary.to_pylist(), self.known, "")
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        first = np.cumsum(sizes) - sizes
+        each = sizes[place]
+        ends = np.cumsum(each)
+        at = np.repeat(first[place] - (ends - each), each) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(coded), "<u4")[at]
+        stop = ends[starts[1:] - 1]
+        return (ids[a:b].tobytes() for a, b in zip([0, *stop[:-1]], stop))
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, little-endian 32-bit; a null text is empty."""
+        texts = texts.fill_null("")
+        uneven = np.array(pc.match_substring_regex(texts, _UNEVEN))
+        found: list[bytes] = [b""] * len(texts)
+        even, odd = np.flatnonzero(~uneven), np.flatnonzero(uneven)
+        if len(even):
+            for i, ids in zip(even, self._even(texts.take(pa.array(even)))):
+                found[i] = ids
+        for i, text in zip(odd, texts.take(pa.array(odd)).to_pylist()):
+            found[i] = b"".join(self._coded(UNIT.findall(text), self.known, ""))
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -104,7 +133,7 @@ def pieces(
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 row, piece, start, length, data = [], [], [], [], []
-                for i, ids in enumerate(model.ids([t or "" for t in part.column(1).to_pylist()])):
+                for i, ids in enumerate(model.ids(part.column(1))):
                     ids += end
                     n = len(ids) // 4
                     cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
