@@ -47,22 +47,3 @@ def test_registered_query(spark):
     assert got.keys() == want.keys() and all(got[i][0] <= want[i][0] for i in want)
     assert sum(g[0] for g in got.values()) >= 0.97 * sum(w[0] for w in want.values())
     assert all(k == (i == c) for i, (_, c, k) in got.items())
-
-
-def test_ids_of_units_are_the_librarys():
-    """Words numbered as arrays give what the library gives for whole texts."""
-    import numpy as np
-    import public_tokenizers
-    import pyarrow as pa
-    from tokenizers import Tokenizer
-
-    from fleetwatt.llm import packing
-
-    whole = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    texts = [None, "", " ", "  ", "a", " a", "a ", "a  b", "a b", "the the the", "x\n y", "x \ny\t z", "x　 y", " a b", "café naïve \U0001f600",
-             "1234 567's don't", "word " * 5000, "z" * 3000 + " " + "q" * 2000, "a\x85 b", "tail\n", "tail \n"]
-    model = packing._UnitIds(packing.VOCABULARY)
-    for batch in (texts, texts[:1], texts[3:4], [t for t in texts if t and "  " not in t], texts[::-1]):
-        got = [np.frombuffer(x, "<u4").tolist() for x in model.ids(pa.array(batch, pa.string()))]
-        assert got == [whole.encode(t or "", add_special_tokens=False).ids for t in batch]
-    assert model.ids(pa.array([], pa.string())) == []
