@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetwatt.functions.scalars import count_rows, ratio, total
 from fleetwatt.functions.wallclock import month_start
 from fleetwatt.operators.compliance import BY_SYSTEM
+from fleetwatt.plans.joins import join_groups
 from fleetwatt.plans.lineage import stored
-from fleetwatt.plans.skew import DEFAULT_SALTS, attach_group, salt_rows
 
 # A power of two, so that the division is exact. Values beyond the outermost bins belong to these.
 WIDTH = 1.0 / 64.0
@@ -72,21 +72,23 @@ def located(histograms: DataFrame, by, share: float) -> DataFrame:
 
 def summary_of_days(
     histograms: DataFrame, df: DataFrame, column: str, by, share: float, names: dict[str, str],
-    width: float = WIDTH, salts: int = DEFAULT_SALTS,
+    width: float = WIDTH,
 ) -> DataFrame:
     """Count, mean, maximum and exact quantile per group, from histograms and the readings they count.
 
     by may hold the keys of the histograms, date and month. names gives the columns for mean, max and
-    quantile. The place of the rank is stored first, so Spark knows its size when it plans the join;
-    of the readings only those in the bins found move, as counts per value. A group without values
-    has a count and NULLs.
+    quantile. The place of the rank is stored first, so Spark knows its size when it plans the join:
+    one row per group and bin found, at most two a group, with no copies, met by the readings of
+    that bin. Those move on as counts per value. A group without values has a count and NULLs.
     """
     by = list(by)
     place = stored(located(histograms, by, share), "located")
     rows = _months(df, by).select(*by, F.col(column).alias("_value"), bin_of(column, width).alias("_bin"))
-    wanted = place.select(*by, "first_bin", "last_bin")
-    inside = attach_group(salt_rows(rows.where("_bin IS NOT NULL"), ["_value"], salts), wanted, by, salts)
-    counts = inside.where(F.col("_bin").between(F.col("first_bin"), F.col("last_bin"))).groupBy(*by, "_value").agg(count_rows().alias("_n"))
+    # The bins between the two hold no values.
+    ends = F.array_distinct(F.array("first_bin", "last_bin"))
+    wanted = place.where("first_bin IS NOT NULL").select(*by, F.explode(ends).alias("_bin"))
+    inside = join_groups(rows.where("_bin IS NOT NULL"), wanted, [*by, "_bin"], "inner")
+    counts = inside.groupBy(*by, "_value").agg(count_rows().alias("_n"))
     # One more row per group carries what is known already.
     known = place.select(*by, F.lit(None).cast("double").alias("_value"), F.lit(0).cast("bigint").alias("_n"), F.struct("n_readings", "mean", "max", "rank", "before").alias("_known"))
     both = counts.withColumn("_known", F.lit(None).cast(known.schema["_known"].dataType)).unionByName(known)

@@ -63,6 +63,16 @@ def test_at_most_four_exchanges_and_bins_only(spark, staged_rows):
     assert plan_of(inverter.temperature_histograms(staged_rows)).count("Exchange") == 1
 
 
+def test_groups_meet_their_bins_without_copies(spark, staged_rows):
+    """A table of many groups must not grow on its way into the join: Spark sizes it by its files."""
+    state = stored(inverter.temperature_histograms(staged_rows), "histograms")
+    groups = state.select("system_id", F.trunc("date", "month")).distinct().count()
+    last = inverter.thermal_of_days(state, staged_rows)
+    assert last.count() == groups
+    assert "_salt" not in plan_of(last)
+    assert "array_distinct(array(first_bin" in plan_of(last)
+
+
 @pytest.mark.parametrize("by", [["utility"], []])
 def test_a_groups_cycles_are_those_of_a_system(spark, staged_rows, by):
     """The swing between two systems' charges is no cycle of either battery."""
