@@ -95,10 +95,8 @@ def run_day(
     before = _days(new, f"{target}/staging", dates)
     merged = new if before is None else stored(dedup_latest(before.select(new.columns).unionByName(new)), "merged")
     write_by(merged, f"{target}/staging", "date")
-    if dates:
-        today = _days(new, f"{target}/staging", dates)
-    else:
-        today = new
+    # The same rows as those partitions, in few files: a table by date has at least one file per date.
+    today = merged
     write_by(violations(today, MART, as_of), f"{target}/violations", "date")
     write_by(energy_mart(today, step, limits), f"{target}/energy", "date")
     write_by(compliance_extract(today, ENGINE, MART), f"{target}/compliance_extract", "date")

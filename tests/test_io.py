@@ -16,7 +16,7 @@ from fleetwatt.operators.battery import round_trip_efficiency, state_of_health
 from fleetwatt.operators.energy import energy_mart
 from fleetwatt.operators.marts import soh_fleet
 from fleetwatt.operators.staging import stage
-from fleetwatt.plans import lineage
+from fleetwatt.plans import daily, lineage
 from fleetwatt.plans.daily import read_state, run_day, run_days
 from fleetwatt.plans.jobs import run_ingest, run_violations
 from fleetwatt.plans.lineage import scratch_path, shared_dir
@@ -208,6 +208,22 @@ def test_a_day_reads_its_own_dates_only(spark, tmp_path):
     assert fleet(daystate.fleet_of(state)) == fleet(soh_fleet(whole))
 
 
+def test_marts_do_not_read_the_partitions_again(spark, tmp_path, monkeypatch):
+    """The staged dates are read once, to merge with; what follows takes the merged rows."""
+    source, target, seen, reads = str(tmp_path / "raw"), str(tmp_path / "out"), [], []
+    rows = _raw_days(spark)
+    readings.write_by(rows, source, "dt")
+    days, marts = daily._days, daily.compliance_extract
+    monkeypatch.setattr(daily, "_days", lambda *a: reads.append(a) or days(*a))
+    monkeypatch.setattr(daily, "compliance_extract", lambda df, *a: seen.append(df) or marts(df, *a))
+    for day in (1, 2):
+        run_day(spark, source, target, f"2024-03-0{day}", datetime(2024, 3, day + 1), 15, step_hours=1.0)
+    staged = spark.read.parquet(f"{target}/staging")
+    assert len(reads) == 2
+    assert not any(target in name for name in seen[1].inputFiles())
+    assert sorted(map(str, staged.select(seen[1].columns).collect())) == sorted(map(str, seen[1].collect()))
+
+
 @pytest.mark.parametrize("by", [["system_id", "month"], ["utility", "month"], ["system_id"], ["utility"]])
 def test_reports_of_the_state_equal_those_of_the_readings(spark, staged_rows, by):
     state = lineage.stored(daystate.day_state(staged_rows), "state")
