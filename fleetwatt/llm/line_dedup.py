@@ -113,12 +113,16 @@ def _near(percent: int) -> Column:
     return lengths & (after * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """x: those of pairs (x, y) of set numbers whose words are similar to those of y. Eager."""
+def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of pairs (x, y) of set numbers whose signatures differ little. Eager."""
     pairs = pairs.select(F.col("x").alias("_x"), F.col("y").alias("_y"))
     marks = sets.select("id", "n", "bits", "more_bits")
     marked = pairs.join(marks.alias("x"), F.col("_x") == F.col("x.id")).join(marks.alias("y"), F.col("_y") == F.col("y.id"))
-    close = stored(marked.where(_alike(percent)).select(F.col("_x").alias("x"), F.col("_y").alias("y")), "close")
+    return stored(marked.where(_alike(percent)).select(F.col("_x").alias("x"), F.col("_y").alias("y")), "close")
+
+
+def _similar(close: DataFrame, sets: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """x: those of the stored pairs (x, y) of set numbers whose words are similar to those of y. Eager; deletes close."""
     wanted = close.select(F.explode(F.array("x", "y")).alias("id")).distinct().join(sets.select("id", *LINE), "id")
     spots = wanted.groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(F.collect_list(F.struct("pos", "id")).alias("spots"))
     texts = docs.select(*_row(doc_id, text), F.split(F.col(text), "\n").alias("lines"))
@@ -172,17 +176,23 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
         .groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y"))
     )
     best = stored(best, "best")
-    gone = _similar(best, sets, docs, doc_id, text, percent)
+    close = _close(best, sets, percent)
     forget(best)
-
-    # What is left meets every earlier set that shares a prefix word.
-    marked = sets.select("id", "n", "bits", "more_bits", F.posexplode("prefix").alias("place", "w"))
-    left = marked.join(gone.withColumnRenamed("x", "id"), "id", "left_anti")
-    may = (F.col("y.id") < F.col("x.id")) & _near(percent) & _alike(percent)
-    pairs = left.alias("x").join(marked.alias("y"), (F.col("x.w") == F.col("y.w")) & may)
-    pairs = stored(pairs.select(F.col("x.id").alias("x"), F.col("y.id").alias("y")).distinct(), "pairs")
+    gone = _similar(close, sets, docs, doc_id, text, percent)
+
+    # What is left meets every earlier set that shares a prefix word. Sets that go are met and meet
+    # none: their number is stored as its complement, which no number is below. So the prefix words
+    # move once, for both sides of the join, and whether a set goes is looked up before they are exploded.
+    going = gone.select(F.col("x").alias("_gone"))
+    # A number is never NULL; Spark must see it, or it filters one side and the sides differ.
+    mark = F.coalesce(F.when(F.col("_gone").isNull(), F.col("id")).otherwise(F.bitwise_not("id")), F.lit(-1))
+    marked = sets.join(going, F.col("id") == F.col("_gone"), "left").withColumn("mark", mark)
+    marked = marked.select("mark", "n", "bits", "more_bits", F.posexplode("prefix").alias("place", "w"))
+    number = F.greatest(F.col("y.mark"), F.bitwise_not("y.mark"))
+    may = (number < F.col("x.mark")) & _near(percent) & _alike(percent)
+    pairs = marked.alias("x").join(marked.alias("y"), (F.col("x.w") == F.col("y.w")) & may)
+    pairs = stored(pairs.select(F.col("x.mark").alias("x"), number.alias("y")).distinct(), "pairs")
     more = _similar(pairs, sets, docs, doc_id, text, percent)
-    forget(pairs)
 
     # Repeated lines other than the first, and first lines of sets that go.
     firsts = sets.join(gone.unionByName(more).withColumnRenamed("x", "id"), "id", "left_semi").select(LINE)

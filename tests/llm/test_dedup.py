@@ -70,6 +70,30 @@ def test_dedup_lines(spark):
     assert sum(w[1] for w in want.values()) > 20
 
 
+def test_prefix_words_move_once_for_both_sides(spark, monkeypatch):
+    """The second join shares one exchange, and sets that go are left out of one side only."""
+    rows, plans, before = [r for r in corpus() if r[0] is not None], [], line_dedup.stored
+
+    def seen(df, label):
+        if label == "pairs":
+            assert df.count() == len(df.distinct().collect())
+            ran = df.select("x", "y")
+            ran.collect()
+            plans.append(ran._jdf.queryExecution().executedPlan().toString())
+            assert not {r.x for r in ran.collect()} & gone
+        table = before(df, label)
+        if label == "similar" and not plans:
+            gone.update(r.x for r in table.collect())
+        return table
+
+    gone: set[int] = set()
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    out = line_dedup.dedup_lines(clashing(spark, rows).repartition(3)).collect()
+    want = brute.dedup_lines(rows)
+    assert all((r.n_lines, r.n_removed, r.text) == want[r.doc_id] for r in out)
+    assert gone and len(plans) == 1 and "ReusedExchange" in plans[0]
+
+
 def test_dedup_lines_without_id_comes_last(spark):
     line = "some words that are the same in both"
     out = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, [(None, line, None, None, 1), (9, line + "\nmore", None, None, 1)])).collect()}
