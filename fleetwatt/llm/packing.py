@@ -27,16 +27,23 @@ VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 2
 CACHED_UNITS = 500_000
+CACHED_STEMS = 500_000
+JOINED_STEMS = 1024
 RANKED_TOGETHER = 250_000
 
 _UNEVEN = re.compile(f"[{WHITE}] ")
+# ASCII marks but the apostrophe. The library always splits between a letter and those.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LAST_LETTER = "\u024f"  # up to here every version of Unicode has the same letters
 
 
 class _UnitIds:
     """Ids of texts by the tokenizers library, which is asked once for each new unit.
 
     A unit is a word with the white space before it. The library splits there too, so the ids of
-    a text are those of its units one after the other.
+    a text are those of its units one after the other. Most units are letters and then marks; their
+    letters, the stem, are kept longer, since few stems come with many marks. New stems are encoded as
+    one text: only the first token of a word holds its space.
     """
 
     def __init__(self, name: str):
@@ -51,19 +58,57 @@ class _UnitIds:
         self.model.no_padding()
         self.spaced: dict[str, bytes] = {}  # by the word after a single space
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}  # after a single space
+        space = self.model.encode(" ", add_special_tokens=False).tokens[0]
+        self.opens = np.zeros(self.model.get_vocab_size(), bool)
+        self.opens[[i for t, i in self.model.get_vocab().items() if t.startswith(space)]] = True
 
     def _learn(self, known: dict[str, bytes], units: set[str], before: str) -> None:
         new = list(units.difference(known))
         if len(known) + len(new) > CACHED_UNITS:
             known.clear()
             new = list(units)
+        self._encode(known, new, before)
+
+    def _encode(self, known: dict[str, bytes], new: list[str], before: str) -> None:
         coded = self.model.encode_batch_fast([before + u for u in new], add_special_tokens=False) if new else []
         known.update((u, np.array(x.ids, "<u4").tobytes()) for u, x in zip(new, coded))
 
+    def _learn_stems(self, stems: set[str]) -> None:
+        new = list(stems.difference(self.stems))
+        if len(self.stems) + len(new) > CACHED_STEMS:
+            self.stems.clear()
+            new = list(stems)
+        for at in range(0, len(new), JOINED_STEMS):
+            part = new[at : at + JOINED_STEMS]
+            ids = np.array(self.model.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)]
+            if len(cuts) != len(part) + 1:  # a vocabulary of another kind: its words are asked for one by one
+                continue
+            data = ids.tobytes()
+            self.stems.update((w, data[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
+
+    def _learn_spaced(self, units: set[str]) -> None:
+        new = units.difference(self.spaced)
+        if len(self.spaced) + len(new) > CACHED_UNITS:
+            self.spaced.clear()
+            new = units
+        stems, other = [u.rstrip(MARKS) for u in new], []
+        self._learn_stems({x for x in stems if _is_stem(x)})
+        self._learn(self.known, {u[len(x) :] for u, x in zip(new, stems)}, "")
+        known, of = self.known, self.stems.get
+        for u, x in zip(new, stems):
+            ids = of(x)
+            if ids is None:
+                other.append(u)
+            else:
+                self.spaced[u] = ids if len(u) == len(x) else ids + known[u[len(x) :]]
+        self._encode(self.spaced, other, " ")
+
     def ids(self, texts: list[str]) -> list[bytes]:
         even = [None if _UNEVEN.search(t) else t.split(" ") for t in texts]
         units = [[x[0]] if x else UNIT.findall(t) for t, x in zip(texts, even)]
-        self._learn(self.spaced, {w for x in even if x for w in x[1:]}, " ")
+        self._learn_spaced({w for x in even if x for w in x[1:]})
         self._learn(self.known, {u for x in units for u in x}, "")
         spaced, known = self.spaced.__getitem__, self.known.__getitem__
         return [
@@ -71,6 +116,10 @@ class _UnitIds:
         ]
 
 
+def _is_stem(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or max(word) <= LAST_LETTER)
+
+
 @lru_cache(maxsize=2)
 def _unit_ids(name: str) -> _UnitIds:
     return _UnitIds(name)

@@ -118,6 +118,30 @@ def gapless(rows, capacity):
         assert end <= capacity
 
 
+@pytest.mark.parametrize("cached", [500_000, 7])
+def test_a_word_with_other_marks_is_not_encoded_again(cached, monkeypatch):
+    """Words are encoded without their marks, many in one call; ids stay those of whole texts."""
+    monkeypatch.setattr(packing, "CACHED_UNITS", cached)
+    monkeypatch.setattr(packing, "CACHED_STEMS", cached, raising=False)
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("theanoré") for _ in range(1 + i % 9)) for i in range(40)]
+    odd = ["a<|endoftext|>", "don't", "x's,", "a²,", "三,", "ÿ×", "9.", "_", "a_b.", "''", "e\u0301."]
+    texts = [" ".join(w + m for w in [*words, *odd]) for m in ["", ",", ".", "$$$", "***", "&&&", "%%%", ".)", "'", "'s"]]
+    model = packing._UnitIds("byte_bpe_50k.json")
+    asked, real = [], model.model
+
+    class Counted:
+        def encode_batch_fast(self, batch, **options):
+            asked.extend(batch)
+            return real.encode_batch_fast(batch, **options)
+
+    model.model = Counted()
+    for text in [*texts, *texts]:
+        assert np.frombuffer(model.ids([text])[0], "<u4").tolist() == ids_of(text)
+    if cached > 7:
+        assert len(asked) < 300 and sum(x.count(" ") for x in asked) < 400
+
+
 def test_packing_of_no_rows(spark):
     assert packing.packed_documents(frame(spark, [])).count() == 0
 
