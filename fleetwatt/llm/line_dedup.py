@@ -2,10 +2,11 @@
 
 A line is the set of its words. Words are ordered by rarity: the commonest ones of the corpus are
 counted and come last, by the logarithm of their count; all others come first, longer ones before
-shorter ones. Two sets with a Jaccard similarity of p % share a word in the first
-n - ceil(p n / 100) + 1 words of this order. Pairs that meet there must also have fitting lengths, and
-enough words behind the shared one (the positional filter). Of those, pairs whose 128-bit signatures
-differ little have all their words compared, as numbers made of a length and 52 bits of a hash.
+shorter ones. Two sets with a Jaccard similarity of p % share k words in the first
+n - ceil(p n / 100) + k words of this order; k grows with n. Pairs that meet there must have fitting
+lengths, enough words behind the shared one (the positional filter) and 64-bit signatures that differ
+little, and they must meet at k words. Of those, all words are compared, as numbers made of a length
+and 52 bits of a hash.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from fleetwatt.llm.steps import forget, stored
 PERCENT = 80
 #: Words whose count is known; a fixed number.
 COMMON = 2000
+#: Sets of so many words must share one more word of their prefixes; at most SHARED.
+SHARE_WORDS = 24
+SHARED = 8
 HASH_BITS = 52
 #: A line is known by its row's id, a hash of its row's text, and its position there.
 ROW = ["doc", "h"]
@@ -70,18 +74,20 @@ def _least_overlap(n: Column, percent: int) -> Column:
     return F.floor((percent * n + 99) / 100).cast("int")
 
 
-def _signature(words: str) -> list[Column]:
-    """128 bits, those of the words set."""
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))
-    half = lambda which: F.filter(words, lambda w: w.bitwiseAND(F.lit(64)) == which)
-    both = lambda which: F.aggregate(half(which), F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(bit(w)))
-    return [both(0).alias("bits"), both(64).alias("more_bits")]
+def _shared(n: Column) -> Column:
+    """How many words of their prefixes two similar sets share, the smaller one of n words."""
+    return F.least(F.lit(SHARED), 1 + F.floor(n / SHARE_WORDS)).cast("int")
+
+
+def _signature(words: str) -> Column:
+    """64 bits, those of the words set: a shift takes the last six bits of its number."""
+    return F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _alike(percent: int) -> Column:
     """Whether sets x and y may be similar by the bits that differ: each is a word of one set only."""
     total = F.col("x.n") + F.col("y.n")
-    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) + F.bit_count(F.col("x.more_bits").bitwiseXOR(F.col("y.more_bits")))
+    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
     return (total - differ) * (100 + percent) >= 2 * percent * total
 
 
@@ -97,26 +103,33 @@ def _prefixes(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[in
         F.xxhash64("words").alias("a"),
         F.xxhash64(F.lit(1), F.col("words")).alias("b"),
         n.alias("n"),
-        *_signature("words"),
-        F.slice("words", F.lit(1), n - _least_overlap(n, percent) + 1).alias("prefix"),
+        _signature("words").alias("bits"),
+        F.slice("words", F.lit(1), n - _least_overlap(n, percent) + F.least(_shared(n), _least_overlap(n, percent))).alias("prefix"),
     )
 
 
 def _near(percent: int) -> Column:
     """Whether sets x and y that share the word at these places may be similar.
 
-    By their lengths, and by the words that can follow the shared one in both. The first word that two
-    similar sets share passes, so each such pair is found; a later one need not.
+    By their lengths, and by the words that can follow the shared one in both. The first words that two
+    similar sets share pass, as many as they must share; a later one need not.
     """
     lengths = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
     after = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    return lengths & (after * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))
+    before = _needed(percent) - 1
+    return lengths & ((after + before) * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))
+
+
+def _needed(percent: int) -> Column:
+    """How many words of their prefixes sets x and y share, if they are similar."""
+    least = F.least(F.col("x.n"), F.col("y.n"))
+    return F.least(_shared(least), _least_overlap(least, percent))
 
 
 def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of pairs (x, y) of set numbers whose signatures differ little. Eager."""
     pairs = pairs.select(F.col("x").alias("_x"), F.col("y").alias("_y"))
-    marks = sets.select("id", "n", "bits", "more_bits")
+    marks = sets.select("id", "n", "bits")
     marked = pairs.join(marks.alias("x"), F.col("_x") == F.col("x.id")).join(marks.alias("y"), F.col("_y") == F.col("y.id"))
     return stored(marked.where(_alike(percent)).select(F.col("_x").alias("x"), F.col("_y").alias("y")), "close")
 
@@ -125,8 +138,9 @@ def _similar(close: DataFrame, sets: DataFrame, docs: DataFrame, doc_id: str, te
     """x: those of the stored pairs (x, y) of set numbers whose words are similar to those of y. Eager; deletes close."""
     wanted = close.select(F.explode(F.array("x", "y")).alias("id")).distinct().join(sets.select("id", *LINE), "id")
     spots = wanted.groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(F.collect_list(F.struct("pos", "id")).alias("spots"))
-    texts = docs.select(*_row(doc_id, text), F.split(F.col(text), "\n").alias("lines"))
-    at = texts.join(spots, (F.col("doc") == F.col("_doc")) & (F.col("h") == F.col("_h"))).select("lines", F.inline("spots"))
+    texts = docs.select(*_row(doc_id, text), F.col(text).alias("_text"))
+    at = texts.join(spots, (F.col("doc") == F.col("_doc")) & (F.col("h") == F.col("_h")))
+    at = at.select(F.split("_text", "\n").alias("lines"), F.inline("spots"))
     words = stored(at.select("id", _word_keys(F.get(F.col("lines"), F.col("pos"))).alias("words")), "words")
     both = F.size(F.array_intersect("words", "words2"))
     near = close.join(words.withColumnRenamed("id", "x"), "x").join(words.select(F.col("id").alias("y"), F.col("words").alias("words2")), "y")
@@ -155,7 +169,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     lines = stored(_prefixes(docs, doc_id, text, levels, percent), "lines")
 
     # Each distinct set once, by its first line, with a number in the order of the first lines.
-    first = F.min(F.struct(*LINE, "n", "bits", "more_bits", "prefix")).alias("first")
+    first = F.min(F.struct(*LINE, "n", "bits", "prefix")).alias("first")
     distinct = lines.groupBy("a", "b").agg(first, F.count("*").alias("copies")).select("a", "b", "copies", "first.*")
     sets = stored(distinct.orderBy(*LINE).withColumn("id", F.monotonically_increasing_id()), "sets")
     copied = sets.where("copies > 1").select("a", "b", *[F.col(c).alias(f"{c}1") for c in LINE])
@@ -164,7 +178,8 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     forget(lines)
 
     # Each set is first compared with the earliest set that it shares most prefix words with: one
-    # similar set before it is enough, so most copies end here.
+    # similar set before it is enough, so most copies end here. Those that share too few are not
+    # compared; whatever that misses is met below.
     met = sets.select("id", "n", F.posexplode("prefix").alias("place", "w"))
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
     earliest = Window.partitionBy("w", band).orderBy("id")
@@ -172,8 +187,8 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     asked = met.repartition("w").select(entry.alias("x"), F.first(entry).over(earliest).alias("y"))
     best = (
         asked.where((F.col("x.id") > F.col("y.id")) & _near(percent))
-        .groupBy(F.col("x.id").alias("x"), F.col("y.id").alias("y")).count()
-        .groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y"))
+        .groupBy(F.col("x.id").alias("x"), F.col("y.id").alias("y")).agg(F.count("*").alias("count"), F.first(_needed(percent)).alias("needed"))
+        .where("count >= needed").groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y"))
     )
     best = stored(best, "best")
     close = _close(best, sets, percent)
@@ -187,11 +202,13 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     # A number is never NULL; Spark must see it, or it filters one side and the sides differ.
     mark = F.coalesce(F.when(F.col("_gone").isNull(), F.col("id")).otherwise(F.bitwise_not("id")), F.lit(-1))
     marked = sets.join(going, F.col("id") == F.col("_gone"), "left").withColumn("mark", mark)
-    marked = marked.select("mark", "n", "bits", "more_bits", F.posexplode("prefix").alias("place", "w"))
+    marked = marked.select("mark", "n", "bits", F.posexplode("prefix").alias("place", "w"))
     number = F.greatest(F.col("y.mark"), F.bitwise_not("y.mark"))
     may = (number < F.col("x.mark")) & _near(percent) & _alike(percent)
     pairs = marked.alias("x").join(marked.alias("y"), (F.col("x.w") == F.col("y.w")) & may)
-    pairs = stored(pairs.select(F.col("x.mark").alias("x"), number.alias("y")).distinct(), "pairs")
+    met = pairs.select(F.col("x.mark").alias("x"), number.alias("y"), _needed(percent).alias("needed"))
+    met = met.groupBy("x", "y").agg(F.count("*").alias("met"), F.first("needed").alias("needed")).where("met >= needed")
+    pairs = stored(met.select("x", "y"), "pairs")
     more = _similar(pairs, sets, docs, doc_id, text, percent)
 
     # Repeated lines other than the first, and first lines of sets that go.

@@ -94,6 +94,29 @@ def test_prefix_words_move_once_for_both_sides(spark, monkeypatch):
     assert gone and len(plans) == 1 and "ReusedExchange" in plans[0]
 
 
+def test_long_lines_with_few_rare_words_in_common_are_not_compared(spark, monkeypatch):
+    """Long similar lines share several words of their prefixes; lines that share one are no pair."""
+    rnd, before, made = random.Random(6), line_dedup.stored, {}
+    usual = [f"u{i}" for i in range(300)]
+    own = [[f"longer{i}x{k}" for k in range(500)] for i in range(20)]
+    lines = [[*usual, *own[i], f"rareandverylongword{i // 2}"] for i in range(20)]
+    lines += [[w for w in lines[i] if rnd.random() > 0.08] for i in range(0, 20, 5)]
+    rows = [(i, " ".join(rnd.sample(x, len(x))), None, None, None) for i, x in enumerate(lines)]
+
+    def counted(df, label):
+        table = before(df, label)
+        if label == "pairs":
+            made[label] = table.count()
+        return table
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    want = brute.dedup_lines(rows)
+    out = line_dedup.dedup_lines(frame(spark, rows)).collect()
+    assert all((r.n_lines, r.n_removed, r.text) == want[r.doc_id] for r in out)
+    assert sum(w[1] for w in want.values()) == 4
+    assert made["pairs"] <= 4  # the similar ones
+
+
 def test_dedup_lines_without_id_comes_last(spark):
     line = "some words that are the same in both"
     out = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, [(None, line, None, None, 1), (9, line + "\nmore", None, None, 1)])).collect()}
