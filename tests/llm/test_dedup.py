@@ -99,7 +99,7 @@ def test_long_lines_with_few_rare_words_in_common_are_not_compared(spark, monkey
     rnd, before, made = random.Random(6), line_dedup.stored, {}
     usual = [f"u{i}" for i in range(300)]
     own = [[f"longer{i}x{k}" for k in range(500)] for i in range(20)]
-    lines = [[*usual, *own[i], f"rareandverylongword{i // 2}"] for i in range(20)]
+    lines = [[*usual, *own[i], *own[i], f"rareandverylongword{i // 2}"] for i in range(20)]
     lines += [[w for w in lines[i] if rnd.random() > 0.08] for i in range(0, 20, 5)]
     rows = [(i, " ".join(rnd.sample(x, len(x))), None, None, None) for i, x in enumerate(lines)]
 
