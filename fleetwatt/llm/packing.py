@@ -105,6 +105,12 @@ class _UnitIds:
                 self.spaced[u] = ids if len(u) == len(x) else ids + known[u[len(x) :]]
         self._encode(self.spaced, other, " ")
 
+    def forget(self) -> None:
+        """The next task learns its own words; a worker that waits for one holds none."""
+        for known in (self.spaced, self.known, self.stems):
+            known.clear()
+        pa.default_memory_pool().release_unused()
+
     def ids(self, texts: list[str]) -> list[bytes]:
         even = [None if _UNEVEN.search(t) else t.split(" ") for t in texts]
         units = [[x[0]] if x else UNIT.findall(t) for t, x in zip(texts, even)]
@@ -149,30 +155,33 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _unit_ids(vocabulary)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                row, piece, start, length, data = [], [], [], [], []
-                for i, ids in enumerate(model.ids([t or "" for t in part.column(1).to_pylist()])):
-                    ids += end
-                    n = len(ids) // 4
-                    cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
-                    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        row.append(i)
-                        piece.append(k)
-                        start.append(a)
-                        length.append(b - a)
-                        data.append(ids[4 * a : 4 * b])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(row, pa.int64())),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        pa.array(data, pa.binary()),
-                    ],
-                    names=schema.names,
-                )
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
+                    row, piece, start, length, data = [], [], [], [], []
+                    for i, ids in enumerate(model.ids([t or "" for t in part.column(1).to_pylist()])):
+                        ids += end
+                        n = len(ids) // 4
+                        cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
+                        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                            row.append(i)
+                            piece.append(k)
+                            start.append(a)
+                            length.append(b - a)
+                            data.append(ids[4 * a : 4 * b])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column(0).take(pa.array(row, pa.int64())),
+                            pa.array(piece, pa.int32()),
+                            pa.array(start, pa.int64()),
+                            pa.array(length, pa.int64()),
+                            pa.array(data, pa.binary()),
+                        ],
+                        names=schema.names,
+                    )
+        finally:
+            model.forget()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 

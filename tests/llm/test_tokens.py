@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -191,3 +192,18 @@ def test_queries(spark):
     assert sorted(tuple(r)[:5] for r in packed) == sorted(brute_pieces(docs.items()))
     gapless(packed, 1024)
     assert QUERIES["op10_token_counts"](spark, SF_DIR).count() == len(docs)
+
+
+def test_workers_keep_no_words_of_a_finished_task(spark):
+    """Idle workers live on into the next stage, whose executor must not hold their words too."""
+    docs = frame(spark).repartition(4)
+    assert packing.pieces(docs).count() > 0
+
+    def held(batches):
+        from fleetwatt.llm import packing as here
+
+        model = here._unit_ids(here.VOCABULARY)
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(model.spaced) + len(model.known) + len(model.stems)] * batch.num_rows, pa.int64())})
+
+    assert spark.range(0, 8, 1, 4).mapInArrow(held, "n bigint").agg({"n": "max"}).first()[0] == 0
