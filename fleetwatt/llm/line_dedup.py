@@ -70,22 +70,30 @@ def _ordered(keys: Column, levels: dict[int, list[int]]) -> Column:
     return F.sort_array(F.transform(keys, lambda k: F.shiftleft(level(k), HASH_BITS + 5).bitwiseOR(k)))
 
 
+def _div(n: Column, by: int) -> Column:
+    """Whole numbers only: pairs are tested by the million."""
+    return F.call_function("div", n, F.lit(by))
+
+
 def _least_overlap(n: Column, percent: int) -> Column:
-    return F.floor((percent * n + 99) / 100).cast("int")
+    return _div(percent * n + 99, 100).cast("int")
 
 
 def _shared(n: Column) -> Column:
     """How many words of their prefixes two similar sets share, the smaller one of n words."""
-    return F.least(F.lit(SHARED), 1 + F.floor(n / SHARE_WORDS)).cast("int")
+    return F.least(F.lit(SHARED), 1 + _div(n, SHARE_WORDS)).cast("int")
 
 
 def _signature(words: str) -> Column:
-    """64 bits, those of the words set: a shift takes the last six bits of its number."""
-    return F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))))
+    """64 bits, each whether an odd number of words has it: a shift takes the last six bits of its number."""
+    return F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), w.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _alike(percent: int) -> Column:
-    """Whether sets x and y may be similar by the bits that differ: each is a word of one set only."""
+    """Whether sets x and y may be similar by the bits that differ: each is a word of one set only.
+
+    Parities tell long sets apart, too, whose words would set nearly all bits of a union.
+    """
     total = F.col("x.n") + F.col("y.n")
     differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
     return (total - differ) * (100 + percent) >= 2 * percent * total
@@ -204,7 +212,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     marked = sets.join(going, F.col("id") == F.col("_gone"), "left").withColumn("mark", mark)
     marked = marked.select("mark", "n", "bits", F.posexplode("prefix").alias("place", "w"))
     number = F.greatest(F.col("y.mark"), F.bitwise_not("y.mark"))
-    may = (number < F.col("x.mark")) & _near(percent) & _alike(percent)
+    may = (number < F.col("x.mark")) & _alike(percent) & _near(percent)
     pairs = marked.alias("x").join(marked.alias("y"), (F.col("x.w") == F.col("y.w")) & may)
     met = pairs.select(F.col("x.mark").alias("x"), number.alias("y"), _needed(percent).alias("needed"))
     met = met.groupBy("x", "y").agg(F.count("*").alias("met"), F.first("needed").alias("needed")).where("met >= needed")

@@ -7,11 +7,21 @@ from pyspark.sql import DataFrame
 from fleetwatt.plans import lineage
 
 
+#: Whether Spark deletes the shuffle files of a query when the query ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once and read back. Shuffle files of what was run to make the table are deleted once
-    the driver has collected its garbage, which is asked for here rather than left to chance."""
-    table = lineage.stored(df, label)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    """Write once and read back. Shuffle files of what was run to make the table are deleted when it is
+    written: the driver's garbage goes one query later at the earliest. The session's setting is put back."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        table = lineage.stored(df, label)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    spark.sparkContext._jvm.System.gc()
     return table
 
 

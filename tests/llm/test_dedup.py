@@ -217,3 +217,22 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, SF_DIR)
     assert none.count() == 0
+
+
+def test_shuffle_files_go_with_the_query_that_made_them(spark, monkeypatch):
+    from fleetwatt.llm import steps
+
+    before, during, write = spark.conf.get(steps.CLEAN_UP), [], steps.lineage.stored
+    monkeypatch.setattr(steps.lineage, "stored", lambda df, label: (during.append(spark.conf.get(steps.CLEAN_UP)), write(df, label))[1])
+    assert steps.stored(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "counts").count() == 7
+    assert during == ["true"] and spark.conf.get(steps.CLEAN_UP) == before
+
+
+def test_signatures_tell_long_sets_apart(spark):
+    """Sets of 120 words set nearly all of 64 bits, but not evenly often."""
+    sets = [[hash((i, k)) & (1 << 50) - 1 for k in range(120)] for i in range(12)]
+    rows = spark.createDataFrame(list(enumerate(sets)), "id int, words array<bigint>").select("id", F.size("words").alias("n"), line_dedup._signature("words").alias("bits"))
+    pairs = rows.alias("x").join(rows.alias("y"), F.col("x.id") < F.col("y.id"))
+    assert pairs.where(line_dedup._alike(80)).count() <= pairs.count() // 3
+    near = spark.createDataFrame([(0, sets[0]), (1, sets[0][:108])], "id int, words array<bigint>").select("id", F.size("words").alias("n"), line_dedup._signature("words").alias("bits"))
+    assert near.alias("x").join(near.alias("y"), F.col("x.id") < F.col("y.id")).where(line_dedup._alike(80)).count() == 1
