@@ -4,9 +4,10 @@ Each document is its set of word n-grams (64-bit hashes). Documents with equal s
 global order puts n-grams of rarely hit counters first; two sets that link share SHARED n-grams in
 their prefixes of that order, which are SHARED - 1 longer than those that share one. First every set is compared with one likely partner, the first set
 of some shared prefix n-gram; what links forms groups. Then the matrix (n-gram, group) holds the
-n-grams of each group's members, and a set meets a group of another component only if its overlap
-with the group's union allows the similarity. Only such groups are opened, and only for members
-that share a prefix n-gram. Sets of one component are never compared again.
+prefix n-grams of each group's members, and a set meets a group of another component if they share
+as many. Members of such groups are compared by sketches first: a sketch has the parities of the
+counts of n-grams in its cells, so no more bits differ than there are n-grams that only one set has.
+Sets of one component are never compared again.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetwatt.llm.components import components
 from fleetwatt.llm.steps import stored
@@ -28,6 +29,9 @@ PERCENT = 90
 CELL_BITS = 18
 #: N-grams that the prefixes of two sets that link share, if the sets have so many.
 SHARED = 8
+#: 64-bit words of the sketch of a set of up to SKETCHED n-grams; twice as many for each doubling of it.
+SKETCH_WORDS = 8
+SKETCHED = 1024
 CACHED_WORDS = 400_000
 #: Sets that are compared with one other set in the same task.
 MEMBERS = 1000
@@ -65,13 +69,40 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(_mix(out))
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the n-grams falls in each cell, as 64-bit words."""
+    bits = 64 * SKETCH_WORDS
+    while bits * SKETCHED < len(grams) * 64 * SKETCH_WORDS:
+        bits *= 2
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
+def _differ(a: Column, b: Column) -> Column:
+    """Bits that differ between two sketches, one of which may be twice as long; 0 for other lengths."""
+    xor = lambda x, y: x.bitwiseXOR(y)
+
+    def fold(x: Column, other: Column) -> Column:
+        half = F.call_function("div", F.size(x), F.lit(2)).cast("int")
+        return F.when(F.size(x) > F.size(other), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), xor)).otherwise(x)
+
+    x, y = fold(a, b), fold(b, a)
+    bits = F.aggregate(F.zip_with(x, y, lambda i, k: F.bit_count(xor(i, k))), F.lit(0), lambda n, i: n + i)
+    return F.when(F.size(x) == F.size(y), bits).otherwise(0)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate([*(x.view(np.int64) for x in arrays), np.zeros(0, np.int64)])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
+
+
 def _sets(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """doc_id, n and two hashes of each set; and, with a cell, counts of its n-grams' cells."""
+    """doc_id, n, two hashes and a sketch of each set; and, with a cell, counts of its n-grams' cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
-            n, a, b, hit = [], [], [], []
+            n, a, b, hit, marks = [], [], [], [], []
             for t in batch.column(1):
                 s = shingles(t.as_py(), width)
                 key = xxhash.xxh3_128_intdigest(s.tobytes())
@@ -79,17 +110,18 @@ def _sets(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
                 a.append((key >> 64) - (1 << 63))
                 b.append((key & ((1 << 64) - 1)) - (1 << 63))
                 hit.append(s >> np.uint64(64 - CELL_BITS))
+                marks.append(sketch(s))
             if n:
                 cells += np.bincount(np.concatenate(hit).astype(np.int64), minlength=len(cells))
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), none, none], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), none, none, _lists(marks)], names=names)
         hit = np.flatnonzero(cells)
         none = pa.nulls(len(hit), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(hit), pa.array(cells[hit])], names=names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(hit), pa.array(cells[hit]), pa.nulls(len(hit), pa.list_(pa.int64()))], names=names)
 
-    names = ["doc_id", "n", "a", "b", "cell", "hits"]
+    names = ["doc_id", "n", "a", "b", "cell", "hits", "sketch"]
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, n bigint, a bigint, b bigint, cell bigint, hits bigint"
+        run, "doc_id bigint, n bigint, a bigint, b bigint, cell bigint, hits bigint, sketch array<bigint>"
     )
 
 
@@ -101,11 +133,7 @@ def _per_document(docs: DataFrame, doc_id: str, text: str, make, schema: str) ->
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
                 made = [make(t.as_py()) for t in part.column(1)]
-                ends = np.cumsum([0, *map(len, made)])
-                flat = np.concatenate([*made, np.zeros(0, np.uint64)]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "grams"]
-                )
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(made)], names=["doc_id", "grams"])
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
@@ -173,8 +201,9 @@ def similar_groups(
     for row in found.where("cell is not null").groupBy("cell").agg(F.sum("hits").alias("hits")).toLocalIterator():
         counts[row[0]] = row[1]
     documents = found.where("cell is null").select("doc_id", "n", "a", "b")
-    named = documents.where("doc_id is not null and n > 0")
-    distinct = stored(named.groupBy("a", "b").agg(F.min("doc_id").alias("sid"), F.first("n").alias("n")), "distinct")
+    named = found.where("cell is null and doc_id is not null and n > 0")
+    kept = [F.min("doc_id").alias("sid"), F.first("n").alias("n"), F.first("sketch").alias("sketch")]
+    distinct = stored(named.groupBy("a", "b").agg(*kept), "distinct")
 
     def prefix(t: str | None) -> np.ndarray:
         s = shingles(t, width)
@@ -183,7 +212,7 @@ def similar_groups(
         return s[np.lexsort((s, counts[s >> np.uint64(64 - CELL_BITS)]))[:size]]
 
     schema = "doc_id bigint, grams array<bigint>"
-    tokens = _per_document(docs, doc_id, text, prefix, schema).join(distinct, F.col("doc_id") == F.col("sid")).select(
+    tokens = _per_document(docs, doc_id, text, prefix, schema).join(distinct.select("sid", "n"), F.col("doc_id") == F.col("sid")).select(
         F.explode("grams").alias("gram"), "sid", F.col("n").cast("int").alias("n")
     )
     # All that follows on one n-gram happens where the n-gram is: one exchange.
@@ -220,15 +249,16 @@ def similar_groups(
         .groupBy("sid", "n", F.col("_grp").alias("grp")).agg(F.min("least_n").alias("least_n"), F.count("*").alias("c"))
         .where(F.col("c") >= F.least(F.lit(SHARED), least_n(F.col("n")), least_n(F.col("least_n"))))
     )
-    met = stored(met.drop("c"), "met")
-    opened = stored(_qualifying(met, placed, texts, width, percent), "opened")
-    ours = placed.join(opened.withColumnsRenamed({"sid": "q", "grp": "_grp"}), F.col("sid") == F.col("q")).select(
-        F.col("gram").alias("_gram"), "q", F.col("n").alias("qn"), "_grp"
-    )
-    inside = placed.join(ours, (F.col("gram") == F.col("_gram")) & (F.col("grp") == F.col("_grp")))
-    pairs = inside.where(100 * F.least("n", "qn") >= percent * F.greatest("n", "qn")).groupBy(F.col("sid").alias("lead"), "n", "q", "qn").count()
-    pairs = pairs.where(F.col("count") >= F.least(F.lit(SHARED), least_n(F.col("n")), least_n(F.col("qn")))).select("lead", "q")
-    pairs = stored(pairs, "pairs")
+    met = stored(met.select(F.col("sid").alias("q"), F.col("grp").alias("_grp")), "met")
+
+    # Of the groups a set meets, only members whose sketches differ little are compared with it.
+    sized = distinct.select("sid", F.col("n").cast("int").alias("n"), "sketch")
+    members = sized.join(group_of, F.col("sid") == F.col("_node"), "left").withColumn("grp", F.coalesce("grp", "sid"))
+    ours = met.join(sized, F.col("q") == F.col("sid")).select("q", F.col("n").alias("qn"), F.col("sketch").alias("ours"), "_grp")
+    few = (100 + percent) * _differ(F.col("sketch"), F.col("ours")) <= (100 - percent) * (F.col("n") + F.col("qn"))
+    near = (100 * F.least("n", "qn") >= percent * F.greatest("n", "qn")) & few
+    inside = members.join(ours, (F.col("grp") == F.col("_grp")) & near)
+    pairs = stored(inside.select(F.col("sid").alias("lead"), "q"), "pairs")
     every = edges.unionByName(_linked(pairs, texts, width, percent))
     final = components(every, "lead", "q").select(F.col("node").alias("_node"), "component")
     known = distinct.join(final, F.col("sid") == F.col("_node"), "left").select(
@@ -236,23 +266,3 @@ def similar_groups(
     )
     labelled = documents.join(known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")) & F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
     return labelled.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def _qualifying(met: DataFrame, placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (sid, grp) whose overlap with the group's union allows a link.
-
-    A member x of the group shares at most o = |q and union| n-grams with q, and |x| >= least_n, so
-    the similarity is at most o / (|q| + least_n - o), or o / |q| if that is less.
-    """
-    groups = met.select(F.col("grp").alias("_grp")).distinct()
-    members = placed.select("sid", "grp").distinct().join(groups, F.col("grp") == F.col("_grp"), "left_semi")
-    wanted = members.select("sid").unionByName(met.select("sid")).distinct()
-    sets = _per_document(
-        texts.join(wanted, F.col("doc_id") == F.col("sid")), "doc_id", "text", lambda t: shingles(t, width), "doc_id bigint, grams array<bigint>"
-    )
-    sets = stored(sets, "grams")
-    union = members.join(sets, F.col("sid") == F.col("doc_id")).select(F.explode("grams").alias("gram"), "grp").distinct()
-    asked = met.join(sets, F.col("sid") == F.col("doc_id")).select("sid", "n", "grp", "least_n", F.explode("grams").alias("gram"))
-    overlap = asked.join(union, ["gram", "grp"]).groupBy("sid", "n", "grp", "least_n").agg(F.count("*").alias("o"))
-    most = F.least("o", F.col("n"))
-    return overlap.where(100 * most >= percent * F.greatest(F.col("n"), F.col("n") + F.col("least_n") - most)).select("sid", "grp")

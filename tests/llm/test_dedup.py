@@ -236,3 +236,44 @@ def test_signatures_tell_long_sets_apart(spark):
     assert pairs.where(line_dedup._alike(80)).count() <= pairs.count() // 3
     near = spark.createDataFrame([(0, sets[0]), (1, sets[0][:108])], "id int, words array<bigint>").select("id", F.size("words").alias("n"), line_dedup._signature("words").alias("bits"))
     assert near.alias("x").join(near.alias("y"), F.col("x.id") < F.col("y.id")).where(line_dedup._alike(80)).count() == 1
+
+
+def test_sketches_differ_in_no_more_bits_than_sets(spark):
+    """Also where one set is just above a doubling, and its sketch twice as long."""
+    import numpy as np
+
+    rnd, rows = random.Random(12), []
+    for n in (5, 200, 1000, 1024, 2048, 9000):
+        base = [rnd.getrandbits(64) for _ in range(n)]
+        for gone, more in ((0, 0), (1, 0), (n // 20, n // 20), (n // 5, n // 5), (n, n), (0, max(1, n // 10))):
+            other = base[gone:] + [rnd.getrandbits(64) for _ in range(more)]
+            x, y = (jaccard.sketch(np.array(sorted(s), np.uint64)).tolist() for s in (base, other))
+            rows.append((n, gone + more, x, y, n >= 200 and gone >= n // 5))
+    out = spark.createDataFrame(rows, "n int, apart int, x array<bigint>, y array<bigint>, far boolean")
+    got = out.select("*", jaccard._differ(F.col("x"), F.col("y")).alias("xy"), jaccard._differ(F.col("y"), F.col("x")).alias("yx")).collect()
+    assert any(len(r.x) != len(r.y) for r in got)
+    for r in got:
+        assert r.xy == r.yx <= r.apart
+        assert not r.far or 190 * r.xy > 20 * r.n  # such sets do not link at 90 %
+
+
+def test_sets_near_each_other_that_do_not_link_send_no_n_grams(spark, monkeypatch):
+    """Members of a family share prefix n-grams; their sketches end the comparison."""
+    rnd, before, made = random.Random(14), jaccard.stored, {}
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(30):
+        text = list(base)
+        for k in rnd.sample(range(300), 6):
+            text[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(text), None, None, None))
+
+    def counted(df, label):
+        table = before(df, label)
+        made[label] = table.count()
+        return table
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    out = {r.doc_id: r.component_id for r in jaccard.similar_groups(frame(spark, rows)).collect()}
+    assert out == {i: c for i, (_, c) in brute.similar(rows).items()} and len(set(out.values())) == 30
+    assert made["met"] > 30 and made["pairs"] <= 3 and "grams" not in made
