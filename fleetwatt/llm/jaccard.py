@@ -33,6 +33,8 @@ SHARED = 8
 SKETCH_WORDS = 8
 SKETCHED = 1024
 CACHED_WORDS = 400_000
+#: Bits of the map of the documents that are compared, 64 in a row: a fixed number, whatever the input.
+MAP_BITS = 24
 #: Sets that are compared with one other set in the same task.
 MEMBERS = 1000
 
@@ -91,6 +93,11 @@ def _differ(a: Column, b: Column) -> Column:
     return F.when(F.size(x) == F.size(y), bits).otherwise(0)
 
 
+def _folded(sketch: Column, word: int) -> Column:
+    """One of the two words of a sketch that is folded to 128 bits."""
+    return F.aggregate(F.filter(sketch, lambda x, i: i.bitwiseAND(F.lit(1)) == word), F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseXOR(x))
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate([*(x.view(np.int64) for x in arrays), np.zeros(0, np.int64)])
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
@@ -138,6 +145,23 @@ def _per_document(docs: DataFrame, doc_id: str, text: str, make, schema: str) ->
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
+def _asked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """All docs of pairs and few others: only those move. Their ids are marked in a map of fixed size."""
+    cell = F.xxhash64("id").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), cell.bitwiseAND(F.lit(63)).cast("int"))
+    ids = pairs.select(F.explode(F.array("lead", "q")).alias("id"))
+    words = np.zeros(1 << MAP_BITS - 6, np.int64)
+    for row in ids.groupBy(F.shiftright(cell, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toLocalIterator():
+        words[row[0]] = row[1]
+
+    @F.arrow_udf("boolean")
+    def marked(cells: pa.Array) -> pa.Array:
+        at = np.asarray(cells)
+        return pa.array(words[at >> 6] >> (at & 63) & 1 == 1)
+
+    return docs.where("doc_id is not null").where(marked(F.xxhash64("doc_id").bitwiseAND(F.lit((1 << MAP_BITS) - 1))))
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those pairs (lead, q) whose sets link. A lead's set is sent once to each thousand partners."""
     sizes = pairs.groupBy("lead").count().select(F.col("lead").alias("_lead"), F.ceil(F.col("count") / MEMBERS).cast("int").alias("n"))
@@ -149,7 +173,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     )
     # A text is turned into its set once, for all comparisons that it takes part in.
     asked = leads.unionByName(members).groupBy("id").agg(F.collect_list(F.struct("lead", "part", "role")).alias("to"))
-    texts = docs.join(asked, F.col("doc_id") == F.col("id")).select("doc_id", "text", "to.lead", "to.part", "to.role")
+    texts = _asked(docs, pairs).join(asked, F.col("doc_id") == F.col("id")).select("doc_id", "text", "to.lead", "to.part", "to.role")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,12 +262,21 @@ def similar_groups(
 
     # Groups are what is linked so far. A set that is in none is a group of its own.
     group_of = components(edges, "lead", "q").select(F.col("node").alias("_node"), F.col("component").alias("grp"))
-    placed = posts.join(group_of, F.col("sid") == F.col("_node"), "left").select("gram", "sid", "n", F.coalesce("grp", "sid").alias("grp"))
-    placed = stored(placed, "placed")
-    here = placed.repartition("gram")
-    matrix = here.groupBy("gram", "grp").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    matrix = matrix.select(F.col("gram").alias("_gram"), F.col("grp").alias("_grp"), "least_n", "most_n")
+    sized = distinct.select("sid", F.col("n").cast("int").alias("n"), "sketch")
+    members = sized.join(group_of, F.col("sid") == F.col("_node"), "left").withColumn("grp", F.coalesce("grp", "sid"))
+    # Two words of each sketch go with its n-grams. Of a group, the bits that all members or none have count.
+    halves = [_folded(F.col("sketch"), 0).alias("even"), _folded(F.col("sketch"), 1).alias("odd")]
+    whose = members.select(F.col("sid").alias("_sid"), "n", "grp", *halves)
+    placed = posts.select("gram", "sid").join(whose, F.col("sid") == F.col("_sid")).drop("_sid")
+    here = stored(placed, "placed").repartition("gram")
+    ends = [f(c).alias(f"{kind}_{c}") for c in ("even", "odd") for kind, f in (("all", F.bit_and), ("any", F.bit_or))]
+    matrix = here.groupBy(F.col("gram").alias("_gram"), F.col("grp").alias("_grp")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"), *ends)
+    apart = sum(
+        (F.bit_count(F.col(f"all_{c}").bitwiseAND(F.bitwise_not(F.col(c)))) + F.bit_count(F.col(c).bitwiseAND(F.bitwise_not(F.col(f"any_{c}")))) for c in ("even", "odd")),
+        F.lit(0),
+    )
     reachable = (100 * F.col("n") >= percent * F.col("least_n")) & (100 * F.col("most_n") >= percent * F.col("n"))
+    reachable = reachable & ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("most_n")))
     met = (
         here.join(matrix, (F.col("gram") == F.col("_gram")) & (F.col("_grp") < F.col("grp")) & reachable)
         .groupBy("sid", "n", F.col("_grp").alias("grp")).agg(F.min("least_n").alias("least_n"), F.count("*").alias("c"))
@@ -252,8 +285,6 @@ def similar_groups(
     met = stored(met.select(F.col("sid").alias("q"), F.col("grp").alias("_grp")), "met")
 
     # Of the groups a set meets, only members whose sketches differ little are compared with it.
-    sized = distinct.select("sid", F.col("n").cast("int").alias("n"), "sketch")
-    members = sized.join(group_of, F.col("sid") == F.col("_node"), "left").withColumn("grp", F.coalesce("grp", "sid"))
     ours = met.join(sized, F.col("q") == F.col("sid")).select("q", F.col("n").alias("qn"), F.col("sketch").alias("ours"), "_grp")
     few = (100 + percent) * _differ(F.col("sketch"), F.col("ours")) <= (100 - percent) * (F.col("n") + F.col("qn"))
     near = (100 * F.least("n", "qn") >= percent * F.greatest("n", "qn")) & few
