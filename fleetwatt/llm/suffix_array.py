@@ -1,95 +1,64 @@
-"""Suffix arrays by induced sorting, and permuted common prefixes."""
+"""Suffix arrays by prefix doubling, and permuted common prefixes.
+
+Both compare whole words of 64 bits of packed symbols and work on arrays: no Python step per symbol.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 
 
+def _packed(text: list[int] | bytes | np.ndarray) -> tuple[np.ndarray, int, int]:
+    """For each position the next symbols as one number, how many they are, and the bits of each."""
+    x = np.frombuffer(text, np.uint8) if isinstance(text, bytes) else np.asarray(text)
+    bits = max(1, int(x.max()).bit_length())
+    per = min(8, 64 // bits)
+    x = np.r_[x.astype(np.uint64), np.zeros(per, np.uint64)]
+    packed = np.zeros(len(x) - per, np.uint64)
+    for i in range(per):
+        packed = (packed << np.uint64(bits)) | x[i : len(x) - per + i]
+    return packed, per, bits
+
+
 def suffix_array(text: list[int] | bytes, alphabet: int) -> list[int]:
     """Suffix array of text, whose last symbol 0 occurs nowhere else; symbols are below alphabet.
 
-    Suffixes are larger (L) or smaller (S) than the next one. The leftmost S suffixes (LMS) are
-    sorted by their substrings, recursively if some are equal, and all others are induced from
-    them in two linear scans.
+    Suffixes are sorted by their first few symbols; those that are equal so far, by the ranks of what
+    follows, which doubles the symbols that count. A rank is the place of the first equal suffix, so a
+    suffix that is alone keeps its place and is not sorted again.
     """
-    n = len(text)
-    if n == 1:
-        return [0]
-    x = np.frombuffer(text, np.uint8).astype(np.int64) if isinstance(text, bytes) else np.asarray(text)
-    # A suffix is S if its first symbol is below the next different one.
-    change = np.flatnonzero(x[1:] != x[:-1])
-    ends = np.r_[change, n - 1]
-    run = np.searchsorted(ends, np.arange(n))
-    following = np.minimum(ends[run] + 1, n - 1)
-    small = x < x[following]
-    small[-1] = True
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    counts = np.bincount(x, minlength=alphabet)
-    ends_of = np.cumsum(counts)
-    heads, tails = (ends_of - counts).tolist(), ends_of.tolist()
-    # The symbol before each suffix, if the suffix there is L or S; -1 otherwise, and for no suffix.
-    before = np.r_[-1, x[:-1]]
-    large_before = np.r_[np.where(np.r_[True, small[:-1]], -1, before), -1].tolist()
-    small_before = np.r_[np.where(np.r_[False, small[:-1]], before, -1), -1].tolist()
-
-    def induce(order: list[int]) -> list[int]:
-        array = [n] * n
-        tail = tails.copy()
-        for i in reversed(order):
-            c = text[i]
-            tail[c] -= 1
-            array[tail[c]] = i
-        head = heads.copy()
-        for i in array:  # entries to the right are filled while the scan comes nearer
-            c = large_before[i]
-            if c >= 0:
-                array[head[c]] = i - 1
-                head[c] += 1
-        tail = tails.copy()
-        for i in reversed(array):
-            c = small_before[i]
-            if c >= 0:
-                tail[c] -= 1
-                array[tail[c]] = i - 1
-        return array
-
-    starts = lms.tolist()
-    if len(starts) < 2:
-        return induce(starts)
-    is_start = np.zeros(n, bool)
-    is_start[lms] = True
-    sorted_all = np.array(induce(starts))
-    order = sorted_all[is_start[np.minimum(sorted_all, n - 1)]]
-    stop = dict(zip(starts, [*starts[1:], n - 1]))
-    names = np.zeros(n, np.int64)
-    name, last = 0, None
-    for i in order.tolist():
-        piece = text[i : stop[i] + 1]
-        if last is not None and piece != last:
-            name += 1
-        last = piece
-        names[i] = name
-    if name + 1 == len(starts):
-        return induce(order.tolist())
-    reduced = suffix_array(names[lms].tolist(), name + 1)
-    return induce([starts[k] for k in reduced])
+    packed, sorted_by, _ = _packed(text)
+    n = len(packed)
+    order = np.argsort(packed)
+    places, own = np.arange(n), packed[order]
+    rank = np.empty(n, np.int64)
+    while True:
+        # own: what the suffixes at these places were sorted by.
+        first = np.r_[True, own[1:] != own[:-1]]
+        rank[order[places]] = places[np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))]
+        places = places[~(first & np.r_[first[1:], True])]
+        if not len(places):
+            return order.tolist()
+        suffixes = order[places]
+        # Equal ones have not met the last symbol yet, so something follows.
+        own = rank[suffixes] * n + rank[suffixes + sorted_by]
+        by = np.argsort(own)
+        order[places], own = suffixes[by], own[by]
+        sorted_by *= 2
 
 
 def common_prefixes(text: list[int] | bytes, array: list[int]) -> np.ndarray:
     """Permuted: for each position, the symbols its suffix shares with the one before it in order."""
-    n = len(text)
-    before = [-1] * n
-    for a, b in zip(array, array[1:]):
-        before[b] = a
-    shared, length = [0] * n, 0
-    for i in range(n):
-        j = before[i]
-        if j < 0:
-            length = 0
-            continue
-        while text[i + length] == text[j + length] and text[i + length]:
-            length += 1
-        shared[i] = length
-        if length:
-            length -= 1
-    return np.array(shared)
+    packed, per, bits = _packed(text)
+    array = np.asarray(array)
+    shared = np.zeros(len(packed), np.int64)
+    a, b = array[:-1], array[1:]
+    while len(b):
+        differ = packed[a + shared[b]] ^ packed[b + shared[b]]
+        same = differ == 0
+        at = b[~same]
+        behind = sum((differ[~same] >> np.uint64(bits * i) != 0).astype(np.int64) for i in range(per))
+        shared[at] += per - behind
+        a, b = a[same], b[same]
+        shared[b] += per
+    return shared

@@ -5,7 +5,7 @@ hold equal anchors, so repeats are sought among occurrences of one anchor, each
 around it that such a string can reach. Occurrences with equal surroundings are settled by hash:
 all but the first go, within a partition already before the shuffle. Those whose surroundings
 differ are few. They are compared with the first occurrence of the anchor; what may still match
-another one goes, with all its likes, to a shard's suffix array, which is built by induced sorting.
+another one goes, with all its likes, to a shard's suffix array, which is built by prefix doubling.
 Neighbours in it with common prefixes of `length` bytes are one string, and all but its first
 place are removed.
 """

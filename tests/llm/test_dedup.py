@@ -180,6 +180,34 @@ def test_suffix_arrays(letters):
             assert shared[b] == n
 
 
+def test_suffix_arrays_take_no_python_step_for_each_symbol():
+    import sys
+
+    import numpy as np
+
+    rnd = random.Random(31)
+    parts = [bytes(rnd.choice(b"abcdef ") for _ in range(150)) for _ in range(20)]
+    data = [rnd.choice(parts)[rnd.randrange(9) :] + bytes([65 + i % 20]) for i in range(150)]
+    doc, start, steps = np.arange(len(data)), np.zeros(len(data), np.int64), [0]
+
+    def seen(frame, event, arg):
+        steps[0] += event == "line"
+        return seen
+
+    sys.settrace(seen)
+    try:
+        found = suffix_dedup.repeats_by_suffix_array(data, doc, start, 100)
+    finally:
+        sys.settrace(None)
+    places, want = {}, set()
+    for d, x in enumerate(data):
+        for i in range(len(x) - 99):
+            if places.setdefault(x[i : i + 100], (d, i)) != (d, i):
+                want.add((d, i))
+    assert want and set(zip(*(x.tolist() for x in found))) == want
+    assert steps[0] < sum(map(len, data)) // 5
+
+
 def test_queries_on_the_smallest_scale(spark):
     docs = documents(spark)
     want = brute.similar(docs)
