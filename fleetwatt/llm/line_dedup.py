@@ -1,12 +1,12 @@
 """Line dedup by an exact set-similarity join, in SQL functions only.
 
-A line is the set of its words. Words are ordered by rarity: the commonest ones of the corpus are
-counted and come last, by the logarithm of their count; all others come first, longer ones before
-shorter ones. Two sets with a Jaccard similarity of p % share k words in the first
-n - ceil(p n / 100) + k words of this order; k grows with n. Pairs that meet there must have fitting
-lengths, enough words behind the shared one (the positional filter) and 64-bit signatures that differ
-little, and they must meet at k words. Of those, all words are compared, as numbers made of a length
-and 52 bits of a hash.
+A line is the set of its words. Words are ordered by rarity: the commonest ones of the corpus come
+last, by the logarithm of their count; all others come first, longer ones before shorter ones. Words
+that follow each other in this order are a pair. A word that one set lacks breaks two of the other
+set's pairs at most, and one that it has besides breaks one, so two sets with a Jaccard similarity of
+p % share k of their first pairs; k grows with n. Few pairs occur in two sets, and only those are kept.
+Sets that meet in k pairs, with fitting lengths and 64-bit signatures that differ little, are compared
+by all their words, as numbers made of a length and 52 bits of a hash.
 """
 
 from __future__ import annotations
@@ -19,9 +19,14 @@ from fleetwatt.llm.quality import SPACE, words_of
 from fleetwatt.llm.steps import forget, stored
 
 PERCENT = 80
-#: Words whose count is known; a fixed number.
+#: Words are counted in cells of a hash; those of the fullest cells are taken as common. Fixed numbers.
+CELL_BITS = 16
 COMMON = 2000
-#: Sets of so many words must share one more word of their prefixes; at most SHARED.
+#: Bits of a word in a pair.
+PAIR_BITS = 31
+#: From this similarity on, sets of any size that are similar share a pair; below, single words are met.
+PAIRED_PERCENT = 75
+#: Sets of so many words must share one more pair; at most SHARED.
 SHARE_WORDS = 24
 SHARED = 8
 HASH_BITS = 52
@@ -43,18 +48,22 @@ def _words(text: Column) -> Column:
 
 def _word_keys(line: Column) -> Column:
     """Distinct words as numbers."""
-    return F.transform(F.array_remove(F.array_distinct(_words(line)), ""), _word_key)
+    return F.array_remove(F.array_distinct(F.transform(_words(line), _word_key)), _word_key(F.lit("")))
+
+
+def _cell(key: Column) -> Column:
+    return key.bitwiseAND(F.lit((1 << CELL_BITS) - 1).cast("bigint"))
 
 
 def common_words(docs: DataFrame, text: str, count: int = COMMON) -> dict[int, list[int]]:
-    """The keys of the commonest words by the logarithm of their number to base 4. Counts all words,
+    """The cells of the commonest words by the logarithm of their number to base 4. Counts all words,
     partly before the shuffle; only `count` rows go to the driver."""
     flat = F.replace(F.col(text), F.lit("\n"), F.lit(" "))
     words = docs.select(F.explode(_words(flat)).alias("word")).where("word != ''")
-    top = words.groupBy(_word_key(F.col("word")).alias("w")).count().orderBy(F.desc("count"), "w").limit(count).collect()
+    top = words.groupBy(_cell(F.xxhash64("word")).alias("cell")).count().orderBy(F.desc("count"), "cell").limit(count).collect()
     levels: dict[int, list[int]] = {}
     for row in top:
-        levels.setdefault(row["count"].bit_length() // 2 + 1, []).append(row["w"])
+        levels.setdefault(row["count"].bit_length() // 2 + 1, []).append(row["cell"])
     return levels
 
 
@@ -64,8 +73,8 @@ def _ordered(keys: Column, levels: dict[int, list[int]]) -> Column:
     def level(key: Column) -> Column:
         chain = F.lit(0)
         for n, words in sorted(levels.items()):
-            chain = F.when(key.isin(words), n).otherwise(chain)
-        return F.when(key.isin([w for words in levels.values() for w in words]), chain).otherwise(0).cast("bigint")
+            chain = F.when(_cell(key).isin(words), n).otherwise(chain)
+        return F.when(_cell(key).isin([w for words in levels.values() for w in words]), chain).otherwise(0).cast("bigint")
 
     return F.sort_array(F.transform(keys, lambda k: F.shiftleft(level(k), HASH_BITS + 5).bitwiseOR(k)))
 
@@ -79,8 +88,17 @@ def _least_overlap(n: Column, percent: int) -> Column:
     return _div(percent * n + 99, 100).cast("int")
 
 
+def _broken(n: Column, percent: int) -> Column:
+    """How many pairs (or single words) of a set of n words a similar set lacks at most."""
+    kept = _least_overlap(n, percent)
+    if percent < PAIRED_PERCENT:
+        return n - kept
+    # As many words as may be missing, and what may then still be added. Others break fewer.
+    return 2 * (n - kept) + (_div(100 * kept, percent) - n).cast("int")
+
+
 def _shared(n: Column) -> Column:
-    """How many words of their prefixes two similar sets share, the smaller one of n words."""
+    """How many pairs of their first ones two similar sets share, the smaller one of n words, if they have so many."""
     return F.least(F.lit(SHARED), 1 + _div(n, SHARE_WORDS)).cast("int")
 
 
@@ -100,38 +118,41 @@ def _alike(percent: int) -> Column:
 
 
 def _prefixes(docs: DataFrame, doc_id: str, text: str, levels: dict[int, list[int]], percent: int) -> DataFrame:
-    """A row for each line with a word: doc, h, pos, its set as two hashes, the number of words, a bit signature and the prefix."""
+    """A row for each line with a word: doc, h, pos, its set as two hashes, the number of words, a bit signature and the first words, of which pairs are made."""
     lines = docs.select(
         *_row(doc_id, text), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")
     ).where(F.trim(F.col("line"), F.lit(SPACE)) != "")
     sets = lines.select(*LINE, _ordered(_word_keys(F.col("line")), levels).alias("words"))
     n = F.size("words")
+    first = F.slice("words", F.lit(1), _broken(n, percent) + _shared(n) + (1 if percent >= PAIRED_PERCENT else 0))
     return sets.select(
         *LINE,
         F.xxhash64("words").alias("a"),
         F.xxhash64(F.lit(1), F.col("words")).alias("b"),
         n.alias("n"),
         _signature("words").alias("bits"),
-        F.slice("words", F.lit(1), n - _least_overlap(n, percent) + F.least(_shared(n), _least_overlap(n, percent))).alias("prefix"),
+        F.transform(first, lambda w: w.bitwiseAND(F.lit((1 << PAIR_BITS) - 1).cast("bigint")).cast("int")).alias("prefix"),
     )
 
 
-def _near(percent: int) -> Column:
-    """Whether sets x and y that share the word at these places may be similar.
+def _pairs(prefix: str, percent: int) -> Column:
+    """Each word with the next one as a number; single words below PAIRED_PERCENT."""
+    words = F.transform(prefix, lambda w: w.cast("bigint"))
+    if percent < PAIRED_PERCENT:
+        return words
+    places = F.filter(F.sequence(F.lit(0), F.size(prefix) - 1), lambda i: i < F.size(prefix) - 1)
+    return F.transform(places, lambda i: F.shiftleft(F.get(F.col(prefix), i).cast("bigint"), PAIR_BITS).bitwiseOR(F.get(F.col(prefix), i + 1).cast("bigint")))
 
-    By their lengths, and by the words that can follow the shared one in both. The first words that two
-    similar sets share pass, as many as they must share; a later one need not.
-    """
-    lengths = (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
-    after = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    before = _needed(percent) - 1
-    return lengths & ((after + before) * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))
+
+def _near(percent: int) -> Column:
+    """Whether sets x and y may be similar by their lengths."""
+    return (100 * F.col("x.n") >= percent * F.col("y.n")) & (100 * F.col("y.n") >= percent * F.col("x.n"))
 
 
 def _needed(percent: int) -> Column:
-    """How many words of their prefixes sets x and y share, if they are similar."""
+    """How many of their first pairs sets x and y share, if they are similar."""
     least = F.least(F.col("x.n"), F.col("y.n"))
-    return F.least(_shared(least), _least_overlap(least, percent))
+    return F.least(_shared(least), least - (1 if percent >= PAIRED_PERCENT else 0) - _broken(least, percent))
 
 
 def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -185,14 +206,14 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     again = stored(again.select(LINE), "again")
     forget(lines)
 
-    # Each set is first compared with the earliest set that it shares most prefix words with: one
-    # similar set before it is enough, so most copies end here. Those that share too few are not
-    # compared; whatever that misses is met below.
-    met = sets.select("id", "n", F.posexplode("prefix").alias("place", "w"))
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
-    earliest = Window.partitionBy("w", band).orderBy("id")
-    entry = F.struct("id", "n", "place")
-    asked = met.repartition("w").select(entry.alias("x"), F.first(entry).over(earliest).alias("y"))
+    # Few pairs occur in two sets; the others end here. Each set is first compared with the earliest
+    # set that it shares most pairs with: one similar set before it is enough, so most copies end
+    # here. Those that share too few are not compared; whatever that misses is met below.
+    met = sets.select("id", "n", F.explode(_pairs("prefix", percent)).alias("w"))
+    group = Window.partitionBy("w").orderBy("id")
+    earliest = F.first(F.struct("id", "n")).over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    asked = met.repartition("w").select("w", F.struct("id", "n").alias("x"), earliest.alias("y"), F.lead("id").over(group).alias("next"))
+    asked = stored(asked.where("y.id < x.id or next is not null").select("w", "x", "y"), "met")
     best = (
         asked.where((F.col("x.id") > F.col("y.id")) & _near(percent))
         .groupBy(F.col("x.id").alias("x"), F.col("y.id").alias("y")).agg(F.count("*").alias("count"), F.first(_needed(percent)).alias("needed"))
@@ -203,14 +224,14 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     forget(best)
     gone = _similar(close, sets, docs, doc_id, text, percent)
 
-    # What is left meets every earlier set that shares a prefix word. Sets that go are met and meet
-    # none: their number is stored as its complement, which no number is below. So the prefix words
-    # move once, for both sides of the join, and whether a set goes is looked up before they are exploded.
+    # What is left meets every earlier set that shares a pair. Sets that go are met and meet
+    # none: their number is stored as its complement, which no number is below. So the pairs
+    # move once, for both sides of the join.
     going = gone.select(F.col("x").alias("_gone"))
     # A number is never NULL; Spark must see it, or it filters one side and the sides differ.
     mark = F.coalesce(F.when(F.col("_gone").isNull(), F.col("id")).otherwise(F.bitwise_not("id")), F.lit(-1))
-    marked = sets.join(going, F.col("id") == F.col("_gone"), "left").withColumn("mark", mark)
-    marked = marked.select("mark", "n", "bits", F.posexplode("prefix").alias("place", "w"))
+    marks = sets.join(going, F.col("id") == F.col("_gone"), "left").select(F.col("id").alias("_id"), mark.alias("mark"), "n", "bits")
+    marked = asked.select("w", "x.id").join(marks, F.col("id") == F.col("_id")).select("mark", "n", "bits", "w")
     number = F.greatest(F.col("y.mark"), F.bitwise_not("y.mark"))
     may = (number < F.col("x.mark")) & _alike(percent) & _near(percent)
     pairs = marked.alias("x").join(marked.alias("y"), (F.col("x.w") == F.col("y.w")) & may)
@@ -222,7 +243,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     # Repeated lines other than the first, and first lines of sets that go.
     firsts = sets.join(gone.unionByName(more).withColumnRenamed("x", "id"), "id", "left_semi").select(LINE)
     removed = stored(again.unionByName(firsts).groupBy(ROW).agg(F.collect_set("pos").alias("positions")), "removed")
-    forget(sets, again, gone, more)
+    forget(sets, asked, again, gone, more)
     return removed
 
 

@@ -117,6 +117,53 @@ def test_long_lines_with_few_rare_words_in_common_are_not_compared(spark, monkey
     assert made["pairs"] <= 4  # the similar ones
 
 
+def test_lines_that_share_single_words_do_not_meet(spark, monkeypatch):
+    """Rows of the second join: words of long lines are common to many, pairs of them are not."""
+    rnd, before, made = random.Random(16), line_dedup.stored, []
+    words = [f"word{i:05}" for i in range(6000)]
+    lines = [rnd.sample(words, 150) for _ in range(120)]
+    lines += [lines[i][:140] + rnd.sample(words, 5) for i in range(0, 120, 12)]
+    rows = [(i, " ".join(x), None, None, None) for i, x in enumerate(lines)]
+
+    def joined(node):
+        name, children = node.nodeName(), node.children()
+        if name.startswith("AdaptiveSparkPlan"):
+            return joined(node.executedPlan())
+        if "QueryStage" in name:
+            return joined(node.plan())
+        own = [node.metrics().apply("numOutputRows").value()] if "Join" in name and "bit_count" in node.toString().split("\n")[0] else []
+        return own + [n for i in range(children.size()) for n in joined(children.apply(i))]
+
+    def counted(df, label):
+        if label == "pairs":
+            ran = df.select("x", "y")
+            ran.collect()
+            made.extend(joined(ran._jdf.queryExecution().executedPlan()))
+        return before(df, label)
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    want = brute.dedup_lines(rows)
+    out = line_dedup.dedup_lines(frame(spark, rows)).collect()
+    assert all((r.n_lines, r.n_removed, r.text) == want[r.doc_id] for r in out)
+    assert sum(w[1] for w in want.values()) == 10
+    assert len(made) == 1 and made[0] <= 500
+
+
+@pytest.mark.parametrize("percent", [60, 75, 80, 95])
+def test_similar_lines_share_enough_pairs(spark, percent):
+    rnd = random.Random(percent)
+    base = [[f"{'abcdefgh'[k % 8] * (1 + k % 5)}{k}" for k in rnd.sample(range(60), n)] for n in (1, 2, 3, 4, 5, 7, 9, 10, 14, 19, 24, 30, 48, 55)]
+    lines = []
+    for x in base * 12:
+        gone = rnd.randrange(1 + len(x) * (100 - percent) // 100)
+        more = [f"more{rnd.randrange(999)}" for _ in range(rnd.randrange(1 + (len(x) - gone) * 100 // percent - len(x) + gone))]
+        lines.append(x[: len(x) - gone] + more[: rnd.randrange(4)])
+    rows = [(i, " ".join(rnd.sample(x, len(x))), None, None, None) for i, x in enumerate(lines) if x]
+    want = brute.dedup_lines(rows, percent)
+    out = line_dedup.dedup_lines(frame(spark, rows), percent=percent).collect()
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in out} == want
+
+
 def test_dedup_lines_without_id_comes_last(spark):
     line = "some words that are the same in both"
     out = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, [(None, line, None, None, 1), (9, line + "\nmore", None, None, 1)])).collect()}
