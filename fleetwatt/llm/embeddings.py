@@ -44,7 +44,7 @@ BLOCK = 131072
 #: Rows of a block up to which all are compared, rows of a key up to which pairs are listed, and pairs made at once.
 PLAIN, LISTED, PRODUCTS = 2048, 128, 1 << 22
 #: Bytes of rows that may be sent at once in any case, and as a multiple of the vectors' bytes.
-AT_ONCE, SHARE = 1 << 27, 1.8
+AT_ONCE, SHARE = 1 << 27, 2.2
 
 
 def fit_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -271,11 +271,13 @@ class Block:
             left[np.repeat(sizes > LISTED, sizes)] = 0
             signs, live, off, held, some = self.signs[rows], np.flatnonzero(left > 1), 1, [], 0
             while len(live):
-                for s in range(0, len(live), PRODUCTS):
-                    i = live[s : s + PRODUCTS]
-                    i = i[np.bitwise_count(signs[i] ^ signs[i + off]) <= self.apart]
-                    held.append((rows[i], rows[i + off], every[i]))
-                    some += len(i)
+                if 2 * len(live) > len(rows):
+                    i = np.flatnonzero(np.bitwise_count(signs[:-off] ^ signs[off:]) <= self.apart)
+                    i = i[left[i] > off]
+                else:
+                    i = live[np.bitwise_count(signs[live] ^ signs[live + off]) <= self.apart]
+                held.append((rows[i], rows[i + off], every[i]))
+                some += len(i)
                 off += 1
                 live = live[left[live] > off]
                 if some > 1 << 18 or not len(live):
@@ -412,8 +414,9 @@ class Block:
         )
 
 
-def _linked(keyed: DataFrame, sizes: DataFrame, search: Search, threshold: float, tables: range, turn: int, turns: int) -> DataFrame:
+def _linked(keyed: DataFrame, sizes: DataFrame | None, search: Search, threshold: float, tables: range, turn: int, turns: int) -> DataFrame:
     """id, links (weighted by copies), root: partial results of the blocks of the cells of these tables, of one turn of several.
+    sizes: the pieces of each cell that is cut, if any is.
 
     A pair counts in one block only, so nothing needs to be made distinct, and only one row a vector
     leaves a block, with the least vector of its component in the block.
@@ -423,11 +426,14 @@ def _linked(keyed: DataFrame, sizes: DataFrame, search: Search, threshold: float
         cells = F.filter(cells, lambda c: F.pmod(F.xxhash64(c), F.lit(turns)) == turn)
     # Only the cells up to its own say whether a pair has met before.
     rows = keyed.select("id", "n", "vector", F.slice("cells", 1, CELLS * tables.stop).alias("cells"), F.explode(cells).alias("cell"))
-    cut = rows.join(F.broadcast(sizes.withColumnRenamed("cell", "_cell")), F.col("cell") == F.col("_cell"), "left")
-    n = F.coalesce("pieces", F.lit(1))
-    own = F.pmod(F.xxhash64("id"), n).cast("int")
-    cut = cut.select("cell", "id", "n", "vector", "cells", own.alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
-    cut = cut.select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other")
+    if sizes is None:
+        cut = rows.select("*", *[F.lit(0).alias(c) for c in ("own", "i", "j")])
+    else:
+        cut = rows.join(F.broadcast(sizes.withColumnRenamed("cell", "_cell")), F.col("cell") == F.col("_cell"), "left")
+        n = F.coalesce("pieces", F.lit(1))
+        own = F.pmod(F.xxhash64("id"), n).cast("int")
+        cut = cut.select("cell", "id", "n", "vector", "cells", own.alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
+        cut = cut.select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other")
 
     def block(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         m = sum(b.num_rows for b in rows)
@@ -475,6 +481,7 @@ def _searched(vectors: DataFrame, n: int, dim: int, threshold: float, last: Call
     last()
     counts = keyed.select(F.explode("cells").alias("cell")).groupBy("cell").count().where(F.col("count") > BLOCK)
     sizes = stored(counts.select("cell", F.ceil(2 * F.col("count") / BLOCK).cast("int").alias("pieces")), "sizes")
+    sizes = None if sizes.isEmpty() else sizes
     # All tables at once if their rows are few, else one after the other, and in turns.
     count = max(1, len(search.turns))
     row, most = 4 * (dim + CELLS * count) + 64, max(AT_ONCE, SHARE * n * 4 * dim)
